@@ -12,12 +12,15 @@ are not empty if a set has more cells to spare than empty ones. A set that has n
 
 Candidates: cells are packed by block of documents into one binary per bucket of keys, 8 bytes a cell, and buckets are
 sorted in Arrow groups. A cell shared by up to ``FEW`` classes gives its pairs. A cell shared by more is weak. A class that has
-cells to spare after all its weak ones meets each partner in a cell that is not weak; only classes that have none left stay in
-weak cells. These are, in the main, large families of near copies: each is linked through the least class of the cell;
-then, while a cell has more than one component, its next class is compared with all others, and after ``TURNS`` such turns
-whatever is left across components is compared pair by pair. So no link is lost, and pairs inside a family are not listed.
+cells to spare in a band after all its weak ones meets each partner there in a cell that is not weak; only classes that are
+spent in a band stay in its weak cells. These are, in the main, large families of near copies: each is linked through the
+least class of the cell; then, while a cell has more than one component, a class of its smallest component is compared with all
+others. After ``TURNS`` such turns, what is left across components is joined once more: two similar sets that met in weak cells
+only share at least as many of them as either has to spare, so the rarest cells of each, down to that number, are enough
+to meet in, and pairs that share fewer cells are not made. No link is lost, and pairs inside a component are not listed.
 
-Verification: candidate pairs fetch both sets (48 bits a token) and count the intersection.
+Verification: the sets (48 bits a token) of all classes in candidates are written once; pairs fetch both and count the
+intersection.
 
 Cases: null or empty texts, and texts without words, have empty sets and link with nothing; texts with one to four words are
 one shingle; rows that repeat are in one class; an empty table gives an empty result; other columns are not read.
@@ -41,10 +44,13 @@ SHINGLE = 5
 #: Similarity of at least 80 %, as integers: 100 * intersection >= 80 * union.
 PERCENT = 80
 FEW = 8
-TURNS = 3
+TURNS = 5
 #: Cells that a bucket of keys holds on average, and that a block packs at once.
 BUCKET_CELLS = 1 << 20
 BLOCK_CELLS = 1 << 21
+DESCRIBED_ROWS = 4096
+#: Cells per character of text, in the mean; it sets the number of buckets.
+CELLS_PER_CHAR = 0.1
 _BANDS = [math.ceil(1.25**i - 1e-9) for i in range(90)]
 _THRESHOLDS = np.array(_BANDS, np.int64)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -97,88 +103,96 @@ def bands(n: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def cells(tokens: np.ndarray) -> tuple[np.ndarray, int]:
-    """The keys of a set's cells in its bands, and the cells to spare in the band that has least."""
-    keys, spare = [], 1 << 30
+def cells(tokens: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The keys of a set's cells, with the band's parity as their last bit, and the cells to spare in the band of each parity."""
+    keys, spare = [], [1 << 20, 1 << 20]
     for band, p, most in bands(len(tokens)):
         part = ((tokens >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
         starts = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
         xored = np.bitwise_xor.reduceat(tokens, starts)
         place = part[starts]
         left = p - len(starts)
-        spare = min(spare, p - most - left)
+        spare[band & 1] = p - most - left
         if p - most - left < 1 and left:
             empty = np.setdiff1d(np.arange(p, dtype=np.uint64), place, assume_unique=True)
             place, xored = np.concatenate([place, empty]), np.concatenate([xored, np.zeros(len(empty), np.uint64)])
-        keys.append(_mix(_mix(place * np.uint64(128) + np.uint64(band)) + xored))
+        key = _mix(_mix(place * np.uint64(128) + np.uint64(band)) + xored)
+        keys.append((key & ~np.uint64(1)) | np.uint64(band & 1))
     return (np.concatenate(keys) if keys else np.zeros(0, np.uint64)), spare
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), ("spare", pa.int32()), ("cells", pa.int32())])
+_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), ("spare0", pa.int32()), ("spare1", pa.int32())])
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _WordHashes()
-    for batch in batches:
-        rows = []
-        for doc_id, raw in zip(batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), text_bytes(batch), strict=True):
-            tokens = shingles(raw, hashes)
-            keys, spare = cells(tokens)
-            rows.append((doc_id, len(tokens), class_of(tokens), min(spare, 1 << 20), len(keys)))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SETS.types, strict=True)], schema=_SETS)
-
+def _packer(buckets: int, spread: int):
+    """Blocks of cells, one binary per bucket: classes of the block, then 48 bits of key and 16 of the class's place.
 
-def _packer(buckets: int):
-    """Blocks of cells, one binary per bucket: classes of the block, then 48 bits of key and 16 of the class's place."""
+    The documents' own rows go along under negative numbers, so that texts are cut into shingles once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        turn = TaskContext.get().partitionId()
         hashes, seen = _WordHashes(), set()
-        classes, keys, held = [], [], 0
+        classes, keys, held, described = [], [], 0, []
 
         def pack() -> pa.RecordBatch:
-            key = np.concatenate(keys)
-            place = np.repeat(np.arange(len(keys), dtype=np.uint64), [len(k) for k in keys])
-            bucket = (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-            packed = ((key & np.uint64((1 << 48) - 1)) << np.uint64(16)) | place
-            order = np.argsort(bucket, kind="stable")
-            bucket, packed = bucket[order], packed[order]
-            starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
-            table = np.array(classes, np.int64)
             numbers, blobs = [], []
-            for a, b in zip(starts, [*starts[1:], len(packed)], strict=True):
-                mine, where = np.unique(packed[a:b] & np.uint64(0xFFFF), return_inverse=True)
-                rows = (packed[a:b] & ~np.uint64(0xFFFF)) | where.astype(np.uint64)
-                numbers.append(int(bucket[a]))
-                blobs.append(np.array([len(mine)], np.int64).tobytes() + table[mine.astype(np.int64)].tobytes() + rows.tobytes())
+            if keys:
+                key = np.concatenate(keys)
+                place = np.repeat(np.arange(len(keys), dtype=np.uint64), [len(k) for k in keys])
+                bucket = (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+                packed = ((key & np.uint64((1 << 48) - 1)) << np.uint64(16)) | place
+                order = np.argsort(bucket, kind="stable")
+                bucket, packed = bucket[order], packed[order]
+                starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+                table = np.array(classes, np.int64)
+                for a, b in zip(starts, [*starts[1:], len(packed)], strict=True):
+                    mine, where = np.unique(packed[a:b] & np.uint64(0xFFFF), return_inverse=True)
+                    rows = (packed[a:b] & ~np.uint64(0xFFFF)) | where.astype(np.uint64)
+                    numbers.append(int(bucket[a]))
+                    blobs.append(np.array([len(mine)], np.int64).tobytes() + table[mine.astype(np.int64)].tobytes() + rows.tobytes())
+            for at in range(0, len(described), DESCRIBED_ROWS):
+                sink = pa.BufferOutputStream()
+                part = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*described[at : at + DESCRIBED_ROWS], strict=True), _SETS.types, strict=True)], schema=_SETS)
+                with pa.ipc.new_stream(sink, _SETS) as out:
+                    out.write_batch(part)
+                numbers.append(-1 - (turn * 31 + at // DESCRIBED_ROWS) % spread)
+                blobs.append(sink.getvalue().to_pybytes())
             return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
-            for raw in text_bytes(batch):
+            for doc_id, raw in zip(batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), text_bytes(batch), strict=True):
                 tokens = shingles(raw, hashes)
                 cid = class_of(tokens)
-                if cid in seen:
-                    continue
-                seen.add(cid)
-                key, _ = cells(tokens)
-                if len(key):
-                    classes.append(cid)
-                    keys.append(key)
-                    held += len(key)
-                if held >= BLOCK_CELLS or len(keys) >= 65535:
+                key, spare = cells(tokens)
+                described.append((doc_id, len(tokens), cid, *spare))
+                if cid not in seen:
+                    seen.add(cid)
+                    if len(key):
+                        classes.append(cid)
+                        keys.append(key)
+                        held += len(key)
+                if held >= BLOCK_CELLS or len(keys) >= 65535 or len(described) >= 1 << 17:
                     yield pack()
-                    classes, keys, held = [], [], 0
-        if keys:
+                    classes, keys, held, described = [], [], 0, []
+        if described:
             yield pack()
 
     return run
 
 
-_FOUND = pa.schema([("weak", pa.bool_()), ("a", pa.int64()), ("b", pa.int64())])
+PAIR, WEAK, DOCUMENT = 0, 1, 2
+FOUND = "kind int, a long, b long, n long, spare0 int, spare1 int"
+_FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("spare0", pa.int32()), ("spare1", pa.int32())])
 
 
 def _match(table: pa.Table) -> pa.Table:
-    """A bucket's pairs of classes that share a cell of few, and (key, class) of the weak cells."""
+    """A bucket's pairs of classes that share a cell of few, and (key, class) of the weak cells; or documents' rows."""
+    if table.column("bucket")[0].as_py() < 0:
+        rows = pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in table.column("blob").to_pylist()])
+        return pa.table([pa.array(np.full(len(rows), DOCUMENT), pa.int32()), *[rows.column(c) for c in ("doc_id", "cid", "n", "spare0", "spare1")]], schema=_FOUND)
     keys, cids = [], []
     for blob in table.column("blob").to_pylist():
         n = int(np.frombuffer(blob, np.int64, 1)[0])
@@ -210,10 +224,12 @@ def _match(table: pa.Table) -> pa.Table:
         pairs = np.unique(np.stack([a, b], 1), axis=0)
         a, b = pairs[:, 0], pairs[:, 1]
     weak = ~few
-    flags = np.concatenate([np.zeros(len(a), bool), np.ones(int(weak.sum()), bool)])
-    # Keys hold 48 bits; the bucket's number stands above them.
+    kinds = np.concatenate([np.full(len(a), PAIR), np.full(int(weak.sum()), WEAK)])
+    # Keys hold 48 bits; the bucket's number stands above them, the band's parity is the last bit.
     number = int(table.column("bucket")[0].as_py())
-    return pa.table([pa.array(flags), pa.array(np.concatenate([a, (key[weak] | np.uint64(number % 32768 << 48)).astype(np.int64)])), pa.array(np.concatenate([b, cid[weak]]))], schema=_FOUND)
+    first = np.concatenate([a, (key[weak] | np.uint64(number % 32768 << 48)).astype(np.int64)])
+    nothing = pa.nulls(len(kinds), pa.int64()), pa.nulls(len(kinds), pa.int32()), pa.nulls(len(kinds), pa.int32())
+    return pa.table([pa.array(kinds, pa.int32()), pa.array(first), pa.array(np.concatenate([b, cid[weak]])), *nothing], schema=_FOUND)
 
 
 def _set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,69 +270,86 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([a.take(at), b.take(at)], names=["a", "b"])
 
 
-class _Verifier:
-    """Fetches the sets of candidate classes and keeps the pairs that are similar enough."""
+def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """The packed sets of the classes in ``ids``, read from one document of each."""
+    wanted = classes.join(ids, "cid", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    texts = docs.join(wanted, "doc_id", "left_semi").select("text")
+    return texts.mapInArrow(_set_bytes, "cid long, tokens binary").join(ids, "cid", "left_semi").dropDuplicates(["cid"])
+
+
+def _links_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    left = pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("left")), "a")
+    both = left.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("right")), "b").select("a", "b", "left", "right")
+    return materialise(both.mapInArrow(_similar, "a long, b long"), "similar")
 
-    def __init__(self, docs: DataFrame, classes: DataFrame):
-        self.docs, self.classes = docs, classes
 
-    def sets(self, pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        wanted = self.classes.join(ids, "cid", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-        texts = self.docs.join(wanted, "doc_id", "left_semi").select("text")
-        return texts.mapInArrow(_set_bytes, "cid long, tokens binary").join(ids, "cid", "left_semi").dropDuplicates(["cid"])
+def _open_rows(weak: DataFrame, node: DataFrame) -> DataFrame:
+    """The rows of weak cells that hold more than one component."""
+    placed = weak.join(node.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    several = placed.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("cell")
+    return materialise(placed.join(several, "cell", "left_semi"), "open")
 
-    def similar(self, pairs: DataFrame) -> DataFrame:
-        sets = materialise(self.sets(pairs), "sets")
-        left = pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("left")), "a")
-        both = left.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("right")), "b").select("a", "b", "left", "right")
-        return materialise(both.mapInArrow(_similar, "a long, b long"), "similar")
+
+def _across(rows: DataFrame, turn: int) -> DataFrame:
+    """A class of each open cell's smallest component, with the classes of the cell's other components."""
+    sized = rows.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("cid", F.lit(turn)), "cid"))["cid"].alias("cid"))
+    centre = sized.groupBy("cell").agg(F.min(F.struct("n", "cid", "component")).alias("c")).select("cell", F.col("c.cid").alias("x"), F.col("c.component").alias("own"))
+    return rows.join(centre, "cell").filter("component <> own").select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b"))
+
+
+def _rest(rows: DataFrame, weak: DataFrame, spent: DataFrame) -> DataFrame:
+    """The pairs across components that share as many weak cells as either has to spare, each once.
+
+    A class keeps its rarest cells: all but the number to spare, plus one; two sets that share that number share one of them.
+    """
+    concerned = weak.join(rows.select("cid").distinct(), "cid", "left_semi")
+    often = concerned.groupBy("cell").agg(F.count(F.lit(1)).alias("often"))
+    listed = concerned.join(often, "cell").groupBy("cid", "parity").agg(F.array_sort(F.collect_list(F.struct("often", "cell"))).alias("c"))
+    listed = listed.join(spent, ["cid", "parity"]).withColumn("need", F.greatest(F.col("spare"), F.lit(1)))
+    listed = listed.withColumn("all", F.transform("c", lambda x: x["cell"])).withColumn("few", F.slice("all", F.lit(1), F.greatest(F.size("all") - F.col("need") + 1, F.lit(1))))
+    named = listed.join(rows.select("cid", "component").distinct(), "cid").select("cid", "component", "need", "all", "few", F.explode("few").alias("cell"))
+    left = named.select("cell", F.col("cid").alias("a"), F.col("component").alias("ca"), F.col("need").alias("na"), F.col("all").alias("la"), F.col("few").alias("fa"))
+    right = named.select("cell", F.col("cid").alias("b"), F.col("component").alias("cb"), F.col("need").alias("nb"), F.col("all").alias("lb"), F.col("few").alias("fb"))
+    once = F.col("a") < F.col("b")
+    apart = F.col("ca") != F.col("cb")
+    first = left.cell == F.array_min(F.array_intersect("fa", "fb"))
+    enough = F.size(F.array_intersect("la", "lb")) >= F.greatest("na", "nb")
+    return left.join(right, (left.cell == right.cell) & once & apart & first & enough).select("a", "b")
 
 
 def near_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, class_id and component_id of every row; ``class_id`` is the least doc_id with the same set."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    described = materialise(docs.mapInArrow(_describe, "doc_id long, n long, cid long, spare int, cells int"), "described")
-    classes = described.filter("n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("spare").alias("spare"), F.first("cells").alias("cells"))
-    classes = materialise(classes, "classes")
-    total = classes.agg(F.coalesce(F.sum("cells"), F.lit(0)).cast("long")).first()[0]
+    rows, chars = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(shuffles if total > 10_000 else 1, math.ceil(total / BUCKET_CELLS))
-    blobs = docs.select("text").mapInArrow(_packer(buckets), "bucket int, blob binary")
-    found = materialise(blobs.groupBy("bucket").applyInArrow(_match, "weak boolean, a long, b long"), "found")
-    pairs = found.filter("not weak").select("a", "b").distinct()
-
-    weak = found.filter("weak").select(F.col("a").alias("cell"), F.col("b").alias("cid"))
-    spent = weak.groupBy("cid").agg(F.count(F.lit(1)).alias("n")).join(classes, "cid").filter("spare - n < 1").select("cid")
-    weak = materialise(weak.join(spent, "cid", "left_semi"), "weak")
+    buckets = max(shuffles if rows > 1000 else 1, math.ceil(chars * CELLS_PER_CHAR / BUCKET_CELLS))
+    spread = max(shuffles, rows >> 20)
+    blobs = docs.mapInArrow(_packer(buckets, spread), "bucket int, blob binary")
+    found = materialise(blobs.groupBy("bucket").applyInArrow(_match, FOUND), "found")
+    described = found.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc_id"), F.col("b").alias("cid"), "n", "spare0", "spare1")
+    classes = described.filter("n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("spare0").alias("spare0"), F.min("spare1").alias("spare1"))
+    classes = materialise(classes, "classes")
+    pairs = found.filter(F.col("kind") == PAIR).select("a", "b").distinct()
+    weak = found.filter(F.col("kind") == WEAK).select(F.col("a").alias("cell"), F.col("b").alias("cid"), F.col("a").bitwiseAND(F.lit(1).cast("long")).alias("parity"))
+    spent = weak.groupBy("cid", "parity").agg(F.count(F.lit(1)).alias("n")).join(classes, "cid").withColumn("spare", F.when(F.col("parity") == 0, F.col("spare0")).otherwise(F.col("spare1")))
+    spent = materialise(spent.filter("spare - n < 1").select("cid", "parity", "spare"), "spent")
+    weak = materialise(weak.join(spent, ["cid", "parity"], "left_semi"), "weak")
     first = weak.groupBy("cell").agg(F.min("cid").alias("c"))
     star = weak.join(first, "cell").filter("cid <> c").select(F.col("c").alias("a"), F.col("cid").alias("b"))
-    verifier = _Verifier(docs, classes)
     pairs = materialise(pairs.unionByName(star.distinct()).distinct(), "pairs")
-    links = verifier.similar(pairs)
+    ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).unionByName(spent.select("cid")).distinct()
+    sets = materialise(_sets_of(docs, classes, ids), "sets")
+    links = _links_of(pairs, sets)
     node = components(links)
     for turn in range(TURNS + 1):
-        placed = weak.join(node.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-        open_cells = placed.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("cell")
-        left = materialise(placed.join(open_cells, "cell", "left_semi"), "open")
+        left = _open_rows(weak, node)
         if left.isEmpty():
             break
-        other = left.select("cell", F.col("cid").alias("other"), F.col("component").alias("other_component"))
-        if turn < TURNS:
-            # The classes of a component share their links, so the next to compare is one of the smaller components of a cell.
-            sized = left.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("cid", F.lit(turn))).alias("h"))
-            pick = sized.groupBy("cell").agg(F.min(F.struct("n", "h")).alias("p")).select("cell", F.col("p.h").alias("h"))
-            centre = left.withColumn("h", F.xxhash64("cid", F.lit(turn))).join(pick, ["cell", "h"]).select("cell", "cid", "component")
-        else:
-            centre = left.select("cell", "cid", "component")
-        more = centre.join(other, "cell").filter("component <> other_component")
-        if turn == TURNS:
-            more = more.filter("cid < other")
-        fresh = more.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
-        fresh = materialise(fresh.join(pairs, ["a", "b"], "left_anti"), "pairs")
+        more = _across(left, turn) if turn < TURNS else _rest(left, weak, spent)
+        fresh = materialise(more.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
         if not fresh.isEmpty():
-            links = links.unionByName(verifier.similar(fresh))
+            links = links.unionByName(_links_of(fresh, sets))
             pairs = pairs.unionByName(fresh)
             node = components(links)
     reps = classes.select("cid", "rep")
