@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import bpe, chat, exact_dedup, mixing, near_dedup, pii, quality, secrets, sharding
+from presslens.llm import bpe, chat, exact_dedup, mixing, near_dedup, pii, quality, secrets, sharding, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_mixing": mixing.op4_mixing,
     "op5_secrets": secrets.op5_secrets,
+    "op6_suffix_dedup": substring_dedup.op6_suffix_dedup,
     "op7_ngram_jaccard": near_dedup.op7_ngram_jaccard,
     "op8_quality": quality.op8_quality,
     "op9_pii": pii.op9_pii,
