@@ -16,8 +16,8 @@ Encoding a corpus:
 
 Decoding concatenates the binary pieces of the ids.
 
-Splitting: ``PATTERN`` looks ahead only at white space, so a text without two spaces in a row and without white space
-beside a newline splits alike when cut before each space and around each newline; other texts go through the pattern whole.
+Splitting: ``PATTERN`` looks ahead only at white space, so a text whose white space is single spaces and newlines, never
+side by side, splits alike when cut before each space and around each newline; other texts go through the pattern whole.
 
 Cases: a null or empty text has no ids; special tokens in a text are ordinary text; repeated rows are encoded each; an
 empty table gives an empty result; other columns pass through ``encode_documents`` (its two own names win).
@@ -136,6 +136,11 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in piece if p]
 
 
+#: White space besides space and newline; a text with any of it goes through the pattern whole.
+_RARE_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_RARE = [c for c in map(chr, range(128, 0x3001)) if c.isspace()]
+
+
 class Splitter:
     """Cuts texts into parts that split alike alone and in their text."""
 
@@ -144,7 +149,7 @@ class Splitter:
 
     def lines(self, text: str) -> list[list[str]] | None:
         """The space-separated parts of each line, or None if the text needs the pattern as a whole."""
-        if "  " in text:
+        if "  " in text or any(c in text for c in _RARE_ASCII) or not text.isascii() and any(c in text for c in _RARE):
             return None
         lines = text.split("\n")
         for line in lines:
