@@ -3,20 +3,21 @@
 A byte goes if it lies in a ``LENGTH``-byte string that also starts in a document of smaller doc_id.
 
 1. Anchors: of every ``LENGTH``-byte window, the ``GRAM``-byte gram with the least hash (the leftmost of equals) is its anchor;
-   equal windows have the same anchor at the same offset. Grams' hashes go to owners, packed by block of documents, 8 bytes
-   each; anchors that occur in one document only end there.
-2. Around each occurrence of a shared anchor, the bytes that all windows with this anchor cover (at most
-   ``2 * LENGTH - GRAM``) are one string, and go to the anchor's owner.
-3. An owner builds the order of all its strings' suffixes column by column, aligned at the anchor and from the right: each round
+   equal windows have the same anchor at the same offset. The bytes that neighbouring windows with one anchor cover (at
+   most ``2 * LENGTH - GRAM``) are one string. Equal strings (by 64-bit hash, next to the anchor's 48 bits) are a class: the
+   smallest doc_id stands for it, and every other document loses all windows of the string. A block of documents
+   settles its own classes and sends the hash of each once, so a passage in a third of all documents is one entry a block.
+2. The strings that stand for the classes of an anchor with several documents go to the anchor's owner.
+3. An owner builds the order of its strings' suffixes column by column, aligned at the anchor and from the right: each round
    puts one symbol before each string, so the order is a stable sort of the last one by that symbol, and the common prefix
    of neighbours is one more than the least in the range between them before. Where neighbours share ``LENGTH`` bytes or
    more, windows are equal, and those of all but the smallest doc_id are found.
 
-The columns of one owner stay in memory and are bounded by its number of strings, so no external files are kept; a round of
+The columns are built for ``AT_ONCE`` strings, or one anchor's, in memory, so no external files are kept; a round of
 the whole collection, as for short reads, would need as many rounds as the longest document has bytes.
 
 Cases: a null text is empty; texts below ``LENGTH`` bytes lose nothing; a string that repeats inside one document only stays;
-rows that share a doc_id do not remove from each other; an empty table gives an empty result; other columns are not read.
+rows that share a doc_id do not remove from each other, and a row without a doc_id loses nothing and removes nothing; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +36,15 @@ from presslens.llm.common import documents, materialise, text_bytes
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
+#: Bytes whose grams are hashed at once; longer texts are cut there, counted from their own start.
+CHUNK = 1 << 20
 BLOCK_BYTES = 1 << 24
 OWNER_BYTES = 1 << 24
-_POWERS = [pow(0x9E3779B97F4A7C15, GRAM - 1 - i, 1 << 64) for i in range(GRAM)]
+AT_ONCE = 1 << 17
+TABLE_ROWS = 1 << 14
+_BASE = 0x9E3779B97F4A7C15
+_PLACE = np.uint64((1 << 24) - 1)
+_KEY = np.uint64((1 << 48) - 1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -45,142 +53,191 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each anchor: hash, place, first and last start of the windows that have it."""
-    data = np.frombuffer(raw, np.uint8).astype(np.uint64)
-    n = len(data) - LENGTH + 1
-    if n < 1:
-        nothing = np.zeros(0, np.int64)
-        return nothing.astype(np.uint64), nothing, nothing, nothing
-    grams = np.zeros(len(data) - GRAM + 1, np.uint64)
-    for i, p in enumerate(_POWERS):
-        grams += data[i : i + len(grams)] * np.uint64(p)
-    grams = _mix(grams)
-    least, width = grams, 1
-    while width < WINDOW:
-        step = min(width, WINDOW - width)
-        least = np.minimum(least[: len(least) - step], least[step:])
-        width += step
-    # Runs of windows with one least value; where that value occurs more than once, the leftmost place inside the window counts.
-    starts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    ends = np.append(starts[1:], n)
-    hashes, places, first, last = [], [], [], []
-    by_value = np.argsort(grams, kind="stable")
-    found = np.searchsorted(grams[by_value], least[starts], "left")
-    upto = np.searchsorted(grams[by_value], least[starts], "right")
-    for a, b, lo, hi in zip(starts.tolist(), ends.tolist(), found.tolist(), upto.tolist(), strict=True):
-        at = a
-        spots = by_value[lo:hi]
-        while at < b:
-            place = int(spots[np.searchsorted(spots, at, "left")]) if hi - lo > 1 else int(spots[0])
-            to = min(b, place + 1)
-            hashes.append(least[a])
-            places.append(place)
-            first.append(at)
-            last.append(to - 1)
-            at = to
-    return np.array(hashes, np.uint64), np.array(places, np.int64), np.array(first, np.int64), np.array(last, np.int64)
+class Runs:
+    """The strings of some texts laid end to end: text's number, anchor's hash and place, first and last window, hash."""
+
+    def __init__(self, texts: list[bytes]):
+        self.flat = b"".join(texts)
+        self.ends = np.cumsum([len(t) for t in texts])
+        parts = [self._part(at) for at in range(0, len(self.flat) - LENGTH + 1, CHUNK)] or [(np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)]
+        self.key, self.place, self.first, self.last = (np.concatenate(c) for c in zip(*parts, strict=True))
+        self.text = np.searchsorted(self.ends, self.first, "right")
+        digest, flat = xxhash.xxh3_64_intdigest, self.flat
+        self.hash = np.fromiter((digest(flat[a:b]) for a, b in zip(self.first.tolist(), (self.last + LENGTH).tolist(), strict=True)), np.uint64, len(self.key))
+
+    def _part(self, at: int) -> tuple[np.ndarray, ...]:
+        grams = np.frombuffer(self.flat, np.uint8)[at : at + CHUNK + LENGTH - 1].astype(np.uint64)
+        width, power = 1, _BASE
+        while width < GRAM:
+            grams = grams[:-width] * np.uint64(power) + grams[width:]
+            width, power = 2 * width, power * power % (1 << 64)
+        grams = _mix(grams)
+        least, width = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64), 1
+        while width < WINDOW:
+            step = min(width, WINDOW - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        place = (least & _PLACE).astype(np.int64)
+        inside = np.ones(len(place) + 2, bool)
+        inside[[0, -1]] = False
+        over = (self.ends[(self.ends > at) & (self.ends < at + len(place) + LENGTH)][:, None] - at - np.arange(1, LENGTH)[None, :]).ravel()
+        inside[over[(over >= 0) & (over < len(place))] + 1] = False
+        turn = np.ones(len(place) + 1, bool)
+        turn[1:-1] = place[1:] != place[:-1]
+        first = np.flatnonzero(inside[1:-1] & (turn[:-1] | ~inside[:-2]))
+        last = np.flatnonzero(inside[1:-1] & (turn[1:] | ~inside[2:]))
+        return grams[place[first]], place[first] + at, first + at, last + at
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[list, list[bytes], list[list]]]:
+    """doc_ids, texts and other columns of up to ``CHUNK`` bytes of text; a longer text is alone."""
+    ids, texts, others, held = [], [], [[] for _ in names], 0
+    for batch in batches:
+        columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("doc_id", *names)]
+        for text, doc_id, *more in zip(text_bytes(batch), *columns, strict=True):
+            if ids and (held + len(text) > CHUNK or len(ids) >= 4096):
+                yield ids, texts, others
+                ids, texts, others, held = [], [], [[] for _ in names], 0
+            ids.append(doc_id)
+            texts.append(text)
+            for column, value in zip(others, more, strict=True):
+                column.append(value)
+            held += len(text)
+    if ids:
+        yield ids, texts, others
+
+
+def _by_doc(doc: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct documents, and each one's values."""
+    order = np.argsort(doc, kind="stable")
+    doc, values = doc[order], values[order]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(len(doc), 1), bool), doc[1:] != doc[:-1]]))
+    return doc[starts], [values[a:b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(doc)], strict=False)]
+
+
+def _classes(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by class and document, where in it a class starts, and which entries have a smaller document before them."""
+    order = np.lexsort((doc, hashes))
+    h, d = hashes[order], doc[order]
+    starts = np.concatenate([np.ones(min(len(h), 1), bool), h[1:] != h[:-1]])
+    lead = np.maximum.accumulate(np.where(starts, np.arange(len(h)), 0)) if len(h) else np.zeros(0, np.int64)
+    return order, starts, d > d[lead]
 
 
 def _packer(owners: int):
+    """Blobs per owner: documents, 48 bits of anchor and 16 of the document's place, hashes. Settled documents have negative owners."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, keys, held = [], [], 0
+        docs, keys, hashes, held, count = [], [], [], 0, 0
 
         def pack() -> pa.RecordBatch:
-            key = np.concatenate(keys)
-            place = np.repeat(np.arange(len(keys), dtype=np.uint64), [len(k) for k in keys])
+            doc, key, digest = np.concatenate(docs), np.concatenate(keys), np.concatenate(hashes)
+            order, starts, gone = _classes(digest, doc)
+            numbers, blobs = [], []
+            for doc_id, mine in zip(*_by_doc(doc[order][gone], digest[order][gone]), strict=True):
+                numbers.append(-1 - int(doc_id) % owners)
+                blobs.append(np.array([doc_id], np.int64).tobytes() + np.unique(mine).tobytes())
+            doc, key, digest = doc[order][starts], key[order][starts], digest[order][starts]
             owner = (((key >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)).astype(np.int64)
-            packed = ((key & np.uint64((1 << 48) - 1)) << np.uint64(16)) | place
             order = np.argsort(owner, kind="stable")
-            owner, packed = owner[order], packed[order]
-            starts = np.flatnonzero(np.diff(owner, prepend=-1)).tolist()
-            table = np.array(ids, np.int64)
-            blobs = []
-            for a, b in zip(starts, [*starts[1:], len(packed)], strict=True):
-                mine, where = np.unique(packed[a:b] & np.uint64(0xFFFF), return_inverse=True)
-                rows = (packed[a:b] & ~np.uint64(0xFFFF)) | where.astype(np.uint64)
-                blobs.append(np.array([len(mine)], np.int64).tobytes() + table[mine.astype(np.int64)].tobytes() + rows.tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(owner[starts], pa.int32()), pa.array(blobs, pa.binary())], names=["owner", "blob"])
-
-        for batch in batches:
-            for doc_id, raw in zip(batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), text_bytes(batch), strict=True):
-                key = np.unique(anchors(raw)[0])
-                if len(key):
-                    ids.append(doc_id)
-                    keys.append(key)
-                    held += len(raw)
-                if held >= BLOCK_BYTES or len(keys) >= 65535:
-                    yield pack()
-                    ids, keys, held = [], [], 0
-        if keys:
+            doc, key, digest, owner = doc[order], key[order], digest[order], owner[order]
+            cuts = np.flatnonzero(np.diff(owner, prepend=-1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(owner)], strict=True):
+                mine, where = np.unique(doc[a:b], return_inverse=True)
+                rows = ((key[a:b] & _KEY) << np.uint64(16)) | where.astype(np.uint64)
+                numbers.append(int(owner[a]))
+                blobs.append(np.array([len(mine)], np.int64).tobytes() + mine.tobytes() + rows.tobytes() + digest[a:b].tobytes())
+            return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["owner", "blob"])
+
+        for ids, texts, _ in _blocks(batches):
+            runs = Runs(texts)
+            docs.append(np.array(ids, np.int64)[runs.text])
+            keys.append(runs.key)
+            hashes.append(runs.hash)
+            held, count = held + len(runs.flat), count + len(ids)
+            if held >= BLOCK_BYTES or count >= 60_000:
+                yield pack()
+                docs, keys, hashes, held, count = [], [], [], 0, 0
+        if docs:
             yield pack()
 
     return run
 
 
+_SHARED = "doc_id long, gone binary, build binary"
+
+
 def _shared(table: pa.Table) -> pa.Table:
-    """An owner's anchors that occur in several documents, as one binary of 48-bit keys per document."""
-    keys, docs = [], []
-    for blob in table.column("blob").to_pylist():
+    """Of each document: the strings a smaller document has too, and those that stand for a class and go to the owner."""
+    blobs = table.column("blob").to_pylist()
+    if table.column("owner")[0].as_py() < 0:
+        ids = [int(np.frombuffer(b, np.int64, 1)[0]) for b in blobs]
+        return pa.table([pa.array(ids, pa.int64()), pa.array([b[8:] for b in blobs], pa.binary()), pa.array([b""] * len(blobs), pa.binary())], names=["doc_id", "gone", "build"])
+    keys, docs, hashes = [], [], []
+    for blob in blobs:
         n = int(np.frombuffer(blob, np.int64, 1)[0])
         ids, rows = np.frombuffer(blob, np.int64, n, 8), np.frombuffer(blob, np.uint64, -1, 8 + 8 * n)
+        rows, digest = rows[: len(rows) // 2], rows[len(rows) // 2 :]
         keys.append(rows >> np.uint64(16))
         docs.append(ids[(rows & np.uint64(0xFFFF)).astype(np.int64)])
-    key, doc = np.concatenate(keys), np.concatenate(docs)
+        hashes.append(digest)
+    key, doc, digest = np.concatenate(keys), np.concatenate(docs), np.concatenate(hashes)
+    order, starts, gone = _classes(digest, doc)
+    lost = _by_doc(doc[order][gone], digest[order][gone])
+    key, doc, digest = key[order][starts], doc[order][starts], digest[order][starts]
     order = np.lexsort((doc, key))
-    key, doc = key[order], doc[order]
-    same = key[1:] == key[:-1]
-    several = np.zeros(len(key), bool)
-    if len(key) > 1:
-        change = same & (doc[1:] != doc[:-1])
-        group = np.concatenate([[0], np.cumsum(~same)])
-        wide = np.zeros(int(group[-1]) + 1, bool)
-        wide[group[1:][change]] = True
-        several = wide[group]
-    key, doc = key[several], doc[several]
-    order = np.argsort(doc, kind="stable")
-    key, doc = key[order], doc[order]
-    starts = np.flatnonzero(np.diff(doc, prepend=doc[0] - 1)) if len(doc) else np.zeros(0, np.int64)
-    ends = np.append(starts[1:], len(doc)) if len(doc) else starts
-    return pa.table([pa.array(doc[starts], pa.int64()), pa.array([key[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())], names=["doc_id", "keys"])
+    key, doc, digest = key[order], doc[order], digest[order]
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    upto = np.append(edge[1:], len(key))
+    several = np.repeat(doc[edge] != doc[upto - 1], upto - edge)
+    build = _by_doc(doc[several], digest[several])
+    ids = np.concatenate([lost[0], build[0]])
+    columns = [[x.tobytes() for x in lost[1]] + [b""] * len(build[1]), [b""] * len(lost[1]) + [x.tobytes() for x in build[1]]]
+    return pa.table([pa.array(ids, pa.int64()), *[pa.array(c, pa.binary()) for c in columns]], names=["doc_id", "gone", "build"])
 
 
 def _cutter(owners: int):
-    """The strings around the shared anchors of each document: owner, hash, doc_id, first start, anchor's offset, bytes."""
+    """The strings that stand for their classes: owner, anchor, doc_id, hash, anchor's offset, bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shared = batch.column(batch.schema.get_field_index("keys")).to_pylist()
-            for doc_id, raw, lists in zip(batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), text_bytes(batch), shared, strict=True):
-                key, place, first, last = anchors(raw)
-                wanted = np.isin(key & np.uint64((1 << 48) - 1), np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in lists])))
-                key, place, first, last = key[wanted], place[wanted], first[wanted], last[wanted]
-                owner = (((key >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)).astype(np.int32)
-                strings = [raw[a : b + LENGTH] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
-                if strings:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(owner), pa.array(key.view(np.int64)), pa.array([doc_id] * len(strings), pa.int64()), pa.array(first), pa.array((place - first).astype(np.int32)), pa.array(strings, pa.binary())],
-                        names=["owner", "anchor", "doc_id", "first", "offset", "bytes"],
-                    )
+        for ids, texts, (build,) in _blocks(batches, "build"):
+            runs = Runs(texts)
+            cuts = np.searchsorted(runs.text, np.arange(len(ids) + 1)).tolist()
+            wanted = []
+            for a, b, lists in zip(cuts[:-1], cuts[1:], build, strict=True):
+                _, at = np.unique(runs.hash[a:b], return_index=True)
+                wanted.append(a + at[np.isin(runs.hash[a:b][at], np.frombuffer(b"".join(lists), np.uint64))])
+            wanted = np.concatenate(wanted)
+            key, first = runs.key[wanted], runs.first[wanted]
+            owner = (((key >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)).astype(np.int32)
+            strings = [runs.flat[a:b] for a, b in zip(first.tolist(), (runs.last[wanted] + LENGTH).tolist(), strict=True)]
+            doc = np.array(ids, np.int64)[runs.text[wanted]]
+            columns = [pa.array(owner), pa.array(key.view(np.int64)), pa.array(doc), pa.array(runs.hash[wanted].view(np.int64)), pa.array((runs.place[wanted] - first).astype(np.int32)), pa.array(strings, pa.binary())]
+            made = pa.RecordBatch.from_arrays(columns, names=["owner", "anchor", "doc_id", "hash", "offset", "bytes"])
+            for at in range(0, len(made), 8192):
+                yield made.slice(at, 8192)
 
     return run
 
 
-def column_matches(strings: list[bytes], offsets: np.ndarray, groups: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def column_matches(flat: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, groups: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(string, start) of the windows that also start, at the same column of the same group, in a string of smaller id.
 
     Strings are right-open rows of a table whose columns are counted from the anchor. The order starts empty; from the
     last column to the first, strings that end there enter behind, and all that cover the column are sorted by its symbol.
     """
-    n = len(strings)
-    sizes = np.array([len(s) for s in strings])
+    n = len(sizes)
     left = WINDOW - 1
     width = left + LENGTH + 1
     table = np.zeros((n, width), np.uint8)
     begin = left - offsets
-    flat = np.frombuffer(b"".join(strings), np.uint8)
-    at = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(flat))
-    table[np.repeat(np.arange(n), sizes), at] = flat
+    stop = np.cumsum(sizes)
+    for i in range(0, n, TABLE_ROWS):
+        j = min(n, i + TABLE_ROWS)
+        low = int(stop[i] - sizes[i])
+        piece = flat[low : int(stop[j - 1])]
+        of = np.repeat(np.arange(i, j), sizes[i:j])
+        table[of, np.arange(low, low + len(piece)) + (begin - stop + sizes)[of]] = piece
     end = begin + sizes
     _, group = np.unique(groups, return_inverse=True)
     order = np.zeros(0, np.int64)
@@ -229,39 +286,70 @@ def column_matches(strings: list[bytes], offsets: np.ndarray, groups: np.ndarray
 
 
 def _match(table: pa.Table) -> pa.Table:
-    """An owner's repeated windows: doc_id and start, as one binary of starts per document."""
-    table = table.combine_chunks()
-    ids = table.column("doc_id").to_numpy()
-    found, start = column_matches(table.column("bytes").to_pylist(), table.column("offset").to_numpy().astype(np.int64), table.column("anchor").to_numpy(), ids)
-    doc, at = ids[found], table.column("first").to_numpy()[found] + start
-    order = np.lexsort((at, doc))
-    doc, at = doc[order], at[order]
-    starts = np.flatnonzero(np.diff(doc, prepend=doc[0] - 1)) if len(doc) else np.zeros(0, np.int64)
-    ends = np.append(starts[1:], len(doc)) if len(doc) else starts
-    return pa.table([pa.array(doc[starts], pa.int64()), pa.array([at[a:b].astype(np.int64).tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())], names=["doc_id", "starts"])
+    """An owner's repeated windows: per document, hash of the string and a bit for each of its windows."""
+    table = table.sort_by("anchor").combine_chunks()
+    anchor, ids = table.column("anchor").to_numpy(), table.column("doc_id").to_numpy()
+    edge = np.append(np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])), len(anchor)).tolist()
+    bits = np.zeros(len(anchor), np.uint64)
+    low = 0
+    for this, following in zip(edge[1:], [*edge[2:], len(anchor) + AT_ONCE], strict=True):
+        if following - low <= AT_ONCE:
+            continue
+        part = table.slice(low, this - low).column("bytes").combine_chunks()
+        part = part.chunk(0) if isinstance(part, pa.ChunkedArray) else part
+        wide = part.cast(pa.large_binary())
+        stops = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset : wide.offset + len(wide) + 1]
+        flat = np.frombuffer(wide.buffers()[2], np.uint8)[stops[0] : stops[-1]]
+        found, start = column_matches(flat, np.diff(stops), table.column("offset").to_numpy()[low:this].astype(np.int64), anchor[low:this], ids[low:this])
+        np.bitwise_or.at(bits, low + found, np.uint64(1) << start.astype(np.uint64))
+        low = this
+    hit = bits > 0
+    doc, rows = _by_doc(ids[hit], np.stack([table.column("hash").to_numpy()[hit].view(np.uint64), bits[hit]], 1))
+    return pa.table([pa.array(doc, pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "hits"])
 
 
 _OUT = "doc_id long, kept binary, span_starts array<long>, span_ends array<long>, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
+def _covered(texts: list[bytes], gone: list, hits: list) -> np.ndarray:
+    """Which bytes of the texts, laid end to end, lie in a repeated window."""
+    runs = Runs(texts)
+    bits = np.zeros(len(runs.key), np.uint64)
+    full = np.zeros(len(runs.key), bool)
+    cuts = np.searchsorted(runs.text, np.arange(len(texts) + 1)).tolist()
+    for a, b, lost, found in zip(cuts[:-1], cuts[1:], gone, hits, strict=True):
+        if a < b and lost:
+            full[a:b] = np.isin(runs.hash[a:b], np.frombuffer(b"".join(lost), np.uint64))
+        if a < b and found:
+            rows = np.frombuffer(b"".join(found), np.uint64).reshape(-1, 2)
+            rows = rows[np.argsort(rows[:, 0], kind="stable")]
+            at = np.minimum(np.searchsorted(rows[:, 0], runs.hash[a:b]), len(rows) - 1)
+            bits[a:b] = np.where(rows[at, 0] == runs.hash[a:b], rows[at, 1], np.uint64(0))
+    cover = np.zeros(len(runs.flat) + 1, np.int32)
+    np.add.at(cover, runs.first[full], 1)
+    np.subtract.at(cover, runs.last[full] + LENGTH, 1)
+    for w in range(WINDOW):
+        starts = runs.first[(bits >> np.uint64(w)) & np.uint64(1) > 0] + w
+        np.add.at(cover, starts, 1)
+        np.subtract.at(cover, starts + LENGTH, 1)
+    return np.cumsum(cover[:-1]) > 0
+
+
 def _remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for doc_id, raw, lists in zip(batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), text_bytes(batch), batch.column(batch.schema.get_field_index("lists")).to_pylist(), strict=True):
+    kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    for ids, texts, (gone, hits) in _blocks(batches, "gone", "hits"):
+        cover = _covered(texts, gone, hits) if any(gone) or any(hits) else None
+        rows, at = [], 0
+        for doc_id, raw in zip(ids, texts, strict=True):
             begins, ends, kept = [], [], raw
-            if lists:
-                at = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in lists]))
-                cover = np.zeros(len(raw) + 1, np.int64)
-                cover[at] += 1
-                np.subtract.at(cover, at + LENGTH, 1)
-                gone = np.cumsum(cover)[:-1] > 0
-                edge = np.diff(gone.astype(np.int8), prepend=0, append=0)
+            mine = cover[at : at + len(raw)] if cover is not None else None
+            at += len(raw)
+            if mine is not None and mine.any():
+                edge = np.diff(mine.astype(np.int8), prepend=0, append=0)
                 begins, ends = np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+                kept = np.frombuffer(raw, np.uint8)[~mine].tobytes()
             rows.append((doc_id, kept, begins, ends, len(raw), len(raw) - len(kept), len(begins), hashlib.sha256(kept).hexdigest()))
-        if rows:
-            kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "kept", "span_starts", "span_ends", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "kept", "span_starts", "span_ends", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -271,12 +359,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     owners = max(shuffles if size > 1_000_000 else 1, math.ceil(size / OWNER_BYTES))
-    shared = docs.mapInArrow(_packer(owners), "owner int, blob binary").groupBy("owner").applyInArrow(_shared, "doc_id long, keys binary")
-    shared = materialise(shared, "shared").groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    strings = docs.join(shared, "doc_id").mapInArrow(_cutter(owners), "owner int, anchor long, doc_id long, first long, offset int, bytes binary")
-    found = materialise(strings.groupBy("owner").applyInArrow(_match, "doc_id long, starts binary"), "found")
-    lists = found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("starts").alias("lists"))
-    return docs.join(lists, docs.doc_id == lists._id, "left").select("doc_id", "text", "lists").mapInArrow(_remover, _OUT)
+    shared = materialise(docs.filter("doc_id is not null").mapInArrow(_packer(owners), "owner int, blob binary").groupBy("owner").applyInArrow(_shared, _SHARED), "shared")
+    build = shared.filter(F.length("build") > 0).groupBy("doc_id").agg(F.collect_list("build").alias("build"))
+    strings = docs.join(build, "doc_id").mapInArrow(_cutter(owners), "owner int, anchor long, doc_id long, hash long, offset int, bytes binary")
+    found = materialise(strings.groupBy("owner").applyInArrow(_match, "doc_id long, hits binary"), "found")
+    nothing = F.lit(None).cast("binary")
+    both = shared.filter(F.length("gone") > 0).select("doc_id", "gone", nothing.alias("hits")).unionByName(found.select("doc_id", nothing.alias("gone"), "hits"))
+    lists = both.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("gone").alias("gone"), F.collect_list("hits").alias("hits"))
+    return docs.join(lists, docs.doc_id == lists._id, "left").select("doc_id", "text", "gone", "hits").mapInArrow(_remover, _OUT)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
