@@ -39,7 +39,7 @@ WINDOW = LENGTH - GRAM + 1
 #: Bytes whose grams are hashed at once; longer texts are cut there, counted from their own start.
 CHUNK = 1 << 20
 BLOCK_BYTES = 1 << 24
-OWNER_BYTES = 1 << 24
+OWNER_BYTES = 1 << 22
 AT_ONCE = 1 << 17
 TABLE_ROWS = 1 << 14
 _BASE = 0x9E3779B97F4A7C15
