@@ -37,8 +37,8 @@ from presslens.llm.common import documents, materialise, text_bytes
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
 #: Bytes whose grams are hashed at once; longer texts are cut there, counted from their own start.
-CHUNK = 1 << 20
-BLOCK_BYTES = 1 << 24
+CHUNK = 1 << 18
+BLOCK_BYTES = 1 << 23
 OWNER_BYTES = 1 << 22
 AT_ONCE = 1 << 17
 TABLE_ROWS = 1 << 14
