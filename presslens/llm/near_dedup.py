@@ -44,7 +44,7 @@ SHINGLE = 5
 #: Similarity of at least 80 %, as integers: 100 * intersection >= 80 * union.
 PERCENT = 80
 FEW = 8
-TURNS = 5
+TURNS = 1
 #: Cells that a bucket of keys holds on average, and that a block packs at once.
 BUCKET_CELLS = 1 << 20
 BLOCK_CELLS = 1 << 21
