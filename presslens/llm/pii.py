@@ -6,7 +6,7 @@ pseudonym has the same format and is valid, no two values of a format share one,
 pseudonyms in every document, however they were punctuated. Punctuation stays where it was.
 
 Kinds: payment card numbers (13 to 19 digits that pass the Luhn check; the check digit is made anew), US social security
-numbers, North American phone numbers, IPv4 addresses, dates of 1900 to 2099. Local part and domain of an e-mail
+numbers, North American phone numbers (any area code, with or without separators), IPv4 addresses, dates of 1900 to 2099. Local part and domain of an e-mail
 address, which have no numeric format, are replaced by keyed hashes.
 
 Cases: a null text stays null; an empty text, or one without such data, is unchanged; candidates that are not valid stay as
@@ -24,7 +24,8 @@ ROUNDS = 8
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 CARD = r"(?<![0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-PHONE = r"(?<![0-9])(?:\+?1[ .-])?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+#: With separators, or ten digits without any, if they are not the decimals of a number or part of a longer name (a hex string, say).
+PHONE = r"(?<![0-9])(?!(?:(?<=[0-9]\.)|(?<=[A-Za-z_]))[0-9]{10,11}(?![0-9]))(?![0-9]{10,11}[A-Za-z_])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
 IPV4 = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9/-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/-])[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}(?![0-9/])"
 ANY = "|".join((EMAIL, CARD, SSN, PHONE, IPV4, DATE))
@@ -118,13 +119,15 @@ def ssn(hit: Column, key: str) -> Column:
 
 
 def phone(hit: Column, key: str) -> Column:
-    """The ten national digits; the first stays 2 to 9, a leading country code stays."""
+    """The ten national digits: numbers that start with 2 to 9 and those with 0 or 1 are permuted apart; a leading country code stays."""
 
     def permuted(d: Column) -> Column:
         ten = F.substring(d, -10, 10)
-        pair = feistel(F.substring(ten, 1, 5).cast("long") - 20000, F.substring(ten, 6, 5), F.lit(80000), F.lit(100000), key, "phone")
+        low = F.when(ten.rlike("^[01]"), F.lit(0)).otherwise(F.lit(20000))
+        span = F.when(ten.rlike("^[01]"), F.lit(20000)).otherwise(F.lit(80000))
+        pair = feistel(F.substring(ten, 1, 5).cast("long") - low, F.substring(ten, 6, 5), span, F.lit(100000), key, "phone")
         lead = F.substring(d, F.lit(1), F.length(d) - 10)
-        return put_digits(hit, let(pair, lambda s: F.concat(lead, padded(s["l"] + 20000, 5), padded(s["r"], 5))))
+        return put_digits(hit, let(pair, lambda s: F.concat(lead, padded(s["l"] + low, 5), padded(s["r"], 5))))
 
     return let(only_digits(hit), permuted)
 
