@@ -5,7 +5,8 @@ a value is a pair (left, right) of mixed radix, and rounds add a keyed hash of o
 pseudonym has the same format and is valid, no two values of a format share one, and equal values get equal
 pseudonyms in every document, however they were punctuated. Punctuation stays where it was.
 
-Kinds: payment card numbers (13 to 19 digits that pass the Luhn check; the check digit is made anew), US social security
+Kinds: payment card numbers (13 to 19 digits that pass the Luhn check, beside whatever other numbers; the check digit is made
+anew; some sequences of plain numbers pass the check by chance and are replaced too), US social security
 numbers, North American phone numbers (any area code, with or without separators), IPv4 addresses, dates of 1900 to 2099. Local part and domain of an e-mail
 address, which have no numeric format, are replaced by keyed hashes.
 
@@ -22,13 +23,19 @@ from presslens.llm.common import documents, let
 
 ROUNDS = 8
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-CARD = r"(?<![0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+#: Digits in groups with single spaces or hyphens between them, 13 digits at least; cards are sought in it at the groups' ends.
+RUN = r"(?<![0-9])(?<![0-9]\.)(?=(?:[ -]?[0-9]){13})[0-9]++(?:[ -][0-9]++)*+"
+#: The lengths and first digits of known issuers, without groups of one or two digits; the usual ways to write a card number.
+ISSUED = r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|(?:5[1-5]|2[2-7]|35)[0-9]{14}|3[47][0-9]{13}|3(?:0[0-5]|[689])[0-9]{11}|6[0-9]{15}(?:[0-9]{3})?)$"
+SHORT_GROUP = r"(?:^|[ -])[0-9]{1,2}(?:[ -]|$)"
+USUAL = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})[ -]?$"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 #: With separators, or ten digits without any, if they are not the decimals of a number or part of a longer name (a hex string, say).
 PHONE = r"(?<![0-9])(?!(?:(?<=[0-9]\.)|(?<=[A-Za-z_]))[0-9]{10,11}(?![0-9]))(?![0-9]{10,11}[A-Za-z_])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-]?)[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
 IPV4 = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9/-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/-])[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}(?![0-9/])"
-ANY = "|".join((EMAIL, CARD, SSN, PHONE, IPV4, DATE))
+EMAIL_OR_RUN = f"{EMAIL}|{RUN}"
+OTHERS = "|".join((EMAIL, SSN, PHONE, IPV4, DATE))
 #: 1900-01-01 to 2099-12-31 are 73,049 = 319 * 229 days.
 DATE_RADIX = (319, 229)
 KINDS = ("email", "card", "ssn", "phone", "ipv4", "date")
@@ -157,7 +164,7 @@ def email(hit: Column, key: str) -> Column:
 
 def kind_of(hit: Column) -> Column:
     """The kind that matched, by the order of the alternatives."""
-    whole = [(EMAIL, "email"), (CARD, "card"), (SSN, "ssn"), (PHONE, "phone"), (IPV4, "ipv4"), (DATE, "date")]
+    whole = [(EMAIL, "email"), (SSN, "ssn"), (PHONE, "phone"), (IPV4, "ipv4"), (DATE, "date")]
     out = None
     for pattern, name in whole:
         test = hit.rlike(f"^(?:{pattern})$")
@@ -165,36 +172,104 @@ def kind_of(hit: Column) -> Column:
     return out
 
 
+def piece(said: Column, kind: Column | None = None) -> Column:
+    """A part of a text: the kind it was replaced as, "" if it is settled as it is, null if it is still to be searched."""
+    return F.struct(said.alias("said"), (F.lit(None).cast("string") if kind is None else kind).alias("kind"))
+
+
 def pseudonym(hit: Column, key: str) -> Column:
-    makers = {"email": email, "card": card, "ssn": ssn, "phone": phone, "ipv4": ipv4, "date": date}
+    makers = {"email": email, "ssn": ssn, "phone": phone, "ipv4": ipv4, "date": date}
 
     def made(kind: Column) -> Column:
         out = None
         for name, maker in makers.items():
             out = F.when(kind == name, maker(hit, key)) if out is None else out.when(kind == name, maker(hit, key))
-        return F.struct(kind.alias("kind"), F.coalesce(out, hit).alias("made"), F.coalesce(out != hit, F.lit(False)).alias("changed"))
+        return let(F.coalesce(out, hit), lambda said: piece(said, F.when(said != hit, kind).otherwise("")))
 
     return let(kind_of(hit), made)
 
 
+def cut(said: Column, pattern: str, of_hit) -> Column:
+    """The pieces of a string: those between the matches, and for each match the array of pieces ``of_hit`` makes."""
+    hits = F.regexp_extract_all(said, F.lit(f"({pattern})"), F.lit(0))
+    pairs = F.zip_with(F.split(said, pattern, -1), hits, lambda plain, hit: F.when(hit.isNull(), F.array(piece(plain))).otherwise(F.concat(F.array(piece(plain)), of_hit(hit))))
+    return F.flatten(pairs)
+
+
+def searched(pieces: Column, of_open) -> Column:
+    """Pieces with each open one replaced by the array of pieces that ``of_open`` makes of its string."""
+    return F.flatten(F.transform(pieces, lambda p: F.when(p["kind"].isNull(), of_open(p["said"])).otherwise(F.array(p))))
+
+
+def merged(pieces: Column) -> Column:
+    """Open pieces side by side made one, so that what spans them is found."""
+
+    def add(done: Column, p: Column) -> Column:
+        last = F.element_at(done, -1)
+        both = (F.size(done) > 0) & p["kind"].isNull() & F.try_element_at(done, F.lit(-1))["kind"].isNull()
+        return F.when(both, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(piece(F.concat(last["said"], p["said"]))))).otherwise(F.array_append(done, p))
+
+    return F.aggregate(pieces, F.array().cast("array<struct<said:string,kind:string>>"), add)
+
+
+def cards_in(run: Column, key: str, fits) -> Column:
+    """The pieces of a run: cards are stretches of whole groups with 13 to 19 digits that ``fits`` and the Luhn check accept.
+
+    From the left; of those that start at a group, one of 16 digits goes first, then the longest.
+    """
+
+    def of_groups(groups: Column) -> Column:
+        n = F.size(groups)
+        joined = lambda i, j: F.array_join(F.slice(groups, i, F.greatest(j - i + 1, F.lit(0))), "")
+
+        def from_group(i: Column) -> Column:
+            def stretch(j: Column) -> Column:
+                return let(joined(i, j), lambda said: let(only_digits(said), lambda d: F.struct(F.when(F.length(d) == 16, 0).otherwise(20 - F.length(d)).alias("rank"), i.alias("i"), j.alias("j"), said.alias("said"), d.alias("d"))))
+
+            every = F.transform(F.sequence(i, F.least(i + 18, n)), stretch)
+            valid = F.filter(every, lambda w: F.when(F.length(w["d"]).between(13, 19), F.when(fits(w["said"], w["d"]), luhn_sum(w["d"]) % 10 == 0)).otherwise(False))
+            return F.slice(F.array_sort(valid), 1, 1)
+
+        def take(done: Column, w: Column) -> Column:
+            gap = F.when(w["i"] > done["last"] + 1, F.array(piece(joined(done["last"] + 1, w["i"] - 1)))).otherwise(F.array().cast("array<struct<said:string,kind:string>>"))
+            made = let(card(w["said"], key), lambda said: piece(said, F.when(said != w["said"], F.lit("card")).otherwise("")))
+            more = F.struct(w["j"].alias("last"), F.concat(done["pieces"], gap, F.array(made)).alias("pieces"))
+            return F.when(w["i"] > done["last"], more).otherwise(done)
+
+        start = F.struct(F.lit(0).alias("last"), F.array().cast("array<struct<said:string,kind:string>>").alias("pieces"))
+        found = F.flatten(F.transform(F.sequence(F.lit(1), n), from_group))
+        ended = lambda done: F.when(done["last"] < n, F.array_append(done["pieces"], piece(joined(done["last"] + 1, n)))).otherwise(done["pieces"])
+        return F.aggregate(found, start, take, ended)
+
+    return let(F.regexp_extract_all(run, F.lit("([0-9]++[ -]?)"), F.lit(0)), of_groups)
+
+
+def cards_first(hit: Column, key: str) -> Column:
+    """Cards of known issuers, then cards in a usual form; e-mail addresses as they are replaced."""
+    issued = cards_in(hit, key, lambda said, d: d.rlike(ISSUED) & ~said.rlike(SHORT_GROUP))
+    return F.when(hit.contains("@"), F.array(pseudonym(hit, key))).otherwise(searched(issued, lambda run: cards_in(run, key, lambda said, d: said.rlike(USUAL))))
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """doc_id, text with pseudonyms, and the number of replaced values of each kind (``n_email`` and so on).
 
-    The text is cut at the matches and joined with their pseudonyms; only texts with an ``@`` or a digit are searched.
+    A text is cut into pieces three times: by the cards that are surely cards, by the other kinds, and by whatever else in a run
+    of digits passes the Luhn check. Only texts with an ``@`` or a digit are searched.
     """
     source = F.col(text)
     maybe = F.coalesce(source.rlike("[0-9@]"), F.lit(False))
-    cut = docs.select("doc_id", source.alias("text"), F.when(maybe, F.regexp_extract_all(source, F.lit(f"({ANY})"), F.lit(0))).alias("hits"))
-    made = cut.withColumn("made", F.when(F.size("hits") > 0, F.transform("hits", lambda h: pseudonym(h, key))))
-    plain = F.array_append(F.transform("made", lambda m: m["made"]), F.lit(""))
-    joined = F.array_join(F.zip_with(F.split("text", ANY, -1), plain, lambda a, b: F.concat(a, b)), "")
+    rows = docs.select("doc_id", source.alias("text"))
+    first = F.when(F.col("text").rlike(RUN), merged(cut(F.col("text"), EMAIL_OR_RUN, lambda hit: cards_first(hit, key)))).otherwise(F.array(piece(F.col("text"))))
+    rows = rows.withColumn("made", F.when(maybe, first))
+    rows = rows.withColumn("made", searched(F.col("made"), lambda said: F.when(said.rlike("[0-9@]"), cut(said, OTHERS, lambda hit: F.array(pseudonym(hit, key)))).otherwise(F.array(piece(said)))))
+    other_cards = lambda hit: cards_in(hit, key, lambda said, d: F.lit(True))
+    rows = rows.withColumn("made", searched(F.col("made"), lambda said: F.when(said.rlike(RUN), cut(said, RUN, other_cards)).otherwise(F.array(piece(said)))))
 
     def replaced(kind: str) -> Column:
-        hits = F.filter("made", lambda m: (m["kind"] == kind) & m["changed"])
-        return F.coalesce(F.size(hits), F.lit(0)).cast("long").alias(f"n_{kind}")
+        return F.coalesce(F.size(F.filter("made", lambda p: p["kind"] == kind)), F.lit(0)).cast("long").alias(f"n_{kind}")
 
-    counts = [replaced(k) for k in KINDS]
-    return made.select("doc_id", F.when(F.col("made").isNull(), F.col("text")).otherwise(joined).alias("text"), *counts)
+    joined = F.array_join(F.transform("made", lambda p: p["said"]), "")
+    return rows.select("doc_id", F.when(F.col("made").isNull(), F.col("text")).otherwise(joined).alias("text"), *[replaced(k) for k in KINDS])
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
