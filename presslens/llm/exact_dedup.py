@@ -148,8 +148,8 @@ def _marker(owners: int):
     return run
 
 
-def find_copies(docs: DataFrame) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and text_sha256 (of the normalised text) of every row."""
+def _verdicts(docs: DataFrame) -> DataFrame:
+    """What ``find_copies`` gives, and the code points of every row's text."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     n = row_count(docs)
@@ -169,20 +169,36 @@ def find_copies(docs: DataFrame) -> DataFrame:
     groups = texts.select(plain.alias("plain"), order.alias("order")).groupBy("plain").agg(F.count(F.lit(1)).alias("group_size"), F.max("order").alias("best"))
     groups = groups.select(F.sha2(F.col("plain").cast("binary"), 256).alias("sha"), "group_size", F.col("best.keep").alias("keep_id"), F.col("best.points").alias("most"))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("most"))
-    several = suspects.join(groups, "sha").select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"))
-    single = marked.filter("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
+    several = suspects.join(groups, "sha").select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"), "points")
+    single = marked.filter("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "points")
     return single.unionByName(several)
 
 
+def find_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, keep_id, group_size, kept and text_sha256 (of the normalised text) of every row."""
+    return _verdicts(docs).drop("points")
+
+
 def dedup_documents(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; rows that repeat a kept row's doc_id and text go as well."""
-    dropped = find_copies(docs).filter("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    stay = docs.join(dropped, docs.doc_id.eqNullSafe(dropped._dropped), "left_anti")
-    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select(F.col("doc_id").alias("_id"))
-    if ids.isEmpty():
+    """The rows that stay, with all their columns: one of each text, whatever other texts have its doc_id or have none.
+
+    A verdict holds for a doc_id, a normalised text and its code points; of kept rows that share these, the least text stays.
+    """
+    key = ["doc_id", "text_sha256", "points"]
+    several = _verdicts(docs).filter("group_size > 1").groupBy(*key).agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    several = materialise(several.filter("not kept or n > 1"), "several")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.withColumns({"_sha": F.sha2(F.translate(text, SPACES.decode(), "").cast("binary"), 256), "_points": F.length(text).cast("long")})
+
+    def same(other: DataFrame):
+        return rows.doc_id.eqNullSafe(other.doc_id) & (rows._sha == other.text_sha256) & (rows._points == other.points)
+
+    stay = rows.join(several, same(several), "left_anti").select(*docs.columns)
+    twice = several.filter("kept")
+    if twice.isEmpty():
         return stay
-    twice = stay.join(ids, stay.doc_id.eqNullSafe(ids._id), "left_semi").dropDuplicates(["doc_id", "text"])
-    return stay.join(ids, stay.doc_id.eqNullSafe(ids._id), "left_anti").unionByName(twice)
+    first = rows.join(twice, same(twice), "left_semi").groupBy("doc_id", "_sha").agg(F.min_by(F.struct(*docs.columns), text).alias("row"))
+    return stay.unionByName(first.select("row.*"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

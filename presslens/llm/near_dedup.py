@@ -362,9 +362,17 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def dedup_near(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns: the least doc_id of each component."""
-    dropped = near_components(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs.doc_id == dropped._dropped, "left_anti")
+    """The documents that stay, with all their columns: of each component the least doc_id, a null after all others.
+
+    Rows are told apart by a 64-bit hash of doc_id and text, as one doc_id, or none, may have several texts.
+    """
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    of_row = near_components(rows.select(F.col("_row").alias("doc_id"), "text")).filter("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    named = of_row.join(rows.select("_row", "doc_id").distinct(), "_row")
+    named = materialise(named.select("component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("who")), "named")
+    least = named.groupBy("component_id").agg(F.min("who").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    dropped = named.join(least, "component_id").filter("who._row <> least._row").select(F.col("who._row").alias("_row"))
+    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
