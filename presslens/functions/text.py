@@ -5,25 +5,28 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: What counts as part of a word. ``(?U)\\w`` would also count combining marks, which must not continue a word.
 TOKEN = r"[\p{L}\p{N}_]+"
 BEFORE, AFTER = r"(?<![\p{L}\p{N}_'’])", r"(?![\p{L}\p{N}_])"
 
 
-@F.pandas_udf(T.StringType())
-def _nfkd_lower(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s).lower())
+def _nfkd(text: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(text, form="NFKD")
 
 
 def norm(text: Column) -> Column:
-    """NFKD, then lower case. ASCII texts do not leave the JVM."""
-    ascii_only = text.isNull() | ~text.rlike(r"[^\x00-\x7F]")
-    return F.when(ascii_only, F.lower(text)).otherwise(_nfkd_lower(text))
+    """NFKD, then lower case. Of ASCII texts only a null goes to the Arrow kernel."""
+    return F.lower(F.coalesce(F.arrow_udf(_nfkd, "string")(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text))
+
+
+def norm_word(word: str) -> str:
+    """The same for one word on the driver."""
+    return unicodedata.normalize("NFKD", word).lower()
 
 
 def keyword_pattern(keyword: str) -> str:
@@ -33,10 +36,15 @@ def keyword_pattern(keyword: str) -> str:
 
 def head_token(keyword: str) -> str | None:
     """The leading word characters of a keyword; None if it starts otherwise."""
-    m = re.match(r"\w+", keyword)
+    m = re.match(r"[^\W]+", keyword)
     return m.group() if m else None
 
 
+def once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({TOKEN})"), F.lit(1))
 
@@ -60,6 +68,25 @@ def link_hash(link: Column) -> Column:
     return F.sha1(link.cast("binary"))
 
 
-def sql_functions(spark) -> None:
-    """Register the Python-backed functions for SQL."""
-    spark.udf.register("norm_text", _nfkd_lower)
+_MADE, _SOURCE = (rf"regexp_replace(coalesce({c}, ''), '(?U)^\\s+|\\s+$', '')" for c in ("made", "source"))
+#: Functions for SQL with a body in SQL: parameters, type of the result, body.
+SQL_BODIES = {
+    "link_hash": ("link STRING", "STRING", "sha1(cast(link AS BINARY))"),
+    "partition_day": ("stamp STRING", "STRING", "nullif(regexp_extract(coalesce(stamp, ''), '^([0-9]{4}-[0-9]{2}-[0-9]{2})', 1), '')"),
+    "naval_bucket": ("nv DOUBLE", "INT", "CASE WHEN coalesce(nv, 0) <= 0 THEN 0 ELSE cast(least(ceil(nv / 10), 6) AS INT) END"),
+    "is_broken_translation": (
+        "made STRING, source STRING",
+        "BOOLEAN",
+        rf"""{_MADE} = '' OR {_MADE} RLIKE '(?d)(.{{2,20}}?)\\1{{4,}}' OR array_max(transform(split({_MADE}, '\\s+'), w -> length(w))) > 45
+  OR length({_MADE}) > 200 AND length({_MADE}) > 3 * length({_SOURCE}) + 40
+  OR length({_MADE}) > 60 AND size(array_distinct(split({_MADE}, ''))) / length({_MADE}) < 0.15""",
+    ),
+}
+
+
+def sql_functions(spark: SparkSession) -> None:
+    """Register ``norm_text`` and the functions of ``SQL_BODIES`` for SQL."""
+    spark.udf.register("norm_nfkd", F.arrow_udf(_nfkd, "string"))
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION norm_text(t STRING) RETURNS STRING RETURN lower(norm_nfkd(t))")
+    for name, (parameters, kind, body) in SQL_BODIES.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {kind} RETURN {body}")

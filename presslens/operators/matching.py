@@ -1,38 +1,87 @@
-"""Keyword matching by a token-headed join, scores over it, and context rules.
+"""Keyword matching by head tokens, scores over it, and context rules.
 
-A keyword that starts with a word character can only match where its leading token is a whole token of the text. So texts
-are exploded into distinct tokens, joined with the keywords on that token, and only these candidates are tested with the
-keyword's pattern. Dictionaries are small tables made on the driver; the planner broadcasts them by their size.
+A keyword that starts with a word character can only match where its leading token is a whole token of the text. So only
+keywords whose head is among a text's tokens are tested with their pattern.
+
+A dictionary is made on the driver, so its size is known. Up to ``LITERAL_BYTES`` it goes into the plan as a literal and every
+text is matched in its own row, without a join or shuffle. A larger one is a table joined by head with the texts' tokens, which
+carry the text's key only; the planner broadcasts whichever side is small, and texts meet their candidates by key.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.functions.text import head_token, keyword_pattern, tokens
+from presslens.functions.text import head_token, keyword_pattern, norm_word, tokens
+
+LITERAL_BYTES = 1 << 20
+ENTRY = "kw_id int, class string, ord int, kw string, weight int"
+
+
+@dataclass(frozen=True)
+class Dictionary:
+    """Entries (kw_id, class, ord, kw, weight, head, pattern)."""
+
+    rows: tuple[tuple, ...]
+
+    @property
+    def size(self) -> int:
+        return sum(len(str(v).encode()) for row in self.rows for v in row)
+
 
+def dictionary(entries: list[tuple[str, list[tuple[str, int]]]], normalise: bool = False) -> Dictionary:
+    """Classes in file order, each with (keyword, weight); an entry that is listed twice counts twice.
 
-def dictionary(spark: SparkSession, entries: list[tuple[str, list[tuple[str, int]]]]) -> DataFrame:
-    """kw_id, class, ord, kw, weight, head and pattern; an entry that is listed twice counts twice."""
+    Texts are matched in normal form (``text.norm``), keywords as they are written unless ``normalise`` is set: a keyword with
+    composed accents then never matches.
+    """
     rows = []
     for order, (name, words) in enumerate(entries):
         for word, weight in words:
+            word = norm_word(word) if normalise else word
             head = head_token(word)
             if head is None:
                 raise ValueError(f"a keyword must start with a word character: {word!r}")
             rows.append((len(rows), name, order, word, weight, head, keyword_pattern(word)))
-    return spark.createDataFrame(rows, "kw_id int, class string, ord int, kw string, weight int, head string, pattern string")
+    return Dictionary(tuple(rows))
 
 
-def keyword_hits(texts: DataFrame, words: DataFrame, key: str = "id", text: str = "norm_text") -> DataFrame:
-    """One row per text and entry found: key, kw_id, class, ord, kw, weight, pos (1-based, of the first hit)."""
-    exploded = texts.select(key, text, F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
-    candidates = exploded.join(words, exploded["token"] == words["head"])
-    hits = candidates.filter(F.expr(f"rlike(`{text}`, pattern)"))
-    return hits.select(key, "kw_id", "class", "ord", "kw", "weight", F.expr(f"regexp_instr(`{text}`, pattern)").alias("pos"))
+def _literal(value: object, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _found(text: Column, candidates: Column) -> Column:
+    """Of candidate entries those whose pattern is in the text, with the place of the first hit."""
+    hits = F.filter(candidates, lambda e: F.rlike(text, e["pattern"]))
+    names = [c.split()[0] for c in ENTRY.split(", ")]
+    return F.transform(hits, lambda e: F.struct(*[e[n].alias(n) for n in names], F.regexp_instr(text, e["pattern"]).alias("pos")))
+
+
+def hits_in(text: Column, words: Dictionary, held: Column | None = None) -> Column:
+    """The entries found in a text: array of kw_id, class, ord, kw, weight, pos (1-based, of the first hit). ``held``: its tokens, if cut before."""
+    by_head: dict[str, list[dict]] = {}
+    for kw_id, name, order, word, weight, head, pattern in words.rows:
+        by_head.setdefault(head, []).append({"kw_id": kw_id, "class": name, "ord": order, "kw": word, "weight": weight, "pattern": pattern})
+    heads = _literal(list(by_head), "array<string>")
+    groups = _literal(list(by_head.values()), f"array<array<struct<{ENTRY.replace(' ', ':').replace(',:', ',')},pattern:string>>>")
+    present = F.array_intersect(tokens(text) if held is None else held, heads)
+    return _found(text, F.flatten(F.transform(present, lambda t: F.get(groups, (F.array_position(heads, t) - 1).cast("int")))))
+
+
+def keyword_hits(texts: DataFrame, words: Dictionary, key: str = "id", text: str = "norm_text", literal_bytes: int = LITERAL_BYTES) -> DataFrame:
+    """One row per text and entry found: key, kw_id, class, ord, kw, weight, pos. Beyond ``literal_bytes`` keys must be unique."""
+    if words.size <= literal_bytes:
+        return texts.select(key, F.explode(hits_in(F.col(text), words)).alias("_h")).select(key, "_h.*")
+    table = texts.sparkSession.createDataFrame(list(words.rows), f"{ENTRY}, head string, pattern string")
+    held = texts.select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("head"))
+    entry = F.struct(*[c.split()[0] for c in ENTRY.split(", ")], "pattern")
+    candidates = held.join(table, "head").groupBy(key).agg(F.collect_list(entry).alias("_candidates"))
+    both = texts.select(key, text).join(candidates, key)
+    return both.select(key, F.explode(_found(F.col(text), F.col("_candidates"))).alias("_h")).select(key, "_h.*")
 
 
 def class_scores(hits: DataFrame, key: str = "id") -> DataFrame:
@@ -56,12 +105,50 @@ def best_zone(hits: DataFrame, key: str = "id") -> DataFrame:
     return counts.groupBy(key).agg(F.max_by("class", F.struct(F.col("n"), -F.col("ord"))).alias("zone"))
 
 
+def ranked(hits: Column) -> Column:
+    """The classes of a row's hits: array of (score, early, first, n, class), best last when sorted."""
+
+    def of_class(order: Column) -> Column:
+        mine = F.filter(hits, lambda h: h["ord"] == order)
+        score = F.aggregate(mine, F.lit(0), lambda a, h: a + h["weight"])
+        return F.struct(score.alias("score"), (-F.array_min(F.transform(mine, lambda h: h["pos"]))).alias("early"), (-order).alias("first"), F.size(mine).alias("n"), F.get(mine, 0)["class"].alias("class"))
+
+    return F.transform(F.array_distinct(F.transform(hits, lambda h: h["ord"])), of_class)
+
+
+def top_in(hits: Column) -> Column:
+    """(score, class) of a row's best class: score, then earliest hit, then file order; null without hits."""
+    return F.array_max(ranked(hits))
+
+
+def total_in(hits: Column, cap: int | None = None) -> Column:
+    total = F.aggregate(hits, F.lit(0), lambda a, h: a + h["weight"])
+    return F.least(total, F.lit(cap)) if cap is not None else total
+
+
+def zone_in(hits: Column) -> Column:
+    """The class with most entries found, empty without any; a tie goes to the first in the file."""
+    return F.coalesce(F.array_max(F.transform(ranked(hits), lambda r: F.struct(r["n"], r["first"], r["class"])))["class"], F.lit(""))
+
+
+def countries_in(hits: Column) -> Column:
+    """How many classes have a strong word (weight 2)."""
+    return F.size(F.array_distinct(F.transform(F.filter(hits, lambda h: h["weight"] == 2), lambda h: h["ord"])))
+
+
 def substring_labels(texts: DataFrame, labels: dict[str, list[str]], text: str) -> DataFrame:
     """One row per text and label with any of its terms inside the text, words or not."""
     found = F.array(*[F.when(_any_of(F.lower(F.col(text)), terms), F.lit(name)) for name, terms in labels.items()])
     return texts.withColumn("label", F.explode(F.filter(found, lambda x: x.isNotNull())))
 
 
+def label_counts(texts: DataFrame, labels: dict[str, list[str]], text: str) -> DataFrame:
+    """label and n, the number of texts with any of its terms; labels that no text has are listed with 0."""
+    lowered = F.lower(F.col(text))
+    counts = texts.agg(*[F.count_if(_any_of(lowered, terms)).alias(f"n{i}") for i, terms in enumerate(labels.values())])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(name).alias("label"), F.col(f"n{i}").alias("n")) for i, name in enumerate(labels)])).alias("x")).select("x.*")
+
+
 def _any_of(text: Column, terms: list[str]) -> Column:
     out = F.lit(False)
     for term in terms:
@@ -115,11 +202,15 @@ def first_rule(text: Column, countries: Column, rules: list[Rule]) -> Column:
     return out
 
 
+#: Themes of an outlet whose seat stands for the country of its articles, and what an article without one gets.
+SEAT_THEMES, NO_COUNTRY = ("Local/Régional", "Politique"), "Undetermined"
+
+
 def country_confidence(score: Column, country: Column, headquarters: Column, media_theme: Column) -> Column:
     """(country, confidence): a score of 2 or more names it, else a local or political outlet's seat, else undetermined."""
 
     def pair(value: Column, said: str) -> Column:
         return F.struct(value.alias("country"), F.lit(said).alias("confidence"))
 
-    seat = media_theme.isin("Local/Régional", "Politique") & (F.coalesce(headquarters, F.lit("")) != "")
-    return F.when(score >= 3, pair(country, "high")).when(score == 2, pair(country, "medium")).when(seat, pair(headquarters, "media-default")).otherwise(pair(F.lit("Undetermined"), "none"))
+    seat = media_theme.isin(*SEAT_THEMES) & (F.coalesce(headquarters, F.lit("")) != "")
+    return F.when(score >= 3, pair(country, "high")).when(score == 2, pair(country, "medium")).when(seat, pair(headquarters, "media-default")).otherwise(pair(F.lit(NO_COUNTRY), "none"))

@@ -1,33 +1,46 @@
-"""Outlet names: bans and aliases, exact or by prefix."""
+"""Outlet names: bans and aliases, exact or by prefix.
+
+A prefix fits a name that equals it or goes on with a space. So a name is looked up by what stands before each of its spaces, and by
+itself: an equi-join on distinct names, whatever the length of the list. The planner picks the join by measured sizes.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presslens.functions.text import strip
+
 
 def patterns(spark: SparkSession, names: list[tuple[str, str]]) -> DataFrame:
-    """(name, canonical) pairs; a name that ends in ``*`` is a prefix."""
+    """(name, canonical) pairs; a name that ends in ``*`` is a prefix. A later line with the same name replaces an earlier one."""
     last = {}
     for order, (name, canonical) in enumerate(names):
-        last[name] = (name.rstrip("* ") if name.endswith("*") else name, canonical, name.endswith("*"), order)
+        last[name] = (name[:-1].rstrip() if name.endswith("*") else name, canonical, name.endswith("*"), order)
     return spark.createDataFrame(list(last.values()), "pattern string, canonical string, is_prefix boolean, ord int")
 
 
-def _fits(name: Column) -> Column:
-    p = F.col("pattern")
-    return (name == p) | (F.col("is_prefix") & F.startswith(name, F.concat(p, F.lit(" "))))
+def _starts(name: Column) -> Column:
+    words = F.split(name, " ", -1)
+    return F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_join(F.slice(words, F.lit(1), i), " "))
+
+
+def _fits(rows: DataFrame, listed: DataFrame, media: str) -> DataFrame:
+    """_name (as it is in ``rows``) with each pattern that fits it."""
+    names = rows.select(F.col(media).alias("_name")).distinct().withColumn("_plain", strip(F.col("_name")))
+    starts = names.select("_name", "_plain", F.explode(_starts(F.col("_plain"))).alias("pattern"))
+    return starts.join(listed, "pattern").filter(F.col("is_prefix") | (F.col("pattern") == F.col("_plain")))
 
 
 def without_banned(rows: DataFrame, bans: DataFrame, media: str = "media") -> DataFrame:
-    return rows.join(F.broadcast(bans), _fits(F.trim(F.col(media))), "left_anti")
+    """Rows of outlets that no ban fits; a row without an outlet stays."""
+    banned = _fits(rows, bans, media).select("_name").distinct()
+    return rows.join(banned, F.col(media) == F.col("_name"), "left_anti")
 
 
 def canonical_names(rows: DataFrame, aliases: DataFrame, media: str = "media") -> DataFrame:
-    """``rows`` plus ``canonical``: exact alias first, then the longest prefix, else the name itself. Only distinct names are matched."""
-    names = rows.select(F.col(media).alias("_name")).distinct()
-    hits = names.join(F.broadcast(aliases), _fits(F.col("_name")))
-    rank = F.struct(F.col("pattern") == F.col("_name"), F.length("pattern"), -F.col("ord"))
-    best = hits.groupBy("_name").agg(F.max_by("canonical", rank).alias("_canonical"))
+    """``rows`` plus ``canonical``: exact alias first, then the longest prefix, then the first listed, else the trimmed name itself."""
+    rank = F.struct(~F.col("is_prefix"), F.length("pattern"), -F.col("ord"))
+    best = _fits(rows, aliases, media).groupBy("_name").agg(F.max_by("canonical", rank).alias("_canonical"))
     joined = rows.join(best, F.col(media) == F.col("_name"), "left")
-    return joined.withColumn("canonical", F.coalesce("_canonical", F.col(media))).drop("_name", "_canonical")
+    return joined.withColumn("canonical", F.coalesce("_canonical", strip(F.col(media)))).drop("_name", "_canonical")

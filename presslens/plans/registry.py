@@ -2,31 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.functions import dates, language, scores, text
 from presslens.operators import explore, matching, media, merge
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def keep(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[name] = f
-        if sql:
-            ORACLE_SQL[name] = sql
-        return f
-
-    return keep
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+from presslens.plans import archiving, classifying, exploring  # noqa: F401  they register their queries
+from presslens.plans.base import ORACLE_SQL, QUERIES, norm_sql, query, table  # noqa: F401
 
 @query("facet_count_top20", "SELECT source AS facet, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, facet LIMIT 20")
 def facet_count_top20(spark, d):
@@ -56,12 +37,20 @@ def ranking_top25(spark, d):
 STRAITS = {"north": ["the", "den"], "south": ["tion", "ando"], "east": ["zzzz"]}
 
 
-@query("substring_multilabel", """SELECT label, count(DISTINCT doc_id) AS n FROM (
-  SELECT doc_id, 'north' AS label FROM documents WHERE contains(lower(text), 'the') OR contains(lower(text), 'den')
-  UNION ALL SELECT doc_id, 'south' FROM documents WHERE contains(lower(text), 'tion') OR contains(lower(text), 'ando')
-  UNION ALL SELECT doc_id, 'east' FROM documents WHERE contains(lower(text), 'zzzz')) GROUP BY label""")
+_STRAITS_SQL = " UNION ALL ".join(f"SELECT '{n}' AS label, count(*) FILTER (WHERE {' OR '.join(f"contains(lower(text), '{t}')" for t in ts)}) AS n FROM documents" for n, ts in STRAITS.items())
+
+
+@query("substring_multilabel", _STRAITS_SQL)
 def substring_multilabel(spark, d):
-    return matching.substring_labels(table(spark, d, "documents"), STRAITS, "text").groupBy("label").agg(F.count_distinct("doc_id").alias("n"))
+    return matching.label_counts(table(spark, d, "documents"), STRAITS, "text")
+
+
+_PAIRS_SQL = " UNION ALL ".join(f"SELECT doc_id, '{n}' AS label FROM documents WHERE {' OR '.join(f"contains(lower(text), '{t}')" for t in ts)}" for n, ts in STRAITS.items())
+
+
+@query("substring_pairs", _PAIRS_SQL)
+def substring_pairs(spark, d):
+    return matching.substring_labels(table(spark, d, "documents"), STRAITS, "text").select("doc_id", "label")
 
 
 _EDGES = """SELECT ns.n_name AS src, nc.n_name AS dst, count(*) AS w FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ns ON s_nationkey = ns.n_nationkey
@@ -224,15 +213,15 @@ def _pattern(word: str) -> str:
     return f"(^|[^\\p{{L}}\\p{{N}}_''’]){word}($|[^\\p{{L}}\\p{{N}}_])"
 
 
-_HITS = " UNION ALL ".join(
-    f"SELECT doc_id, {i} AS kw_id, '{c}' AS class, {o} AS ord, {w} AS weight, strlen(regexp_extract(lower(text), '^((?s:.*?)){_pattern(k)}', 1)) AS pos FROM documents WHERE regexp_matches(lower(text), '{_pattern(k)}')"
+_HITS = f"WITH normed AS (SELECT doc_id, {norm_sql('text')} AS t FROM documents) " + " UNION ALL ".join(
+    f"SELECT doc_id, {i} AS kw_id, '{c}' AS class, {o} AS ord, {w} AS weight, strlen(regexp_extract(t, '^((?s:.*?)){_pattern(k)}', 1)) AS pos FROM normed WHERE regexp_matches(t, '{_pattern(k)}')"
     for i, (c, o, k, w) in enumerate((c, o, k, w) for o, (c, ws) in enumerate(WORDS) for k, w in ws)
 )
 
 
 def _hits(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id"), F.lower("text").alias("norm_text"))
-    return matching.keyword_hits(docs, matching.dictionary(spark, WORDS), key="doc_id")
+    docs = table(spark, d, "documents").select("doc_id", text.norm(F.col("text")).alias("norm_text"))
+    return matching.keyword_hits(docs, matching.dictionary(WORDS), key="doc_id")
 
 
 @query("kw_hits", f"SELECT doc_id, kw_id, class, weight FROM ({_HITS})")
@@ -269,13 +258,12 @@ _COUNTRIES = "(" + " + ".join(f"CASE WHEN {_m(w)} THEN 1 ELSE 0 END" for w in ("
 
 
 @query("rule_first_match", f"""SELECT doc_id, CASE WHEN {_COUNTRIES} >= 1 AND {_m('heat')} THEN 'Wide' WHEN {_m('the|la')} AND NOT {_m('ties')} AND ({_m('und')} OR {_COUNTRIES} >= 1) THEN 'Names'
-  WHEN {_m('der')} THEN 'Rest' END AS theme FROM (SELECT doc_id, lower(text) AS t FROM documents)""")
+  WHEN {_m('der')} THEN 'Rest' END AS theme FROM (SELECT doc_id, {norm_sql('text')} AS t FROM documents)""")
 def rule_first_match(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("norm_text"))
-    strong = matching.keyword_hits(docs, matching.dictionary(spark, WORDS), key="doc_id").filter("weight = 2").groupBy("doc_id").agg(F.count_distinct("class").alias("countries"))
-    joined = docs.join(strong, "doc_id", "left")
+    docs = table(spark, d, "documents").select("doc_id", text.norm(F.col("text")).alias("norm_text"))
+    counted = docs.withColumn("countries", matching.countries_in(matching.hits_in(F.col("norm_text"), matching.dictionary(WORDS))))
     rules = [r for r in map(matching.parse_rule, RULES) if r]
-    return joined.select("doc_id", matching.first_rule(F.col("norm_text"), F.coalesce("countries", F.lit(0)), rules).alias("theme"))
+    return counted.select("doc_id", matching.first_rule(F.col("norm_text"), F.col("countries"), rules).alias("theme"))
 
 
 @query("country_confidence", f"""WITH b AS (SELECT doc_id, class, score FROM {_SCORES} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos, ord) = 1)
@@ -311,15 +299,17 @@ _CODES = list(language.STOP_WORDS)
 
 @query("lang_stopwords", f"SELECT doc_id, {', '.join(f'{_stop(c)}::INT AS n_{c}' for c in _CODES)} FROM documents")
 def lang_stopwords(spark, d):
-    counts = language.stop_word_counts(F.col("text"))
-    return table(spark, d, "documents").select("doc_id", *[n.alias(f"n_{c}") for c, n in counts.items()])
+    counted = table(spark, d, "documents").select("doc_id", language.stop_word_struct(F.col("text")).alias("n"))
+    return counted.select("doc_id", *[F.col(f"n.{c}").alias(f"n_{c}") for c in language.STOP_WORDS])
 
 
 _OTHER = [c for c in _CODES if c != "en"]
+_COUNTED = ", ".join(f"{'CASE WHEN regexp_matches(text, ' + repr(language.HR_LETTERS) + ') THEN ' + _stop(c) + ' ELSE 0 END' if c == 'hr' else _stop(c)} AS n_{c}" for c in _CODES)
 _BEST = f"greatest({', '.join('n_' + c for c in _OTHER)})"
-_DETECT = f"""(SELECT doc_id, lang, CASE WHEN {_BEST} >= 2 AND {_BEST} > n_en THEN CASE {' '.join(f"WHEN n_{c} = {_BEST} THEN '{c}'" for c in _OTHER)} END WHEN n_en >= 1 THEN 'en'
+_SCRIPT = " ".join(f"WHEN regexp_matches(text, '[{p}]') THEN '{c}'" for c, p in (("el", "\\x{0370}-\\x{03FF}\\x{1F00}-\\x{1FFF}"), ("ru", "\\x{0400}-\\x{04FF}"), ("ar", "\\x{0600}-\\x{06FF}"), ("he", "\\x{0590}-\\x{05FF}"), ("hi", "\\x{0900}-\\x{097F}"), ("th", "\\x{0E00}-\\x{0E7F}"), ("ko", "\\x{AC00}-\\x{D7AF}"), ("ja", "\\x{3040}-\\x{30FF}"), ("zh", "\\x{4E00}-\\x{9FFF}"))) + " WHEN len(regexp_extract_all(text, '[\\x{1EA0}-\\x{1EF9}ĂăĐđƠơƯư]')) >= 2 THEN 'vi'"
+_DETECT = f"""(SELECT doc_id, lang, CASE {_SCRIPT} WHEN {_BEST} >= 2 AND {_BEST} > n_en THEN CASE {' '.join(f"WHEN n_{c} = {_BEST} THEN '{c}'" for c in _OTHER)} END WHEN n_en >= 1 THEN 'en'
   WHEN regexp_matches(text, '[\\x{{0100}}-\\x{{024F}}]') OR len(regexp_extract_all(text, '[à-ÿÀ-ß]')) >= 3 THEN 'xx' ELSE 'en' END AS detected
-  FROM (SELECT doc_id, lang, text, {', '.join(f'{_stop(c)} AS n_{c}' for c in _CODES)} FROM documents))"""
+  FROM (SELECT doc_id, lang, text, {_COUNTED} FROM documents))"""
 
 
 def _detected(spark, d):
@@ -341,18 +331,40 @@ def lang_eval_confusion(spark, d):
     return explore.confusions(_detected(spark, d), "lang", "detected")
 
 
-@query("lang_script", "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'ru' WHEN doc_id % 4 = 1 THEN 'ja' WHEN doc_id % 4 = 2 THEN 'zh' END AS script FROM documents")
+_PLANTED = "text || CASE doc_id % 12 WHEN 0 THEN ' мир' WHEN 1 THEN ' 日本の' WHEN 2 THEN ' 中国' WHEN 4 THEN ' ἀρχή' WHEN 5 THEN ' Ạ ả' WHEN 6 THEN ' 한국' WHEN 8 THEN ' سلام мир' ELSE '' END"
+
+
+@query("lang_script", f"SELECT doc_id, CASE {_SCRIPT} END AS script FROM (SELECT doc_id, {_PLANTED} AS text FROM documents)")
 def lang_script(spark, d):
-    k = F.col("doc_id") % 4
-    words = F.concat("text", F.when(k == 0, " мир").when(k == 1, " 日本の").when(k == 2, " 中国").otherwise(""))
-    return table(spark, d, "documents").select("doc_id", language.script(words).alias("script"))
+    k = F.col("doc_id") % 12
+    more = F.when(k == 0, " мир").when(k == 1, " 日本の").when(k == 2, " 中国").when(k == 4, " ἀρχή").when(k == 5, " Ạ ả").when(k == 6, " 한국").when(k == 8, " سلام мир").otherwise("")
+    return table(spark, d, "documents").select("doc_id", language.script(F.concat("text", more)).alias("script"))
+
+
+#: A fragment of L characters five times in a row is a run of 4 L places whose character comes again L places on.
+_LOOPS = " OR ".join(f"contains(array_to_string(list_transform(range(1, len(c) - {n} + 1), lambda j: CASE WHEN c[j] = c[j + {n}] AND c[j] <> chr(10) THEN '1' ELSE '0' END), ''), repeat('1', {4 * n}))" for n in range(2, 21))
+_BROKEN = f"""SELECT doc_id, CASE WHEN t = '' THEN true WHEN list_max(list_transform(regexp_split_to_array(t, '\\s+'), lambda w: length(w))) > 45 THEN true
+  WHEN length(t) > 200 AND length(t) > 3 * length(o) + 40 THEN true WHEN length(t) > 60 AND len(list_distinct(c)) / length(t) < 0.15 THEN true ELSE ({_LOOPS}) END AS broken
+  FROM (SELECT *, string_split(t, '') AS c FROM (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t, regexp_replace(source, '^\\s+|\\s+$', '', 'g') AS o FROM documents))"""
 
 
-@query("broken_text")
+@query("broken_text", _BROKEN)
 def broken_text(spark, d):
     return table(spark, d, "documents").select("doc_id", language.broken_translation(F.col("text"), F.col("source")).alias("broken"))
 
 
+_SHORT = _BROKEN.replace("SELECT doc_id, regexp_replace(text,", "SELECT p_partkey AS doc_id, regexp_replace(made,").replace("regexp_replace(source,", "regexp_replace(p_type,").replace(
+    "FROM documents", "FROM (SELECT p_partkey, p_type, CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN repeat(substr(p_name, 1, 4), 5) WHEN 2 THEN repeat('x y z w ', 9) || p_name WHEN 3 THEN replace(p_name || p_type || p_name || p_type || p_name, ' ', '') ELSE ' ' END AS made FROM part)"
+)
+
+
+@query("broken_short", _SHORT)
+def broken_short(spark, d):
+    k, name, kind = F.col("p_partkey") % 5, F.col("p_name"), F.col("p_type")
+    made = F.when(k == 0, name).when(k == 1, F.repeat(F.substring(name, 1, 4), 5)).when(k == 2, F.concat(F.repeat(F.lit("x y z w "), 9), name)).when(k == 3, F.replace(F.concat(name, kind, name, kind, name), F.lit(" "), F.lit(""))).otherwise(" ")
+    return table(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), language.broken_translation(made, kind).alias("broken"))
+
+
 @query("reliability_scores", """SELECT c_custkey, round(0.6 / fi, 4) AS reliability2, round(nv * 0.4 / 40, 4) AS marine, round(40.0 / fi, 4) AS reliability_score, round(round(0.6 / fi, 4) + round(nv * 0.4 / 40, 4), 4) AS composite
   FROM (SELECT c_custkey, coalesce(CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE 1 + (c_custkey % 9) / 2.0 END, 4.5)::DOUBLE AS fi, (c_custkey % 60)::DOUBLE AS nv FROM customer)""")
 def reliability_scores(spark, d):

@@ -4,42 +4,158 @@ from __future__ import annotations
 
 import sqlite3
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARCHIVE = (
-    "nom_du_media string, titre string, lien string, time_stamp timestamp_ntz, country_headquarters string, country_article string, region string, "
-    "sujet_article string, sujet_media string, official_rating double, indice_fiabilite double, notation string, fiabilite_calcul double, "
-    "indice_interet_naval double, region_maritime string, fiabilite2 double, interet_marine double, interet_par_fiabilite double, "
-    "confiance_pays_article string, langue string, titre_vo string"
-)
-
-
-def write_days(rows: DataFrame, path: str, day: str, order: list) -> None:
-    """Replace the days that ``rows`` has, sorted inside each file; other days stay."""
-    rows.repartition(day).sortWithinPartitions(day, *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(day).parquet(path)
+from presslens.functions.dates import partition_key, stored_timestamp
+from presslens.operators.merge import changed_days, dedup_first, merge
+from presslens.sources.files import delete, exists
 
-
-def read_days(spark: SparkSession, path: str, schema: str, start: str | None = None, end: str | None = None, day: str = "day") -> DataFrame:
+#: The archive's columns, in order. Texts but for the time of the article and the numbers.
+COLUMNS = (
+    "nom_du_media", "titre", "lien", "time_stamp", "country_headquarters", "country_article", "region",
+    "sujet_article", "sujet_media", "official_rating", "indice_fiabilite", "notation",
+    "fiabilité_calcul", "indice_interet_naval", "region_maritime", "fiabilité2",
+    "intérêt marine calcul", "intérêt_par_fiabilité", "confiance_pays_article", "langue", "titre_vo",
+)
+NUMBERS = ("official_rating", "indice_fiabilite", "fiabilité_calcul", "indice_interet_naval", "fiabilité2", "intérêt marine calcul", "intérêt_par_fiabilité")
+ARCHIVE = ", ".join(f"`{c}` {'timestamp_ntz' if c == 'time_stamp' else 'double' if c in NUMBERS else 'string'}" for c in COLUMNS)
+#: The columns that a database export indexes.
+INDEXED = ("time_stamp", "country_article", "sujet_article", "nom_du_media", "region")
+FILE_ROWS = 1_000_000
+
+
+def to_stored(rows: DataFrame) -> DataFrame:
+    """Text columns as the archive stores them: times and numbers parsed, columns that are missing empty.
+
+    A time or number that looks like a date but cannot be parsed raises; another unreadable number is null.
+    """
+    made: list[Column] = []
+    for name in COLUMNS:
+        raw = F.col(f"`{name}`").cast("string") if name in rows.columns else F.lit(None).cast("string")
+        if name == "time_stamp":
+            value = stored_timestamp(F.trim(raw)).cast("timestamp_ntz")
+        elif name in NUMBERS:
+            value = F.nullif(F.trim(raw), F.lit("")).try_cast("double")
+        else:
+            made.append(raw.alias(name))
+            continue
+        lost = value.isNull() & raw.rlike(r"^\d{4}-\d{2}-\d{2}")
+        made.append(F.when(lost, F.raise_error(F.concat(F.lit(f"{name} cannot be read: "), raw)).cast(value_type(name))).otherwise(value).alias(name))
+    return rows.select(*made)
+
+
+def value_type(name: str) -> str:
+    return "timestamp_ntz" if name == "time_stamp" else "double" if name in NUMBERS else "string"
+
+
+def to_text(rows: DataFrame) -> DataFrame:
+    """Stored columns as texts: nulls empty, times to the minute, whole numbers without decimals."""
+
+    def plain(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        if name == "time_stamp":
+            value = F.date_format(value, "yyyy-MM-dd HH:mm")
+        elif name in NUMBERS:
+            value = F.when((value == F.floor(value)) & (F.abs(value) < 1e15), value.cast("long").cast("string")).otherwise(value.cast("string"))
+        return F.coalesce(value, F.lit("")).alias(name)
+
+    return rows.select(*[plain(c) for c in COLUMNS])
+
+
+def write_days(rows: DataFrame, path: str, day: str, order: list | None = None) -> None:
+    """Replace the days that ``rows`` has; other days stay. Inside a file rows are sorted, by default newest first.
+
+    Rows are dealt by range of day and order, so a large day is several files in order and no day is one task's.
+    """
+    order = [F.desc("time_stamp"), F.desc("lien")] if order is None else order
+    (
+        rows.repartitionByRange(F.col(day), *order)
+        .sortWithinPartitions(day, *order)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
+        .option("maxRecordsPerFile", FILE_ROWS)
+        .partitionBy(day)
+        .parquet(path)
+    )
+
+
+def update_days(rows: DataFrame, path: str, day: str, order: list | None = None) -> DataFrame:
+    """Make the archive at ``path`` hold ``rows``: only days whose rows differ are written, days without rows any more are deleted.
+
+    Returns those days, with ``emptied``; they are what a manifest lists as to be published. ``rows`` must not read from ``path``.
+    """
+    spark = rows.sparkSession
+    if not exists(spark, path):
+        write_days(rows, path, day, order)
+        return rows.select(day).distinct().withColumn("emptied", F.lit(False))
+    before = spark.read.schema(rows.schema).parquet(path)
+    found = changed_days(before, rows, day).collect()  # a few fields for each day that changed
+    changed = [r[day] for r in found if not r["emptied"]]
+    if changed:
+        write_days(rows.filter(F.col(day).isin(changed)), path, day, order)
+    for r in found:
+        if r["emptied"]:
+            delete(spark, f"{path}/{day}={r[day]}")
+    return spark.createDataFrame([(r[day], r["emptied"]) for r in found], rows.select(day).schema.add("emptied", "boolean"))
+
+
+def merge_days(new: DataFrame, path: str, day: str = "day", link: str = "lien", order: list | None = None) -> None:
+    """Add rows to their days, whatever their age: a link that one of these days has, or an earlier new row has, is not added again.
+
+    ``order`` (upwards, plain columns) decides between rows of one link, those already stored before new ones.
+    """
+    spark = new.sparkSession
+    order = order or [F.col("time_stamp"), F.col("titre")]
+    days = [r[0] for r in new.select(day).distinct().collect()]  # a few fields
+    held = new.filter("false")
+    if exists(spark, path):
+        held = spark.read.schema(new.schema).parquet(path).filter(F.col(day).isin([d for d in days if d is not None]) | (F.col(day).isNull() & F.lit(None in days)))
+    write_days(merge(held, new, link, order), path, day, [F.desc_nulls_last(link)] if "time_stamp" not in new.columns else None)
+
+
+def read_days(spark: SparkSession, path: str, schema: str = ARCHIVE, start: str | None = None, end: str | None = None, day: str = "day") -> DataFrame:
     """The archive, pruned to the days asked for; missing texts read as empty."""
     rows = spark.read.schema(f"{schema}, {day} date").parquet(path)
     if start:
         rows = rows.filter(F.col(day) >= F.lit(start).cast("date"))
     if end:
         rows = rows.filter(F.col(day) <= F.lit(end).cast("date"))
-    return rows.select(*[F.coalesce(f.name, F.lit("")).alias(f.name) if f.dataType.typeName() == "string" else F.col(f.name) for f in rows.schema.fields])
+    return rows.select(*[F.coalesce(f"`{f.name}`", F.lit("")).alias(f.name) if f.dataType.typeName() == "string" else F.col(f"`{f.name}`") for f in rows.schema.fields])
+
+
+def migrate(rows: DataFrame, path: str, order: list, link: str = "lien", stamp: str = "time_stamp") -> DataFrame:
+    """Split one table of texts into days, the first row of each link (an empty one counts too) kept; rows read back are counted.
+
+    Returns year, days, articles per year (``undated`` for rows without a date). Raises if a row went missing.
+    """
+    kept = dedup_first(rows, link, order).withColumn("day", F.coalesce(partition_key(F.col(stamp)), F.lit("undated")))
+    write_days(kept, path, "day", [F.desc(stamp), F.desc(link)])
+    there = rows.sparkSession.read.schema(kept.schema).parquet(path)
+    expected, found = kept.count(), there.count()
+    if expected != found:
+        raise RuntimeError(f"{found} rows read back, {expected} expected")
+    return migration_summary(there)
+
+
+def migration_summary(days: DataFrame, day: str = "day") -> DataFrame:
+    year = F.when(F.col(day).cast("string").rlike(r"^\d{4}-"), F.substring(F.col(day).cast("string"), 1, 4)).otherwise("undated")
+    return days.groupBy(year.alias("year")).agg(F.count_distinct(day).alias("days"), F.count(F.lit(1)).alias("articles"))
 
 
 def export_csv(rows: DataFrame, path: str) -> None:
-    rows.coalesce(1).write.mode("overwrite").csv(path, sep=";", header=True, nullValue="", emptyValue="")
+    rows.coalesce(1).write.mode("overwrite").csv(path, sep=";", header=True, nullValue="", emptyValue="", escape='"')
 
 
 def export_parquet(rows: DataFrame, path: str) -> None:
-    rows.coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """One file, cast to the archive's columns where ``rows`` has them."""
+    kinds = {c: value_type(c) for c in COLUMNS}
+    rows.select(*[F.col(f"`{c}`").cast(kinds.get(c, t)).alias(c) for c, t in rows.dtypes]).coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def export_json_days(rows: DataFrame, path: str, day: str) -> None:
-    rows.repartition(day).write.mode("overwrite").partitionBy(day).json(path)
+    rows.repartitionByRange(F.col(day)).write.mode("overwrite").partitionBy(day).json(path)
 
 
 def export_sqlite(rows: DataFrame, path: str, table: str = "articles", indexes: tuple[str, ...] = (), batch: int = 20_000) -> int:

@@ -4,24 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.operators.merge import unseen
+from presslens.sources.files import load_or_empty
 
 
 def ingest(spark: SparkSession, source: str, schema: str, target: str, seen: str, checkpoint: str, link: str, order: list[str], transform: Callable[[DataFrame], DataFrame] = lambda d: d, fmt: str = "parquet") -> None:
-    """Append the rows whose link is new to ``target`` and their hashes to ``seen``; one file of a batch is written per batch number, so a repeated batch overwrites itself."""
+    """Append the rows whose link is new to ``target`` and their hashes to ``seen``.
+
+    Each batch is a partition by its number in both tables, so a repeated batch replaces itself; only hashes of earlier batches
+    count as seen. The new rows are found once and kept while both are written: hashes do not depend on ``transform``.
+    """
 
     def batch(rows: DataFrame, number: int) -> None:
-        session = rows.sparkSession
-        known = session.createDataFrame([], "hash string, batch long")
-        path = session._jvm.org.apache.hadoop.fs.Path(seen)
-        if path.getFileSystem(session._jsc.hadoopConfiguration()).exists(path):
-            known = session.read.schema("hash string, batch long").parquet(seen).filter(F.col("batch") < number)
-        fresh = transform(unseen(rows, known, link, [F.col(c) for c in order])).withColumn("batch", F.lit(number).cast("long"))
-        for df, out in ((fresh, target), (fresh.select("hash", "batch"), seen)):
-            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
+        known = load_or_empty(rows.sparkSession, seen, "hash string, batch long").filter(F.col("batch") < number)
+        fresh = unseen(rows, known, link, [F.col(c) for c in order]).persist(StorageLevel.DISK_ONLY)
+        for df, out in ((transform(fresh), target), (fresh.select("hash"), seen)):
+            df.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out)
+        fresh.unpersist()
 
     rows = spark.readStream.schema(schema).format(fmt).load(source)
     rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(batch).start().awaitTermination()
+
+
+def first_of_links(rows: DataFrame, stamp: str, link: str, late: str = "7 days") -> DataFrame:
+    """The bounded variant, as a stream: the first row of each link within ``late`` of its time, state dropped by the watermark."""
+    return rows.withWatermark(stamp, late).dropDuplicatesWithinWatermark([link])
