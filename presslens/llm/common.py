@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,20 +25,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and every executor see.
 
-    ``spark.checkpoint.dir`` of the session if set. Where it is unset, a plain local session (tests) gets a temporary
-    folder, any other session a folder under its warehouse, and the setting is filled in.
+    ``spark.checkpoint.dir`` of the session if set. Where it is unset, a plain local session (tests) gets one temporary folder;
+    any other session raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         master = spark.sparkContext.master
-        if master.startswith("local") and not master.startswith("local-cluster"):
-            path = "file://" + tempfile.mkdtemp(prefix="presslens-")
-        else:
-            path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_presslens"
-        spark.conf.set("spark.checkpoint.dir", path)
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors see")
+        path = "file://" + _local_dir()
     return path.rstrip("/")
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="presslens-")
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -46,7 +51,37 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/presslens/{uuid.uuid4().hex}/{tag}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.stored_at = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing will read again.
+
+    Plans that the driver no longer holds are collected too, so that Spark's cleaner removes their shuffle files.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        gc.collect()
+        spark._jvm.System.gc()
+
+
+#: Copies of one row that one row expands into.
+COPY_CHUNK = 65536
+
+
+def spread_copies(rows: DataFrame, copies: str, number: str) -> DataFrame:
+    """Each row as often as ``copies`` says, with ``number`` from 0; a row with many is dealt out to other tasks in parts first."""
+    of, chunk = F.col(copies), F.col("_chunk")
+    few = rows.filter(of <= COPY_CHUNK).withColumn("_chunk", F.lit(0).cast("long"))
+    many = rows.filter(of > COPY_CHUNK).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((of - 1) / COPY_CHUNK))))
+    parts = few.unionByName(many.repartition(F.xxhash64(*[c for c, t in many.dtypes if "map<" not in t])))
+    inside = F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(COPY_CHUNK).cast("long"), of - chunk * COPY_CHUNK) - 1))
+    return parts.withColumn("_in_chunk", inside).withColumn(number, chunk * COPY_CHUNK + F.col("_in_chunk")).drop("_chunk", "_in_chunk")
 
 
 def let(value: Column, body) -> Column:

@@ -8,7 +8,7 @@
 4. Only suspects' texts are compared: grouped by their normalised bytes, with the count and the best row of each group
    combined before the shuffle, so that a group may hold any share of the rows.
 
-Cases: null text is empty text, and all empty texts are equal; of equal texts the row with the most code points in the
+Cases: texts of any length are hashed and compared whole; null text is empty text, and all empty texts are equal; of equal texts the row with the most code points in the
 original, then the smallest doc_id stays; rows that repeat wholly, doc_id and text, share one verdict and are all counted
 in ``group_size`` (``dedup_documents`` returns them once); an empty table gives an empty result; other columns are not read.
 """
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import SPACES, batch_of, documents, materialise, row_count, text_bytes
+from presslens.llm.common import SPACES, batch_of, discard, documents, materialise, row_count, text_bytes
 
 #: Documents in a block at most, and fingerprints that one owner decodes on average.
 BLOCK_DOCS = 1 << 18
@@ -140,8 +140,9 @@ def _marker(owners: int):
                 owner = _owners_of(distinct, owners)
                 flags = counts > 1
                 for m in row["maps"]:
-                    mine = np.flatnonzero(owner == m["owner"])
-                    flags[mine] |= np.unpackbits(np.frombuffer(m["bits"], np.uint8))[: len(mine)].astype(bool)
+                    # Owners' ranges ascend, and so do the distinct hashes.
+                    first, end = np.searchsorted(owner, [m["owner"], m["owner"] + 1]).tolist()
+                    flags[first:end] |= np.unpackbits(np.frombuffer(m["bits"], np.uint8))[: end - first].astype(bool)
                 hexed = row["shas"].hex()
                 yield batch_of(_DOCS, [row["ids"], row["points"], [hexed[i : i + 64] for i in range(0, len(hexed), 64)], pa.array(flags[where])])
 
@@ -170,6 +171,7 @@ def _verdicts(docs: DataFrame) -> DataFrame:
     groups = groups.select(F.sha2(F.col("plain").cast("binary"), 256).alias("sha"), "group_size", F.col("best.keep").alias("keep_id"), F.col("best.points").alias("most"))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("most"))
     several = suspects.join(groups, "sha").select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"), "points")
+    discard(blocks)
     single = marked.filter("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "points")
     return single.unionByName(several)
 
@@ -183,6 +185,7 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns: one of each text, whatever other texts have its doc_id or have none.
 
     A verdict holds for a doc_id, a normalised text and its code points; of kept rows that share these, the least text stays.
+    Columns of any names pass through: the three made here are dropped again.
     """
     key = ["doc_id", "text_sha256", "points"]
     several = _verdicts(docs).filter("group_size > 1").groupBy(*key).agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n"))

@@ -5,7 +5,7 @@ number. One more shard takes records only into itself, and each shard's share is
 depends on another record, so nothing is shuffled to place records; only the gapless slots need a shuffle, and that of a
 few numbers a record.
 
-Cases: a null key is a key of its own; a null text has size 1 and the CRC of no bytes; an empty table gives an
+Cases: a text of any length is only measured and hashed; a null key is a key of its own; a null text has size 1 and the CRC of no bytes; an empty table gives an
 empty result; rows that repeat wholly get the same shard and neighbouring slots; columns other than the key and the text
 are not read, so their names cannot clash.
 """
@@ -17,12 +17,10 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from presslens.llm.common import documents, row_count
+from presslens.llm.common import documents, row_count, spread_copies
 
 #: Rows that one slot block holds on average; a block is one key of a window.
 BLOCK_ROWS = 8192
-#: Copies of one record that one row expands into.
-COPY_CHUNK = 65536
 
 
 def shard_cost(key: Column, shard: int, weight: float = 1.0) -> Column:
@@ -62,12 +60,8 @@ def assign_shards(docs: DataFrame, n_shards: int = 16, weights: list[float] | No
     starts = counts.select("shard", "block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("shard", "block").orderBy("doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = placed.withColumn("upto", F.sum("copies").over(inside)).join(starts, ["shard", "block"]).withColumn("first", F.col("start") + F.col("upto") - F.col("copies"))
-    few = numbered.filter(F.col("copies") <= COPY_CHUNK).withColumn("chunk", F.lit(0).cast("long"))
-    many = numbered.filter(F.col("copies") > COPY_CHUNK).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPY_CHUNK}"))))
-    many = many.repartition(F.col("shard"), F.col("block"), F.col("chunk"))
-    spread = few.unionByName(many).withColumn("in_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(COPY_CHUNK).cast("long"), F.col("copies") - F.col("chunk") * COPY_CHUNK) - 1)))
-    slot = F.col("first") + F.col("chunk") * COPY_CHUNK + F.col("in_chunk")
-    return spread.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", slot.alias("slot"), "grown_shard")
+    spread = spread_copies(numbered, "copies", "number")
+    return spread.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("number")).alias("slot"), "grown_shard")
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,8 @@ A byte goes if it lies in a ``LENGTH``-byte string that also starts in a documen
    of neighbours is one more than the least in the range between them before. Where neighbours share ``LENGTH`` bytes or
    more, windows are equal, and those of all but the smallest doc_id are found.
 
+What is found goes back to the documents in bundles, one per owner and bucket of documents, so its rows do not multiply with both.
+
 The columns are built for ``AT_ONCE`` strings, or one anchor's, in memory, so no external files are kept; a round of
 the whole collection, as for short reads, would need as many rounds as the longest document has bytes.
 
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import documents, materialise, text_bytes
+from presslens.llm.common import discard, documents, materialise, text_bytes
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
@@ -124,8 +126,59 @@ def _classes(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, starts, d > d[lead]
 
 
+GONE, BUILD, HITS = 0, 1, 2
+_BUNDLES = "bucket int, kind int, blob binary"
+
+
+def _bundles(doc: np.ndarray, values: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+    """(bucket of documents, blob): number of documents, their ids, how many values each has, the values (rows of 8-byte numbers)."""
+    if not len(doc):
+        return []
+    bucket = (_mix(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((doc, bucket))
+    doc, values, bucket = doc[order], values[order], bucket[order]
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+    out = []
+    for a, b in zip(cuts, [*cuts[1:], len(doc)], strict=True):
+        ids, counts = np.unique(doc[a:b], return_counts=True)
+        out.append((int(bucket[a]), np.array([len(ids)], np.int64).tobytes() + ids.tobytes() + counts.astype(np.int64).tobytes() + values[a:b].tobytes()))
+    return out
+
+
+def _of_bundles(blobs: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and values (rows of ``width`` numbers) of many blobs, ordered by document."""
+    docs, values = [np.zeros(0, np.int64)], [np.zeros((0, width), np.uint64)]
+    for blob in blobs:
+        n = int(np.frombuffer(blob, np.int64, 1)[0])
+        docs.append(np.repeat(np.frombuffer(blob, np.int64, n, 8), np.frombuffer(blob, np.int64, n, 8 + 8 * n)))
+        values.append(np.frombuffer(blob, np.uint64, -1, 8 + 16 * n).reshape(-1, width))
+    doc, value = np.concatenate(docs), np.concatenate(values)
+    order = np.argsort(doc, kind="stable")
+    return doc[order], value[order]
+
+
+def _per_document(*wanted: tuple[int, int]):
+    """For a bucket: one row per document, with the values of each wanted (kind, width) as one binary, null without any."""
+
+    def run(table: pa.Table) -> pa.Table:
+        kinds, blobs = table.column("kind").to_pylist(), table.column("blob").to_pylist()
+        found = []
+        for kind, width in wanted:
+            doc, value = _of_bundles([b for k, b in zip(kinds, blobs, strict=True) if k == kind], width)
+            found.append(dict(zip(*(x.tolist() if isinstance(x, np.ndarray) else x for x in _by_doc(doc, value)), strict=True)))
+        ids = sorted(set().union(*found))
+        lists = [pa.array([None if i not in own else np.unique(own[i]).tobytes() if width == 1 else own[i].tobytes() for i in ids], pa.binary()) for (_, width), own in zip(wanted, found, strict=True)]
+        return pa.table([pa.array(ids, pa.int64()), *lists], names=["doc_id", *[("gone", "build", "hits")[k] for k, _ in wanted]])
+
+    return run
+
+
+def _bundle_table(rows: list[tuple[int, int, bytes]]) -> pa.Table:
+    return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "blob"])
+
+
 def _packer(owners: int):
-    """Blobs per owner: documents, 48 bits of anchor and 16 of the document's place, hashes. Settled documents have negative owners."""
+    """Blobs per owner: documents, 48 bits of anchor and 16 of the document's place, hashes. What a block settles has negative owners."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, keys, hashes, held, count = [], [], [], 0, 0
@@ -134,9 +187,9 @@ def _packer(owners: int):
             doc, key, digest = np.concatenate(docs), np.concatenate(keys), np.concatenate(hashes)
             order, starts, gone = _classes(digest, doc)
             numbers, blobs = [], []
-            for doc_id, mine in zip(*_by_doc(doc[order][gone], digest[order][gone]), strict=True):
-                numbers.append(-1 - int(doc_id) % owners)
-                blobs.append(np.array([doc_id], np.int64).tobytes() + np.unique(mine).tobytes())
+            for bucket, blob in _bundles(doc[order][gone], digest[order][gone], owners):
+                numbers.append(-1 - bucket)
+                blobs.append(blob)
             doc, key, digest = doc[order][starts], key[order][starts], digest[order][starts]
             owner = (((key >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(owner, kind="stable")
@@ -164,15 +217,12 @@ def _packer(owners: int):
     return run
 
 
-_SHARED = "doc_id long, gone binary, build binary"
-
-
-def _shared(table: pa.Table) -> pa.Table:
-    """Of each document: the strings a smaller document has too, and those that stand for a class and go to the owner."""
+def _shared(table: pa.Table, owners: int) -> pa.Table:
+    """By bucket of documents: the strings that a smaller document has too, and those that stand for a class and go to the owner."""
     blobs = table.column("blob").to_pylist()
-    if table.column("owner")[0].as_py() < 0:
-        ids = [int(np.frombuffer(b, np.int64, 1)[0]) for b in blobs]
-        return pa.table([pa.array(ids, pa.int64()), pa.array([b[8:] for b in blobs], pa.binary()), pa.array([b""] * len(blobs), pa.binary())], names=["doc_id", "gone", "build"])
+    owner = table.column("owner")[0].as_py()
+    if owner < 0:
+        return _bundle_table([(-1 - owner, GONE, b) for b in blobs])
     keys, docs, hashes = [], [], []
     for blob in blobs:
         n = int(np.frombuffer(blob, np.int64, 1)[0])
@@ -183,17 +233,15 @@ def _shared(table: pa.Table) -> pa.Table:
         hashes.append(digest)
     key, doc, digest = np.concatenate(keys), np.concatenate(docs), np.concatenate(hashes)
     order, starts, gone = _classes(digest, doc)
-    lost = _by_doc(doc[order][gone], digest[order][gone])
+    lost = _bundles(doc[order][gone], digest[order][gone], owners)
     key, doc, digest = key[order][starts], doc[order][starts], digest[order][starts]
     order = np.lexsort((doc, key))
     key, doc, digest = key[order], doc[order], digest[order]
     edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     upto = np.append(edge[1:], len(key))
     several = np.repeat(doc[edge] != doc[upto - 1], upto - edge)
-    build = _by_doc(doc[several], digest[several])
-    ids = np.concatenate([lost[0], build[0]])
-    columns = [[x.tobytes() for x in lost[1]] + [b""] * len(build[1]), [b""] * len(lost[1]) + [x.tobytes() for x in build[1]]]
-    return pa.table([pa.array(ids, pa.int64()), *[pa.array(c, pa.binary()) for c in columns]], names=["doc_id", "gone", "build"])
+    build = _bundles(doc[several], digest[several], owners)
+    return _bundle_table([(b, GONE, x) for b, x in lost] + [(b, BUILD, x) for b, x in build])
 
 
 def _cutter(owners: int):
@@ -206,7 +254,7 @@ def _cutter(owners: int):
             wanted = []
             for a, b, lists in zip(cuts[:-1], cuts[1:], build, strict=True):
                 _, at = np.unique(runs.hash[a:b], return_index=True)
-                wanted.append(a + at[np.isin(runs.hash[a:b][at], np.frombuffer(b"".join(lists), np.uint64))])
+                wanted.append(a + at[np.isin(runs.hash[a:b][at], np.frombuffer(lists, np.uint64))])
             wanted = np.concatenate(wanted)
             key, first = runs.key[wanted], runs.first[wanted]
             owner = (((key >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)).astype(np.int32)
@@ -285,8 +333,8 @@ def column_matches(flat: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, gro
     return (np.concatenate(found), np.concatenate(where)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _match(table: pa.Table) -> pa.Table:
-    """An owner's repeated windows: per document, hash of the string and a bit for each of its windows."""
+def _match(table: pa.Table, owners: int) -> pa.Table:
+    """An owner's repeated windows, by bucket of documents: hash of the string and a bit for each of its windows."""
     table = table.sort_by("anchor").combine_chunks()
     anchor, ids = table.column("anchor").to_numpy(), table.column("doc_id").to_numpy()
     edge = np.append(np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])), len(anchor)).tolist()
@@ -304,8 +352,8 @@ def _match(table: pa.Table) -> pa.Table:
         np.bitwise_or.at(bits, low + found, np.uint64(1) << start.astype(np.uint64))
         low = this
     hit = bits > 0
-    doc, rows = _by_doc(ids[hit], np.stack([table.column("hash").to_numpy()[hit].view(np.uint64), bits[hit]], 1))
-    return pa.table([pa.array(doc, pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "hits"])
+    made = _bundles(ids[hit], np.stack([table.column("hash").to_numpy()[hit].view(np.uint64), bits[hit]], 1), owners)
+    return _bundle_table([(b, HITS, x) for b, x in made])
 
 
 _OUT = "doc_id long, kept binary, span_starts array<long>, span_ends array<long>, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -319,9 +367,9 @@ def _covered(texts: list[bytes], gone: list, hits: list) -> np.ndarray:
     cuts = np.searchsorted(runs.text, np.arange(len(texts) + 1)).tolist()
     for a, b, lost, found in zip(cuts[:-1], cuts[1:], gone, hits, strict=True):
         if a < b and lost:
-            full[a:b] = np.isin(runs.hash[a:b], np.frombuffer(b"".join(lost), np.uint64))
+            full[a:b] = np.isin(runs.hash[a:b], np.frombuffer(lost, np.uint64))
         if a < b and found:
-            rows = np.frombuffer(b"".join(found), np.uint64).reshape(-1, 2)
+            rows = np.frombuffer(found, np.uint64).reshape(-1, 2)
             rows = rows[np.argsort(rows[:, 0], kind="stable")]
             at = np.minimum(np.searchsorted(rows[:, 0], runs.hash[a:b]), len(rows) - 1)
             bits[a:b] = np.where(rows[at, 0] == runs.hash[a:b], rows[at, 1], np.uint64(0))
@@ -359,13 +407,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     owners = max(shuffles if size > 1_000_000 else 1, math.ceil(size / OWNER_BYTES))
-    shared = materialise(docs.filter("doc_id is not null").mapInArrow(_packer(owners), "owner int, blob binary").groupBy("owner").applyInArrow(_shared, _SHARED), "shared")
-    build = shared.filter(F.length("build") > 0).groupBy("doc_id").agg(F.collect_list("build").alias("build"))
+    shared = materialise(docs.filter("doc_id is not null").mapInArrow(_packer(owners), "owner int, blob binary").groupBy("owner").applyInArrow(lambda t: _shared(t, owners), _BUNDLES), "shared")
+    build = shared.filter(F.col("kind") == BUILD).groupBy("bucket").applyInArrow(_per_document((BUILD, 1)), "doc_id long, build binary")
     strings = docs.join(build, "doc_id").mapInArrow(_cutter(owners), "owner int, anchor long, doc_id long, hash long, offset int, bytes binary")
-    found = materialise(strings.groupBy("owner").applyInArrow(_match, "doc_id long, hits binary"), "found")
-    nothing = F.lit(None).cast("binary")
-    both = shared.filter(F.length("gone") > 0).select("doc_id", "gone", nothing.alias("hits")).unionByName(found.select("doc_id", nothing.alias("gone"), "hits"))
-    lists = both.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("gone").alias("gone"), F.collect_list("hits").alias("hits"))
+    found = materialise(strings.groupBy("owner").applyInArrow(lambda t: _match(t, owners), _BUNDLES), "found")
+    both = shared.filter(F.col("kind") == GONE).unionByName(found)
+    lists = materialise(both.groupBy("bucket").applyInArrow(_per_document((GONE, 1), (HITS, 2)), "doc_id long, gone binary, hits binary"), "lists")
+    discard(shared, found)
+    lists = lists.withColumnRenamed("doc_id", "_id")
     return docs.join(lists, docs.doc_id == lists._id, "left").select("doc_id", "text", "gone", "hits").mapInArrow(_remover, _OUT)
 
 
