@@ -1,9 +1,9 @@
 """Byte-level BPE: ranked merges of distinct words as a fold of Spark higher-order functions.
 
 A word's state in the fold is a string with one character per piece (the piece's id, shifted). A step looks up every
-neighbouring pair in a literal rank map, takes the least (rank, position) and replaces that pair; the fold runs over one
-step less than the word has bytes, and the characters that remain are the ids. The literal holds the pairs of pieces whose
-bytes joined are a piece, dealt into small buckets by a CRC.
+neighbouring pair in a literal rank map and merges the first pair of the least rank; the fold runs over one step less than the word
+has bytes, and the characters that remain are the ids. The literal holds the pairs of pieces whose bytes joined are a piece, dealt
+into small buckets by a CRC.
 
 Encoding a corpus:
 
@@ -12,7 +12,7 @@ Encoding a corpus:
 2. A pass over the texts looks their words up. What is not in the head stays as a hole, with the document's own
    distinct rare words beside it; the fold encodes these in the same stage, and a last step fills the holes. So no
    text and no word occurrence is ever shuffled, and no word is a hot key.
-3. A word of over ``FOLD_BYTES`` bytes would take a fold quadratic in its length; such words are merged exactly by a heap.
+3. A word of over ``FOLD_BYTES`` bytes would take a fold quadratic in its length; such words are merged by a heap, with the same result.
 
 Decoding concatenates the binary pieces of the ids.
 
@@ -25,6 +25,7 @@ empty table gives an empty result; other columns pass through ``encode_documents
 
 from __future__ import annotations
 
+import array
 import base64
 import hashlib
 import heapq
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +46,8 @@ from presslens.llm.common import documents, let, materialise, text_bytes
 HEAD_WORDS = 1 << 20
 HEAD_BYTES = 64
 FOLD_BYTES = 256
-#: Buckets of the literal; a step packs rank and position into one number, so words have less than 4096 pieces.
-BUCKETS = 1 << 14
+#: Buckets of the literal.
+BUCKETS = 1 << 16
 SHIFT = 0x100
 #: Stands before each pair in a bucket; above all pieces, so that a pair that is not there sorts last.
 MARK = "\ufffd"
@@ -97,22 +99,26 @@ class RankMap:
 
 
 def encode_word(word: Column, ranks: RankMap) -> Column:
-    """The ids of one word of 1 to ``FOLD_BYTES`` bytes, as a fold of ranked merges."""
+    """The ids of one word of 1 to ``FOLD_BYTES`` bytes, as a fold of ranked merges; a mark at the end says that no pair is left."""
     raw = F.decode(word.cast("binary"), "ISO-8859-1")
     start = F.replace(F.translate(raw, ranks.bytes_in, ranks.bytes_out), F.lit("\0"), F.lit(ranks.zero))
+    mark, one = F.lit(MARK), F.lit(1)
 
     def step(pieces: Column, _: Column) -> Column:
-        places = F.transform(F.sequence(F.lit(1), F.length(pieces) - 1), lambda i: F.ascii(ranks.after(F.substring(pieces, i, F.lit(2)))) * 4096 + i)
+        codes = F.transform(F.sequence(one, F.length(pieces) - 1), lambda i: F.ascii(ranks.after(F.substring(pieces, i, F.lit(2)))))
 
-        def merge(best: Column) -> Column:
-            pair = F.substring(pieces, best.bitwiseAND(F.lit(4095)), F.lit(2))
-            joined = let(pair, lambda p: F.replace(pieces, p, F.substring(ranks.after(p), F.lit(1), F.lit(1))))
-            return F.when(best >= F.lit(ord(MARK) << 12), pieces).otherwise(joined)
+        def merge(at: Column) -> Column:
+            made = F.substring(ranks.after(F.substring(pieces, at, F.lit(2))), one, one)
+            return F.concat(F.substring(pieces, one, at - 1), made, F.substring(pieces, at + 2, F.length(pieces)))
 
-        return F.when(F.length(pieces) < 2, pieces).otherwise(let(F.array_min(places), merge))
+        def least(codes: Column) -> Column:
+            first = let(F.array_position(codes, F.array_min(codes)).cast("int"), merge)
+            return F.when(F.array_min(codes) >= ord(MARK), F.concat(pieces, mark)).otherwise(first)
 
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(start) - 1, F.lit(1))), start, step)
-    return F.transform(F.split(folded, ""), lambda c: F.ascii(c) - SHIFT)
+        return F.when((F.length(pieces) < 2) | F.endswith(pieces, mark), pieces).otherwise(let(codes, least))
+
+    folded = F.aggregate(F.sequence(one, F.greatest(F.length(start) - 1, one)), start, step)
+    return F.transform(F.split(F.replace(folded, mark, F.lit("")), ""), lambda c: F.ascii(c) - SHIFT)
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -213,21 +219,54 @@ def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> DataFrame:
     return counts.filter(F.col("n") >= least) if least is not None else counts.filter("false")
 
 
-_TABLES: dict[str, dict] = {}
+class HeadTable:
+    """Word to packed ids in flat arrays: an open-addressing table of hashes beside the words' bytes, about 50 bytes a word."""
+
+    def __init__(self, table: pa.Table):
+        table = table.combine_chunks()
+        words, ids = (table.column(i).chunk(0) if table.num_rows else table.schema.field(i).type for i in range(2))
+        self.size = table.num_rows
+        if not self.size:
+            return
+        self.words, self.word_ends = self._flat(words.cast(pa.large_binary()))
+        self.ids, self.id_ends = ids.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes(), array.array("q", (ids.offsets.to_numpy().astype(np.int64) * 4).tobytes())
+        self.mask = (1 << max(4, (2 * self.size).bit_length())) - 1
+        ends, digest = self.word_ends, xxhash.xxh3_64_intdigest
+        keys = np.fromiter((digest(self.words[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)), np.uint64, self.size)
+        slots = np.full(self.mask + 1, -1, np.int32)
+        rest, place = np.arange(self.size, dtype=np.int32), (keys & np.uint64(self.mask)).astype(np.int64)
+        while len(rest):  # one word of each free place settles, the others move on by one
+            free = slots[place] < 0
+            slots[place[free]] = rest[free]
+            left = slots[place] != rest
+            rest, place = rest[left], (place[left] + 1) & self.mask
+        self.slots = array.array("i", slots.tobytes())
+
+    @staticmethod
+    def _flat(column: pa.LargeBinaryArray) -> tuple[bytes, array.array]:
+        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        return column.buffers()[2].to_pybytes()[int(ends[0]) : int(ends[-1])], array.array("q", (ends - ends[0]).tobytes())
+
+    def get(self, word: str) -> bytes | None:
+        if not self.size:
+            return None
+        raw = word.encode()
+        at = xxhash.xxh3_64_intdigest(raw) & self.mask
+        while (i := self.slots[at]) >= 0:
+            if self.words[self.word_ends[i] : self.word_ends[i + 1]] == raw:
+                return self.ids[self.id_ends[i] : self.id_ends[i + 1]]
+            at = (at + 1) & self.mask
+        return None
+
+
+_TABLES: dict[str, HeadTable] = {}
 
 
-def _head_table(token: str, shared) -> dict[str, bytes]:
-    """Word to packed ids, built once in a worker."""
+def _head_table(token: str, shared) -> HeadTable:
+    """Built once in a worker."""
     if token not in _TABLES:
         _TABLES.clear()
-        table = pa.ipc.open_stream(shared.value).read_all()
-        out: dict[str, bytes] = {}
-        for batch in table.to_batches():
-            ids = batch.column(1)
-            flat, ends = ids.values.to_numpy(zero_copy_only=False).astype("<i4"), ids.offsets.to_numpy()
-            for word, a, b in zip(batch.column(0).to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                out[word] = flat[a:b].tobytes()
-        _TABLES[token] = out
+        _TABLES[token] = HeadTable(pa.ipc.open_stream(shared.value).read_all())
     return _TABLES[token]
 
 
@@ -244,7 +283,7 @@ class _Lookup(dict):
 
 
 class _Encoder:
-    def __init__(self, head: dict[str, bytes], ranks: dict[bytes, int], pattern: str):
+    def __init__(self, head: HeadTable, ranks: dict[bytes, int], pattern: str):
         self.head, self.ranks, self.split = head, ranks, Splitter(pattern)
         self.first, self.spaced = _Lookup("", self), _Lookup(" ", self)
         self.rare: dict[str, bytes] = {}
@@ -282,7 +321,7 @@ def _looker(token: str, shared, path: str | None, pattern: str, names: list[str]
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                ids, ends, rare = [], [0], []
+                ids, rare = [], []
                 for raw in text_bytes(part):
                     row = encoder.encode(raw.decode("utf-8", "replace"))
                     holes = row < 0
@@ -293,28 +332,21 @@ def _looker(token: str, shared, path: str | None, pattern: str, names: list[str]
                         row = row.copy()
                         row[holes] = -1 - where
                     ids.append(row)
-                    ends.append(ends[-1] + len(row))
                     rare.append(words)
-                flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
                 columns = [part.column(part.schema.get_field_index(n)) for n in names]
-                columns += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), pa.array(rare, pa.list_(pa.string()))]
+                columns += [pa.array([row.tobytes() for row in ids], pa.binary()), pa.array(rare, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "ids", "_rare"])
 
     return run
 
 
-def _rows_of(column: pa.ListArray) -> Iterator[np.ndarray]:
-    flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-        yield flat[a:b]
-
-
 def _filler(names: list[str], finish):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             folded = batch.column(batch.schema.get_field_index("_folded")).to_pylist()
             rows = []
-            for row, words in zip(_rows_of(batch.column(batch.schema.get_field_index("ids"))), folded, strict=True):
+            for packed, words in zip(batch.column(batch.schema.get_field_index("ids")).to_pylist(), folded, strict=True):
+                row = np.frombuffer(packed, "<i4")
                 if words:
                     holes = np.flatnonzero(row < 0)
                     sizes = np.ones(len(row), np.int64)
@@ -379,7 +411,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     fields = [f for f in docs.schema.fields if f.name not in ("text", "ids", "_rare", "_folded")]
     names = [f.name for f in fields]
     ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
-    looked = docs.select("text", *[F.col(f"`{n}`") for n in names]).mapInArrow(_looker(uuid.uuid4().hex, shared, path, pattern, names), ddl + "ids array<int>, _rare array<string>")
+    looked = docs.select("text", *[F.col(f"`{n}`") for n in names]).mapInArrow(_looker(uuid.uuid4().hex, shared, path, pattern, names), ddl + "ids binary, _rare array<string>")
     folded = looked.withColumn("_folded", F.transform("_rare", lambda w: encode_word(w, ranks))).drop("_rare")
     return folded.mapInArrow(_filler(names, finish or _as_lists), ddl + made)
 
