@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.common import materialise
+from presslens.llm.common import discard, materialise
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -29,14 +29,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """``node`` and ``component`` (its least node) of every node of ``links`` (columns a, b)."""
+    """``node`` and ``component`` (its least node) of every node of ``links`` (columns a, b), as a table of ``materialise``.
+
+    The largest table of a round goes with the round after it. Links of a node with itself are dropped; without links there are no rows.
+    """
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = materialise(edges, "edges")
     for _ in range(most_rounds):
         if _settled(edges):
             break
-        edges = materialise(_small_star(_large_star(edges)), "edges")
+        last, edges = edges, materialise(_small_star(_large_star(edges)), "edges")
+        discard(last)
     else:
         raise RuntimeError("components did not settle")
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    found = materialise(nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "nodes")
+    discard(edges)
+    return found

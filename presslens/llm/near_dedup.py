@@ -1,29 +1,35 @@
 """N-gram Jaccard join by parity sketches.
 
 A document's set holds the 64-bit hashes of its distinct 5-word shingles. Documents with equal sets are one class, found by
-a digest; only classes are joined.
-
-Sketch: in a size band, a set is dealt into ``p`` cells and the hashes of a cell are XORed. A token in the symmetric
-difference of two sets changes one cell, so the number of differing cells (the sketches' Hamming distance over cells) is
-at most the symmetric difference. Sets of sizes a <= b with similarity of 0.8 or more differ in at most ``(a + b) // 9``
-tokens and have ``b <= 1.25 * a``. Bands grow by 1.25, a set takes part in its own band and the next, and a band has more
-cells than its largest difference; so two such sets have equal cells in some band (the pigeonhole join), and equal cells that
-are not empty if a set has more cells to spare than empty ones. A set that has none to spare sends its empty cells too.
-
-Candidates: cells are packed by block of documents into one binary per bucket of keys, 8 bytes a cell, and buckets are
-sorted in Arrow groups. A cell shared by up to ``FEW`` classes gives its pairs. A cell shared by more is weak. A class that has
-cells to spare in a band after all its weak ones meets each partner there in a cell that is not weak; only classes that are
-spent in a band stay in its weak cells. These are, in the main, large families of near copies: each is linked through the
-least class of the cell; then, while a cell has more than one component, a class of its smallest component is compared with all
-others. After ``TURNS`` such turns, what is left across components is joined once more: two similar sets that met in weak cells
-only share at least as many of them as either has to spare, so the rarest cells of each, down to that number, are enough
-to meet in, and pairs that share fewer cells are not made. No link is lost, and pairs inside a component are not listed.
-
-Verification: the sets (48 bits a token) of all classes in candidates are written once; pairs fetch both and count the
-intersection.
+a 64-bit digest; only classes are joined.
+
+Sketches: a token flips one bit of a class's parity sketch, at a place its hash names; two sketches differ in at most as many bits
+(their Hamming distance) as the sets have tokens in their symmetric difference. A sketch of half the bits is the exclusive or of
+both halves, so sketches of any two lengths (powers of two, at least two bits a token) can be compared. In a size band, tokens are
+dealt into ``p`` cells, and the hashes of a cell are XORed: a parity sketch of 64 bits whose difference shows in the cell as a whole.
+
+Pigeonhole join: sets of sizes a <= b with similarity of 0.8 or more differ in at most ``(a + b) // 9`` tokens and have
+``b <= 1.25 * a``. Bands grow by 1.25, a set takes part in its own band and the next, and a band has more cells than its largest
+difference; so two such sets have at least ``need`` equal cells in some band that are not empty. A set that has none to spare sends
+its empty cells too.
+
+1. Cells are packed by block of documents into one binary per bucket of keys and sorted in Arrow groups. Cells that two classes or
+   more share come out as rows, one per class; classes that share fewer than ``need`` cells in a band have no partner there and go.
+2. Each class is paired with one class of each of its cells: the one with most shared cells, which in a family of copies is the one
+   nearest to all. Pairs that the sketches' Hamming distance cannot rule out are verified, the links make components.
+3. What is left are cells that hold several components. Two similar sets share at least ``need`` cells, so they meet in the rarest
+   cells of each, all but ``need`` - 1 of them. Classes of different components that meet there are compared by sketches in the
+   join, and verified.
+
+No link between components is lost, and pairs inside a component are not listed, so rows grow with the classes and not with the square
+of a family.
+
+Verification counts the shingles of both texts, word by word. Texts that are wanted are found by a broadcast of their keys while these are
+at most ``BROADCAST_KEYS``, by a shuffle join beyond.
 
 Cases: null or empty texts, and texts without words, have empty sets and link with nothing; texts with one to four words are
-one shingle; rows that repeat are in one class; an empty table gives an empty result; other columns are not read.
+one shingle; very long texts are sets like others; rows that repeat are in one class; a class without any doc_id has a null
+component; an empty table gives an empty result; other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -34,23 +40,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import documents, materialise, text_bytes
+from presslens.llm.common import discard, documents, materialise, text_bytes
 from presslens.llm.components import components
 
 SHINGLE = 5
 #: Similarity of at least 80 %, as integers: 100 * intersection >= 80 * union.
 PERCENT = 80
-FEW = 8
-TURNS = 1
 #: Cells that a bucket of keys holds on average, and that a block packs at once.
 BUCKET_CELLS = 1 << 20
 BLOCK_CELLS = 1 << 21
 DESCRIBED_ROWS = 4096
+BROADCAST_KEYS = 1 << 20
 #: Cells per character of text, in the mean; it sets the number of buckets.
 CELLS_PER_CHAR = 0.1
+#: Bits of a key inside its bucket.
+KEY_BITS = 40
+_KEY = np.uint64((1 << KEY_BITS) - 1)
 _BANDS = [math.ceil(1.25**i - 1e-9) for i in range(90)]
 _THRESHOLDS = np.array(_BANDS, np.int64)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -87,6 +95,14 @@ def shingles(raw: bytes, hashes: dict[bytes, int]) -> np.ndarray:
     return np.unique(_mix(total + np.uint64(n)))
 
 
+def sketch_of(tokens: np.ndarray) -> np.ndarray:
+    """The parity sketch: 64-bit words, as many as the next power of two has for two bits a token."""
+    words = max(1, 1 << (2 * len(tokens) - 1).bit_length() >> 6) if len(tokens) else 1
+    place = (tokens & np.uint64(64 * words - 1)).astype(np.int64)
+    bits = np.bincount(place, minlength=64 * words) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def class_of(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
@@ -121,11 +137,11 @@ def cells(tokens: np.ndarray) -> tuple[np.ndarray, list[int]]:
     return (np.concatenate(keys) if keys else np.zeros(0, np.uint64)), spare
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), ("spare0", pa.int32()), ("spare1", pa.int32())])
+_SETS = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), ("spare0", pa.int32()), ("spare1", pa.int32()), ("key", pa.int64()), ("sketch", pa.list_(pa.int64()))])
 
 
 def _packer(buckets: int, spread: int):
-    """Blocks of cells, one binary per bucket: classes of the block, then 48 bits of key and 16 of the class's place.
+    """Blocks of cells, one binary per bucket: classes of the block, the cells' sorted keys as differences, the place of each cell's class.
 
     The documents' own rows go along under negative numbers, so that texts are cut into shingles once.
     """
@@ -141,18 +157,19 @@ def _packer(buckets: int, spread: int):
             numbers, blobs = [], []
             if keys:
                 key = np.concatenate(keys)
-                place = np.repeat(np.arange(len(keys), dtype=np.uint64), [len(k) for k in keys])
+                place = np.repeat(np.arange(len(keys), dtype=np.int64), [len(k) for k in keys])
                 bucket = (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-                packed = ((key & np.uint64((1 << 48) - 1)) << np.uint64(16)) | place
-                order = np.argsort(bucket, kind="stable")
-                bucket, packed = bucket[order], packed[order]
+                key = key & _KEY
+                order = np.lexsort((key, bucket))
+                bucket, key, place = bucket[order], key[order], place[order]
                 starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
                 table = np.array(classes, np.int64)
-                for a, b in zip(starts, [*starts[1:], len(packed)], strict=True):
-                    mine, where = np.unique(packed[a:b] & np.uint64(0xFFFF), return_inverse=True)
-                    rows = (packed[a:b] & ~np.uint64(0xFFFF)) | where.astype(np.uint64)
+                for a, b in zip(starts, [*starts[1:], len(key)], strict=True):
+                    mine, where = np.unique(place[a:b], return_inverse=True)
+                    gaps = np.diff(key[a:b], prepend=np.uint64(0))
+                    wide = 8 if int(gaps.max()) >> 32 else 4
                     numbers.append(int(bucket[a]))
-                    blobs.append(np.array([len(mine)], np.int64).tobytes() + table[mine.astype(np.int64)].tobytes() + rows.tobytes())
+                    blobs.append(np.array([len(mine), b - a, wide], np.int64).tobytes() + table[mine].tobytes() + gaps.astype(f"<u{wide}").tobytes() + where.astype("<u2").tobytes())
             for at in range(0, len(described), DESCRIBED_ROWS):
                 sink = pa.BufferOutputStream()
                 part = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*described[at : at + DESCRIBED_ROWS], strict=True), _SETS.types, strict=True)], schema=_SETS)
@@ -163,12 +180,14 @@ def _packer(buckets: int, spread: int):
             return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
         for batch in batches:
-            for doc_id, raw in zip(batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), text_bytes(batch), strict=True):
+            ids, row_keys = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "key"))
+            for doc_id, row_key, raw in zip(ids, row_keys, text_bytes(batch), strict=True):
                 tokens = shingles(raw, hashes)
                 cid = class_of(tokens)
                 key, spare = cells(tokens)
-                described.append((doc_id, len(tokens), cid, *spare))
-                if cid not in seen:
+                fresh = cid not in seen
+                described.append((doc_id, cid, len(tokens), *spare, row_key, sketch_of(tokens) if fresh else None))
+                if fresh:
                     seen.add(cid)
                     if len(key):
                         classes.append(cid)
@@ -183,23 +202,24 @@ def _packer(buckets: int, spread: int):
     return run
 
 
-PAIR, WEAK, DOCUMENT = 0, 1, 2
-FOUND = "kind int, a long, b long, n long, spare0 int, spare1 int"
-_FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("spare0", pa.int32()), ("spare1", pa.int32())])
+CELL, DOCUMENT = 0, 1
+FOUND = "kind int, a long, b long, n long, spare0 int, spare1 int, key long, sketch array<long>"
+_FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), *[_SETS.field(i) for i in range(2, len(_SETS))]])
 
 
 def _match(table: pa.Table) -> pa.Table:
-    """A bucket's pairs of classes that share a cell of few, and (key, class) of the weak cells; or documents' rows."""
-    if table.column("bucket")[0].as_py() < 0:
-        rows = pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in table.column("blob").to_pylist()])
-        return pa.table([pa.array(np.full(len(rows), DOCUMENT), pa.int32()), *[rows.column(c) for c in ("doc_id", "cid", "n", "spare0", "spare1")]], schema=_FOUND)
+    """A bucket's shared cells as (cell, class) rows; or documents' rows."""
+    number = table.column("bucket")[0].as_py()
+    blobs = table.column("blob").to_pylist()
+    if number < 0:
+        rows = pa.concat_tables([pa.ipc.open_stream(blob).read_all() for blob in blobs])
+        return pa.table([pa.array(np.full(len(rows), DOCUMENT), pa.int32()), *rows.columns], schema=_FOUND)
     keys, cids = [], []
-    for blob in table.column("blob").to_pylist():
-        n = int(np.frombuffer(blob, np.int64, 1)[0])
-        classes = np.frombuffer(blob, np.int64, n, 8)
-        rows = np.frombuffer(blob, np.uint64, -1, 8 + 8 * n)
-        keys.append(rows >> np.uint64(16))
-        cids.append(classes[(rows & np.uint64(0xFFFF)).astype(np.int64)])
+    for blob in blobs:
+        n, m, wide = np.frombuffer(blob, np.int64, 3).tolist()
+        classes = np.frombuffer(blob, np.int64, n, 24)
+        keys.append(np.cumsum(np.frombuffer(blob, f"<u{wide}", m, 24 + 8 * n).astype(np.uint64)))
+        cids.append(classes[np.frombuffer(blob, "<u2", m, 24 + 8 * n + wide * m).astype(np.int64)])
     key, cid = np.concatenate(keys), np.concatenate(cids)
     order = np.lexsort((cid, key))
     key, cid = key[order], cid[order]
@@ -208,171 +228,187 @@ def _match(table: pa.Table) -> pa.Table:
     key, cid = key[fresh], cid[fresh]
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.append(starts, len(key)))
-    size = np.repeat(sizes, sizes)
-    several = size > 1
-    key, cid, size = key[several], cid[several], size[several]
-    few = size <= FEW
-    a, b = [], []
-    for step in range(1, FEW):
-        if len(key) > step:
-            hit = np.flatnonzero((key[step:] == key[:-step]) & few[step:])
-            a.append(cid[hit])
-            b.append(cid[hit + step])
-    a = np.concatenate(a) if a else np.zeros(0, np.int64)
-    b = np.concatenate(b) if b else np.zeros(0, np.int64)
-    if len(a):
-        pairs = np.unique(np.stack([a, b], 1), axis=0)
-        a, b = pairs[:, 0], pairs[:, 1]
-    weak = ~few
-    kinds = np.concatenate([np.full(len(a), PAIR), np.full(int(weak.sum()), WEAK)])
-    # Keys hold 48 bits; the bucket's number stands above them, the band's parity is the last bit.
-    number = int(table.column("bucket")[0].as_py())
-    first = np.concatenate([a, (key[weak] | np.uint64(number % 32768 << 48)).astype(np.int64)])
-    nothing = pa.nulls(len(kinds), pa.int64()), pa.nulls(len(kinds), pa.int32()), pa.nulls(len(kinds), pa.int32())
-    return pa.table([pa.array(kinds, pa.int32()), pa.array(first), pa.array(np.concatenate([b, cid[weak]])), *nothing], schema=_FOUND)
-
-
-def _set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _WordHashes()
+    several = np.repeat(sizes, sizes) > 1
+    # The bucket's number stands above the key, the band's parity is the last bit.
+    cell = (key[several] | np.uint64(number % (1 << 23) << KEY_BITS)).astype(np.int64)
+    columns = [pa.array(np.full(len(cell), CELL), pa.int32()), pa.array(cell), pa.array(cid[several])]
+    return pa.table([*columns, *[pa.nulls(len(cell), f.type) for f in list(_FOUND)[3:]]], schema=_FOUND)
+
+
+def hamming(a: Column, b: Column) -> Column:
+    """The Hamming distance of two sketches, the longer one folded once to the length of the other."""
+
+    def folded(x: Column, y: Column) -> Column:
+        half = F.floor(F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(y), F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))).otherwise(x)
+
+    return F.aggregate(F.zip_with(folded(a, b), folded(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, x: s + F.coalesce(x, F.lit(64)))
+
+
+def _near(na: Column, nb: Column, sa: Column, sb: Column) -> Column:
+    """Whether sizes and sketches allow the similarity."""
+    return (F.least(na, nb) * 100 >= PERCENT * F.greatest(na, nb)) & (hamming(sa, sb) <= F.floor((na + nb) / 9))
+
+
+def _by_sketch(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that the sketches do not rule out."""
+    side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+    right = side("b").withColumnRenamed("b", "_b")
+    near = (F.col("b") == F.col("_b")) & _near(F.col("na"), F.col("nb"), F.col("sa"), F.col("sb"))
+    return pairs.join(side("a"), "a").join(right, near).select("a", "b")
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cids, sets = [], []
-        for raw in text_bytes(batch):
-            tokens = shingles(raw, hashes)
-            cids.append(class_of(tokens))
-            # 48 of the 64 bits, sorted; the two high bytes of each little-endian number are left out.
-            short = np.unique(tokens & np.uint64((1 << 48) - 1))
-            sets.append(short.view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(sets, pa.binary())], names=["cid", "tokens"])
+        made = [b" ".join(raw.translate(_LOWER).split()) for raw in text_bytes(batch)]
+        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("key")), pa.array(made, pa.binary())], names=["key", "words"])
+
+
+#: Words are numbered per pair; five numbers below this make one 64-bit number.
+_NUMBERS = 6208
+
 
+def _numbered(words: list[bytes], numbers: dict[bytes, int]) -> np.ndarray | set:
+    """The distinct shingles of five words or more: exact numbers, or tuples if there are too many different words."""
+    for w in words:
+        if w not in numbers:
+            numbers[w] = len(numbers)
+    if len(numbers) > _NUMBERS:
+        return set(zip(*[words[i : len(words) - SHINGLE + 1 + i] for i in range(SHINGLE)], strict=True))
+    n = np.array([numbers[w] for w in words], np.int64)
+    out = n[: len(n) - SHINGLE + 1]
+    for i in range(1, SHINGLE):
+        out = out * _NUMBERS + n[i : len(n) - SHINGLE + 1 + i]
+    return np.unique(out)
 
-def _tokens_of(packed: bytes) -> np.ndarray:
-    wide = np.zeros((len(packed) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
-    return wide.view(np.uint64).ravel()
+
+def _alike(left: list[bytes], right: list[bytes], numbers: dict[bytes, int], known: np.ndarray | set | None) -> bool:
+    """Whether two texts' shingles, compared by their words, are similar enough. ``numbers`` and ``known`` are the left text's."""
+    if min(len(left), len(right)) < SHINGLE:
+        return left == right
+    more = _numbered(right, dict(numbers))
+    if isinstance(more, set) or isinstance(known, set):
+        known, more = (set(zip(*[w[i : len(w) - SHINGLE + 1 + i] for i in range(SHINGLE)], strict=True)) for w in (left, right))
+        both = len(known & more)
+    else:
+        both = len(np.intersect1d(known, more, assume_unique=True))
+    return 100 * both >= PERCENT * (len(known) + len(more) - both)
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, kept = None, None
+    last, left, numbers, known = None, [], {}, None
     for batch in batches:
         a, b = batch.column(0), batch.column(1)
         out = []
         for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
             x, y = x.as_py(), y.as_py()
             if x != last:
-                last, kept = x, _tokens_of(x)
-            right = _tokens_of(y)
-            if min(len(kept), len(right)) * 100 < PERCENT * max(len(kept), len(right)):
-                continue
-            both = len(np.intersect1d(kept, right, assume_unique=True))
-            if 100 * both >= PERCENT * (len(kept) + len(right) - both):
+                last, left, numbers = x, x.split(), {}
+                known = _numbered(left, numbers) if len(left) >= SHINGLE else None
+            if _alike(left, y.split(), numbers, known):
                 out.append(i)
         at = pa.array(out, pa.int64())
         yield pa.RecordBatch.from_arrays([a.take(at), b.take(at)], names=["a", "b"])
 
 
-def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
-    """The packed sets of the classes in ``ids``, read from one document of each."""
-    wanted = classes.join(ids, "cid", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi").select("text")
-    return texts.mapInArrow(_set_bytes, "cid long, tokens binary").join(ids, "cid", "left_semi").dropDuplicates(["cid"])
-
-
-def _links_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    left = pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("left")), "a")
-    both = left.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("right")), "b").select("a", "b", "left", "right")
-    return materialise(both.mapInArrow(_similar, "a long, b long"), "similar")
-
-
-def _open_rows(weak: DataFrame, node: DataFrame) -> DataFrame:
-    """The rows of weak cells that hold more than one component."""
-    placed = weak.join(node.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+def _links_of(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose texts are similar. ``docs`` have key and text; of each class one text is read."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    wanted = materialise(classes.join(ids, "cid", "left_semi").select("cid", F.col("rep.key").alias("key")), "wanted")
+    keys = wanted.select("key")
+    if wanted.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    texts = docs.join(keys, "key", "left_semi").mapInArrow(_words, "key long, words binary").join(wanted, "key")
+    texts = materialise(texts.groupBy("cid").agg(F.first("words").alias("words")), "words")
+    right = pairs.join(texts.select(F.col("cid").alias("b"), F.col("words").alias("right")), "b")
+    both = right.join(texts.select(F.col("cid").alias("a"), F.col("words").alias("left")), "a").select("a", "b", "left", "right")
+    links = materialise(both.mapInArrow(_similar, "a long, b long"), "links")
+    discard(wanted, texts)
+    return links
+
+
+def _open_cells(shared: DataFrame, node: DataFrame) -> DataFrame:
+    """The rows of cells that hold several components."""
+    placed = shared.join(node.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     several = placed.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("cell")
-    return materialise(placed.join(several, "cell", "left_semi"), "open")
-
+    return placed.join(several, "cell", "left_semi")
 
-def _across(rows: DataFrame, turn: int) -> DataFrame:
-    """A class of each open cell's smallest component, with the classes of the cell's other components."""
-    sized = rows.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("cid", F.lit(turn)), "cid"))["cid"].alias("cid"))
-    centre = sized.groupBy("cell").agg(F.min(F.struct("n", "cid", "component")).alias("c")).select("cell", F.col("c.cid").alias("x"), F.col("c.component").alias("own"))
-    return rows.join(centre, "cell").filter("component <> own").select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b"))
 
-
-def _rest(rows: DataFrame, weak: DataFrame, spent: DataFrame) -> DataFrame:
-    """The pairs across components that share as many weak cells as either has to spare, each once.
-
-    A class keeps its rarest cells: all but the number to spare, plus one; two sets that share that number share one of them.
-    """
-    concerned = weak.join(rows.select("cid").distinct(), "cid", "left_semi")
-    often = concerned.groupBy("cell").agg(F.count(F.lit(1)).alias("often"))
-    listed = concerned.join(often, "cell").groupBy("cid", "parity").agg(F.array_sort(F.collect_list(F.struct("often", "cell"))).alias("c"))
-    listed = listed.join(spent, ["cid", "parity"]).withColumn("need", F.greatest(F.col("spare"), F.lit(1)))
-    listed = listed.withColumn("all", F.transform("c", lambda x: x["cell"])).withColumn("few", F.slice("all", F.lit(1), F.greatest(F.size("all") - F.col("need") + 1, F.lit(1))))
-    named = listed.join(rows.select("cid", "component").distinct(), "cid").select("cid", "component", "need", "all", "few", F.explode("few").alias("cell"))
-    left = named.select("cell", F.col("cid").alias("a"), F.col("component").alias("ca"), F.col("need").alias("na"), F.col("all").alias("la"), F.col("few").alias("fa"))
-    right = named.select("cell", F.col("cid").alias("b"), F.col("component").alias("cb"), F.col("need").alias("nb"), F.col("all").alias("lb"), F.col("few").alias("fb"))
-    once = F.col("a") < F.col("b")
-    apart = F.col("ca") != F.col("cb")
-    first = left.cell == F.array_min(F.array_intersect("fa", "fb"))
-    enough = F.size(F.array_intersect("la", "lb")) >= F.greatest("na", "nb")
-    return left.join(right, (left.cell == right.cell) & once & apart & first & enough).select("a", "b")
+def _across(rows: DataFrame, shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs of classes of different components that meet in a rare cell of each and that the sketches do not rule out, once each."""
+    concerned = shared.join(rows.select("cid").distinct(), "cid", "left_semi")
+    often = shared.groupBy("cell").agg(F.count(F.lit(1)).alias("often"))
+    listed = concerned.join(often, "cell").groupBy("cid", "parity").agg(F.array_sort(F.collect_list(F.struct("often", "cell"))).alias("c"), F.max("need").alias("need"))
+    few = F.slice("c", F.lit(1), F.greatest(F.size("c") - F.col("need") + 1, F.lit(0)))
+    rare = listed.select("cid", F.explode(F.transform(few, lambda x: x["cell"])).alias("cell"))
+    open_rows = rare.join(rows.select("cell", "cid", "component"), ["cell", "cid"])
+    known = open_rows.join(classes.select("cid", "n", "sketch"), "cid")
+    side = lambda c: known.select(F.col("cell").alias(f"cell{c}"), F.col("cid").alias(c), F.col("component").alias(f"c{c}"), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+    meet = (F.col("cella") == F.col("cellb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _near(F.col("na"), F.col("nb"), F.col("sa"), F.col("sb"))
+    return side("a").join(side("b"), meet).select("a", "b").distinct()
 
 
 def near_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, class_id and component_id of every row; ``class_id`` is the least doc_id with the same set."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
     rows, chars = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(shuffles if rows > 1000 else 1, math.ceil(chars * CELLS_PER_CHAR / BUCKET_CELLS))
     spread = max(shuffles, rows >> 20)
     blobs = docs.mapInArrow(_packer(buckets, spread), "bucket int, blob binary")
     found = materialise(blobs.groupBy("bucket").applyInArrow(_match, FOUND), "found")
-    described = found.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc_id"), F.col("b").alias("cid"), "n", "spare0", "spare1")
-    classes = described.filter("n > 0").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("spare0").alias("spare0"), F.min("spare1").alias("spare1"))
+    described = found.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc_id"), F.col("b").alias("cid"), "n", "spare0", "spare1", "key", "sketch")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("rep")
+    classes = described.filter("n > 0").groupBy("cid").agg(first, F.max("n").alias("n"), F.max("spare0").alias("spare0"), F.max("spare1").alias("spare1"), F.max("sketch").alias("sketch"))
     classes = materialise(classes, "classes")
-    pairs = found.filter(F.col("kind") == PAIR).select("a", "b").distinct()
-    weak = found.filter(F.col("kind") == WEAK).select(F.col("a").alias("cell"), F.col("b").alias("cid"), F.col("a").bitwiseAND(F.lit(1).cast("long")).alias("parity"))
-    spent = weak.groupBy("cid", "parity").agg(F.count(F.lit(1)).alias("n")).join(classes, "cid").withColumn("spare", F.when(F.col("parity") == 0, F.col("spare0")).otherwise(F.col("spare1")))
-    spent = materialise(spent.filter("spare - n < 1").select("cid", "parity", "spare"), "spent")
-    weak = materialise(weak.join(spent, ["cid", "parity"], "left_semi"), "weak")
-    first = weak.groupBy("cell").agg(F.min("cid").alias("c"))
-    star = weak.join(first, "cell").filter("cid <> c").select(F.col("c").alias("a"), F.col("cid").alias("b"))
-    pairs = materialise(pairs.unionByName(star.distinct()).distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).unionByName(spent.select("cid")).distinct()
-    sets = materialise(_sets_of(docs, classes, ids), "sets")
-    links = _links_of(pairs, sets)
-    node = components(links)
-    for turn in range(TURNS + 1):
-        left = _open_rows(weak, node)
-        if left.isEmpty():
-            break
-        more = _across(left, turn) if turn < TURNS else _rest(left, weak, spent)
-        fresh = materialise(more.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if not fresh.isEmpty():
-            links = links.unionByName(_links_of(fresh, sets))
-            pairs = pairs.unionByName(fresh)
-            node = components(links)
-    reps = classes.select("cid", "rep")
-    named = node.join(reps, node.node == reps.cid).groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = node.join(named, "component").select(F.col("node").alias("cid"), "component_id")
-    members = materialise(reps.join(of_class, "cid", "left").select("cid", "rep", F.coalesce("component_id", "rep").alias("component_id")), "members")
+
+    cell_rows = found.filter(F.col("kind") == CELL).select(F.col("a").alias("cell"), F.col("b").alias("cid"), F.col("a").bitwiseAND(F.lit(1).cast("long")).cast("int").alias("parity"))
+    need = F.greatest(F.when(F.col("parity") == 0, F.col("spare0")).otherwise(F.col("spare1")), F.lit(1))
+    able = cell_rows.groupBy("cid", "parity").agg(F.count(F.lit(1)).alias("held")).join(classes.select("cid", "spare0", "spare1"), "cid").withColumn("need", need).filter("held >= need")
+    shared = materialise(cell_rows.join(able.select("cid", "parity", "held", "need"), ["cid", "parity"]), "shared")
+    centre = shared.groupBy("cell").agg(F.max(F.struct("held", "cid"))["cid"].alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("cell", "centre")
+    star = shared.join(centre, "cell").filter("cid <> centre").select(F.col("centre").alias("a"), F.col("cid").alias("b")).distinct()
+    texts = docs.select("key", "text")
+    pairs = materialise(_by_sketch(star, classes), "pairs")
+    links = [_links_of(pairs, texts, classes)]
+    node = components(links[0])
+    rest = _open_cells(shared, node)
+    more = materialise(_across(rest, shared, classes).join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
+    discard(pairs)
+    if not more.isEmpty():
+        links.append(_links_of(more, texts, classes))
+        settled = node
+        node = components(links[0].unionByName(links[1]))
+        discard(settled)
+    discard(more, shared, *links)
+    reps = classes.select("cid", F.col("rep.doc_id").alias("rep"), F.col("rep.none").alias("none"))
+    named = node.join(reps, node.node == reps.cid).groupBy("component").agg(F.min(F.struct("none", "rep"))["rep"].alias("component_id"))
+    of_class = node.join(named, "component").select(F.col("node").alias("cid"), "component_id", F.lit(True).alias("linked"))
+    placed = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("rep"))
+    members = reps.join(of_class, "cid", "left").select("cid", "rep", placed.alias("component_id"))
     joined = described.filter("n > 0").join(members, "cid").select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"), "component_id")
     empty = described.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
-    return joined.unionByName(empty)
+    out = materialise(joined.unionByName(empty), "near")
+    discard(found, classes, node)
+    return out
 
 
 def dedup_near(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns: of each component the least doc_id, a null after all others.
 
-    Rows are told apart by a 64-bit hash of doc_id and text, as one doc_id, or none, may have several texts.
+    Rows are told apart by a 64-bit hash of doc_id and text, as one doc_id, or none, may have several texts; rows alike in both are one.
+    A column named ``_row`` is kept like any other.
     """
-    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    of_row = near_components(rows.select(F.col("_row").alias("doc_id"), "text")).filter("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id").distinct()
-    named = of_row.join(rows.select("_row", "doc_id").distinct(), "_row")
-    named = materialise(named.select("component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("who")), "named")
+    row = F.xxhash64("doc_id", "text")
+    of_row = near_components(docs.select(row.alias("doc_id"), "text")).filter("n_shingles > 0").select(F.col("doc_id").alias("row"), "component_id").distinct()
+    named = of_row.join(docs.select(row.alias("row"), "doc_id").distinct(), "row")
+    named = materialise(named.select("component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("who")), "named")
     least = named.groupBy("component_id").agg(F.min("who").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    dropped = named.join(least, "component_id").filter("who._row <> least._row").select(F.col("who._row").alias("_row"))
-    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
+    dropped = named.join(least, "component_id").filter("who.row <> least.row").select(F.col("who.row").alias("row"))
+    dropped = materialise(dropped, "dropped")
+    discard(named)
+    return docs.join(dropped, row == dropped.row, "left_anti")
 
 
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
