@@ -185,23 +185,24 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns: one of each text, whatever other texts have its doc_id or have none.
 
     A verdict holds for a doc_id, a normalised text and its code points; of kept rows that share these, the least text stays.
-    Columns of any names pass through: the three made here are dropped again.
+    Columns of any names pass through.
     """
     key = ["doc_id", "text_sha256", "points"]
     several = _verdicts(docs).filter("group_size > 1").groupBy(*key).agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     several = materialise(several.filter("not kept or n > 1"), "several")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumns({"_sha": F.sha2(F.translate(text, SPACES.decode(), "").cast("binary"), 256), "_points": F.length(text).cast("long")})
+    text = F.coalesce(F.col("doc.text"), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    rows = rows.withColumns({"sha": F.sha2(F.translate(text, SPACES.decode(), "").cast("binary"), 256), "length": F.length(text).cast("long")})
 
     def same(other: DataFrame):
-        return rows.doc_id.eqNullSafe(other.doc_id) & (rows._sha == other.text_sha256) & (rows._points == other.points)
+        return F.col("doc.doc_id").eqNullSafe(other.doc_id) & (F.col("sha") == other.text_sha256) & (F.col("length") == other.points)
 
-    stay = rows.join(several, same(several), "left_anti").select(*docs.columns)
+    stay = rows.join(several, same(several), "left_anti").select("doc.*")
     twice = several.filter("kept")
     if twice.isEmpty():
         return stay
-    first = rows.join(twice, same(twice), "left_semi").groupBy("doc_id", "_sha").agg(F.min_by(F.struct(*docs.columns), text).alias("row"))
-    return stay.unionByName(first.select("row.*"))
+    first = rows.join(twice, same(twice), "left_semi").groupBy("doc.doc_id", "sha").agg(F.min_by("doc", text).alias("doc"))
+    return stay.unionByName(first.select("doc.*"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -166,8 +166,8 @@ def _noise(name: str) -> Column:
     count, of, _, two_sided = RATES[name]
     n = F.col(f"_{of}").cast("double")
     if two_sided:  # a mean length: lengths spread by about half of it
-        return NOISE * 0.5 * F.col(f"_{name}_high") / F.sqrt(n)
-    return NOISE * F.sqrt(F.greatest(F.col(f"_{name}_high"), 1 / n) / n)
+        return F.try_divide(NOISE * 0.5 * F.col(f"_{name}_high"), F.sqrt(n))
+    return NOISE * F.sqrt(F.try_divide(F.greatest(F.col(f"_{name}_high"), F.try_divide(F.lit(1.0), n)), n))
 
 
 def judge(counted: DataFrame, limits: DataFrame) -> DataFrame:

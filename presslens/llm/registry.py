@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import bpe, chat, exact_dedup, mixing, near_dedup, pii, quality, secrets, sharding, substring_dedup
+from presslens.llm import bpe, chat, exact_dedup, mixing, near_dedup, oracles, pii, quality, secrets, sharding, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -21,4 +21,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": chat.op10_chat,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracles.SQL
