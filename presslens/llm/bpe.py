@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import documents, let, materialise, text_bytes
+from presslens.llm.common import documents, lean, let, materialise, text_bytes
 
 HEAD_WORDS = 1 << 20
 HEAD_BYTES = 64
@@ -52,7 +52,7 @@ SHIFT = 0x100
 #: Stands before each pair in a bucket; above all pieces, so that a pair that is not there sorts last.
 MARK = "\ufffd"
 #: Entries that a task's counters and look-ups hold at once, and rows of an Arrow batch.
-COUNT_AT_ONCE = 300_000
+COUNT_AT_ONCE = 150_000
 ROWS_AT_ONCE = 500
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -182,7 +182,7 @@ def _counter(pattern: str):
             words.clear()
             return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], schema=_WORDS)
 
-        for batch in batches:
+        for batch in lean(batches):
             for raw in text_bytes(batch):
                 text = raw.decode("utf-8", "replace")
                 lines = split.lines(text)
@@ -318,7 +318,7 @@ class _Encoder:
 def _looker(token: str, shared, path: str | None, pattern: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(_head_table(token, shared), vocabulary(path), pattern)
-        for batch in batches:
+        for batch in lean(batches):
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
                 ids, rare = [], []
@@ -342,7 +342,7 @@ def _looker(token: str, shared, path: str | None, pattern: str, names: list[str]
 
 def _filler(names: list[str], finish):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             folded = batch.column(batch.schema.get_field_index("_folded")).to_pylist()
             rows = []
             for packed, words in zip(batch.column(batch.schema.get_field_index("ids")).to_pylist(), folded, strict=True):

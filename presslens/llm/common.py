@@ -89,9 +89,21 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; what Arrow holds of a batch that is done goes back to the system, as Python workers live on from stage to stage."""
+    pool = pa.default_memory_pool()
+    for batch in batches:
+        yield batch
+        del batch
+        pool.release_unused()
+
+
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
     """The UTF-8 bytes of each text, null as empty."""
-    column = batch.column(batch.schema.get_field_index(name))
+    return bytes_of(batch.column(batch.schema.get_field_index(name)))
+
+
+def bytes_of(column: pa.Array) -> Iterator[bytes]:
     if pa.types.is_string(column.type):
         column = column.cast(pa.binary())
     elif pa.types.is_large_string(column.type):

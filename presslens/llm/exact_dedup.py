@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import SPACES, batch_of, discard, documents, materialise, row_count, text_bytes
+from presslens.llm.common import SPACES, batch_of, discard, documents, lean, materialise, row_count, text_bytes
 
 #: Documents in a block at most, and fingerprints that one owner decodes on average.
 BLOCK_DOCS = 1 << 18
@@ -87,7 +87,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = (context.partitionId() << 24) | made
         return batch_of(_BLOCKS, [[number], [ids], [np.array(hashes, np.uint64).view(np.int64).tolist()], [points], [b"".join(shas)]])
 
-    for batch in batches:
+    for batch in lean(batches):
         for doc_id, text in zip(batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), text_bytes(batch), strict=True):
             plain = text.translate(None, SPACES)
             ids.append(doc_id)

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import discard, documents, materialise, text_bytes
+from presslens.llm.common import discard, documents, lean, materialise, text_bytes
 from presslens.llm.components import components
 
 SHINGLE = 5
@@ -51,7 +51,7 @@ SHINGLE = 5
 PERCENT = 80
 #: Cells that a bucket of keys holds on average, and that a block packs at once.
 BUCKET_CELLS = 1 << 20
-BLOCK_CELLS = 1 << 21
+BLOCK_CELLS = 1 << 20
 DESCRIBED_ROWS = 4096
 BROADCAST_KEYS = 1 << 20
 #: Cells per character of text, in the mean; it sets the number of buckets.
@@ -76,7 +76,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         out = self[word] = xxhash.xxh3_64_intdigest(word)
         return out
@@ -179,7 +179,7 @@ def _packer(buckets: int, spread: int):
                 blobs.append(sink.getvalue().to_pybytes())
             return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
-        for batch in batches:
+        for batch in lean(batches):
             ids, row_keys = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("doc_id", "key"))
             for doc_id, row_key, raw in zip(ids, row_keys, text_bytes(batch), strict=True):
                 tokens = shingles(raw, hashes)
@@ -259,7 +259,7 @@ def _by_sketch(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in lean(batches):
         made = [b" ".join(raw.translate(_LOWER).split()) for raw in text_bytes(batch)]
         yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("key")), pa.array(made, pa.binary())], names=["key", "words"])
 
@@ -297,7 +297,7 @@ def _alike(left: list[bytes], right: list[bytes], numbers: dict[bytes, int], kno
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, left, numbers, known = None, [], {}, None
-    for batch in batches:
+    for batch in lean(batches):
         a, b = batch.column(0), batch.column(1)
         out = []
         for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslens.llm.common import SPACES, discard, documents, materialise, text_bytes
+from presslens.llm.common import SPACES, bytes_of, discard, documents, lean, materialise
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 10
@@ -72,17 +72,27 @@ def text_counts(raw: bytes) -> tuple[int, ...]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = list(zip(*map(text_counts, text_bytes(batch)), strict=True)) or [[]] * len(COUNTS)
-        kept = [n for n in batch.schema.names if n != "text"]
-        yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in kept], *[pa.array(c, pa.int64()) for c in columns]], names=[*kept, *[f"_{c}" for c in COUNTS]])
+    for batch in lean(batches):
+        columns = list(zip(*map(text_counts, bytes_of(batch.column(0).field("text"))), strict=True)) or [[]] * len(COUNTS)
+        yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.int64()) for c in columns]], names=[*batch.schema.names, *[f"_{c}" for c in COUNTS]])
 
 
-def with_counts(docs: DataFrame) -> DataFrame:
-    """``doc``, all columns of ``docs``, and one column ``_<name>`` per count."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("lang").alias("_lang"), F.col("source").alias("_source"), "text")
-    schema = T.StructType([f for f in packed.schema.fields if f.name != "text"] + [T.StructField(f"_{c}", T.LongType()) for c in COUNTS])
-    return packed.mapInArrow(_count, schema)
+def with_counts(docs: DataFrame, whole: bool = True) -> DataFrame:
+    """``doc``, all columns of ``docs`` (unless ``whole``, without text), and one column ``_<name>`` per count."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("lang").alias("_lang"), F.col("source").alias("_source"))
+    schema = T.StructType([*packed.schema.fields] + [T.StructField(f"_{c}", T.LongType()) for c in COUNTS])
+    if whole:
+        return packed.mapInArrow(_count, schema)
+    kept = [f for f in docs.schema.fields if f.name != "text"]
+    schema = T.StructType([T.StructField("doc", T.StructType(kept)), *schema.fields[1:]])
+
+    def without_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _count(batches):
+            doc = batch.column(0)
+            slim = pa.StructArray.from_arrays([doc.field(f.name) for f in kept], names=[f.name for f in kept])
+            yield pa.RecordBatch.from_arrays([slim, *batch.columns[1:]], names=batch.schema.names)
+
+    return packed.mapInArrow(without_text, schema)
 
 
 def rate(name: str) -> Column:
@@ -182,7 +192,7 @@ def judge(counted: DataFrame, limits: DataFrame) -> DataFrame:
 
 def measured(docs: DataFrame) -> DataFrame:
     """The counts of every document without its text, written to the shared folder."""
-    counted = with_counts(docs.select("doc_id", "lang", "source", "text"))
+    counted = with_counts(docs.select("doc_id", "lang", "source", "text"), whole=False)
     return materialise(counted.select(F.col("doc.doc_id").alias("doc_id"), *counted.columns[1:]), "counts")
 
 

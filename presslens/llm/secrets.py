@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm.common import documents, text_bytes
+from presslens.llm.common import documents, lean, text_bytes
 
 PER_FORMAT = 400
 NEGATIVES = 4000
@@ -321,7 +321,7 @@ def _scanner(scorer: Scorer):
             rows = [_row(i, t, s) for i, t, s in zip(ids, texts, scanner.spans(texts), strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _OUT.types, strict=True)], schema=_OUT)
 
-        for batch in batches:
+        for batch in lean(batches):
             ids, texts, held = [], [], 0
             for doc_id, raw in zip(batch.column(batch.schema.get_field_index("doc_id")).to_pylist(), text_bytes(batch), strict=True):
                 ids.append(doc_id)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import discard, documents, materialise, text_bytes
+from presslens.llm.common import discard, documents, lean, materialise, text_bytes
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
@@ -94,7 +94,7 @@ class Runs:
 def _blocks(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[list, list[bytes], list[list]]]:
     """doc_ids, texts and other columns of up to ``CHUNK`` bytes of text; a longer text is alone."""
     ids, texts, others, held = [], [], [[] for _ in names], 0
-    for batch in batches:
+    for batch in lean(batches):
         columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("doc_id", *names)]
         for text, doc_id, *more in zip(text_bytes(batch), *columns, strict=True):
             if ids and (held + len(text) > CHUNK or len(ids) >= 4096):
