@@ -25,10 +25,11 @@ empty table gives an empty result; other columns pass through ``encode_documents
 
 from __future__ import annotations
 
-import array
 import base64
 import hashlib
 import heapq
+import mmap
+import os
 import uuid
 import zlib
 from collections import Counter
@@ -219,42 +220,52 @@ def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> DataFrame:
     return counts.filter(F.col("n") >= least) if least is not None else counts.filter("false")
 
 
-class HeadTable:
-    """Word to packed ids in flat arrays: an open-addressing table of hashes beside the words' bytes, about 50 bytes a word."""
+_MAGIC = b"presslens words\n"
+
 
-    def __init__(self, table: pa.Table):
+def pack_head(table: pa.Table) -> bytes:
+    """Word to packed ids as one block of flat arrays: an open-addressing table of hashes, the words' and ids' ends, their bytes."""
+    size = table.num_rows
+    words, ids = b"", b""
+    word_ends = id_ends = np.zeros(1, np.uint32)
+    mask = (1 << max(4, (2 * size - 1).bit_length())) - 1
+    slots = np.full(mask + 1, -1, np.int32)
+    if size:
         table = table.combine_chunks()
-        words, ids = (table.column(i).chunk(0) if table.num_rows else table.schema.field(i).type for i in range(2))
-        self.size = table.num_rows
-        if not self.size:
-            return
-        self.words, self.word_ends = self._flat(words.cast(pa.large_binary()))
-        self.ids, self.id_ends = ids.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes(), array.array("q", (ids.offsets.to_numpy().astype(np.int64) * 4).tobytes())
-        self.mask = (1 << max(4, (2 * self.size).bit_length())) - 1
-        ends, digest = self.word_ends, xxhash.xxh3_64_intdigest
-        keys = np.fromiter((digest(self.words[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)), np.uint64, self.size)
-        slots = np.full(self.mask + 1, -1, np.int32)
-        rest, place = np.arange(self.size, dtype=np.int32), (keys & np.uint64(self.mask)).astype(np.int64)
+        column, lists = table.column(0).chunk(0).cast(pa.large_binary()), table.column(1).chunk(0)
+        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + size + 1]
+        words, word_ends = column.buffers()[2].to_pybytes()[int(ends[0]) : int(ends[-1])], (ends - ends[0]).astype(np.uint32)
+        ids, id_ends = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4").tobytes(), ((lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()) * 4).astype(np.uint32)
+        at, digest = word_ends.tolist(), xxhash.xxh3_64_intdigest
+        keys = np.fromiter((digest(words[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)), np.uint64, size)
+        rest, place = np.arange(size, dtype=np.int32), (keys & np.uint64(mask)).astype(np.int64)
         while len(rest):  # one word of each free place settles, the others move on by one
             free = slots[place] < 0
             slots[place[free]] = rest[free]
             left = slots[place] != rest
-            rest, place = rest[left], (place[left] + 1) & self.mask
-        self.slots = array.array("i", slots.tobytes())
+            rest, place = rest[left], (place[left] + 1) & mask
+    sizes = np.array([mask, len(slots), len(word_ends), len(id_ends), len(words), len(ids)], np.int64)
+    return b"".join([_MAGIC, sizes.tobytes(), slots.tobytes(), word_ends.tobytes(), id_ends.tobytes(), words, ids])
+
+
+class HeadTable:
+    """What ``pack_head`` made, read where it lies: a broadcast's file is mapped, so all workers of a machine share its pages."""
 
-    @staticmethod
-    def _flat(column: pa.LargeBinaryArray) -> tuple[bytes, array.array]:
-        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-        return column.buffers()[2].to_pybytes()[int(ends[0]) : int(ends[-1])], array.array("q", (ends - ends[0]).tobytes())
+    def __init__(self, block: memoryview):
+        self.mask, slots, n_words, n_ids, words, ids = np.frombuffer(block, np.int64, 6, len(_MAGIC)).tolist()
+        at = len(_MAGIC) + 48
+        self.slots = block[at : (at := at + 4 * slots)].cast("i")
+        self.word_ends = block[at : (at := at + 4 * n_words)].cast("I")
+        self.id_ends = block[at : (at := at + 4 * n_ids)].cast("I")
+        self.words = block[at : (at := at + words)]
+        self.ids = block[at : at + ids]
 
     def get(self, word: str) -> bytes | None:
-        if not self.size:
-            return None
         raw = word.encode()
         at = xxhash.xxh3_64_intdigest(raw) & self.mask
         while (i := self.slots[at]) >= 0:
             if self.words[self.word_ends[i] : self.word_ends[i + 1]] == raw:
-                return self.ids[self.id_ends[i] : self.id_ends[i + 1]]
+                return bytes(self.ids[self.id_ends[i] : self.id_ends[i + 1]])
             at = (at + 1) & self.mask
         return None
 
@@ -263,13 +274,24 @@ _TABLES: dict[str, HeadTable] = {}
 
 
 def _head_table(token: str, shared) -> HeadTable:
-    """Built once in a worker."""
+    """Opened once in a worker."""
     if token not in _TABLES:
         _TABLES.clear()
-        _TABLES[token] = HeadTable(pa.ipc.open_stream(shared.value).read_all())
+        _TABLES[token] = HeadTable(_mapped(shared))
     return _TABLES[token]
 
 
+def _mapped(shared) -> memoryview:
+    """The block of a broadcast; its value is loaded only if there is no plain file to map."""
+    path = getattr(shared, "_path", None)
+    if path and os.path.exists(path):
+        with open(path, "rb") as file:
+            held = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+        if (at := held.find(_MAGIC, 0, 4096)) >= 0:
+            return memoryview(held)[at:]
+    return memoryview(shared.value)
+
+
 class _Lookup(dict):
     """Part of a text to packed ids; a rare word is a negative number, the same for each of its parts."""
 
@@ -403,11 +425,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     ranks = RankMap(vocabulary(path))
     words = head_words(count_words(docs, pattern), head)
     table = words.select("word", encode_word(F.col("word"), ranks).alias("ids")).toArrow()
-    table = pa.table([table.column(0).cast(pa.string()), table.column(1).cast(pa.list_(pa.int32()))], names=["word", "ids"]).combine_chunks()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as out:
-        out.write_table(table)
-    shared = docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
+    table = pa.table([table.column(0).cast(pa.string()), table.column(1).cast(pa.list_(pa.int32()))], names=["word", "ids"])
+    shared = docs.sparkSession.sparkContext.broadcast(pack_head(table))
+    del table
     fields = [f for f in docs.schema.fields if f.name not in ("text", "ids", "_rare", "_folded")]
     names = [f.name for f in fields]
     ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
