@@ -16,6 +16,8 @@ Encoding a corpus:
 
 Decoding concatenates the binary pieces of the ids.
 
+Texts are cut some megabytes at once: the pattern sees each different part once, and what follows works on the numbers of words.
+
 Splitting: ``PATTERN`` looks ahead only at white space, so a text whose white space is single spaces and newlines, never
 side by side, splits alike when cut before each space and around each newline; other texts go through the pattern whole.
 
@@ -28,15 +30,17 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 import mmap
 import os
+import re
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,9 +56,8 @@ BUCKETS = 1 << 16
 SHIFT = 0x100
 #: Stands before each pair in a bucket; above all pieces, so that a pair that is not there sorts last.
 MARK = "\ufffd"
-#: Entries that a task's counters and look-ups hold at once, and rows of an Arrow batch.
-COUNT_AT_ONCE = 150_000
-ROWS_AT_ONCE = 500
+#: Bytes of text that are cut at once.
+CHUNK_BYTES = 1 << 24
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -143,26 +146,76 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in piece if p]
 
 
-#: White space besides space and newline; a text with any of it goes through the pattern whole.
-_RARE_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
-_RARE = [c for c in map(chr, range(128, 0x3001)) if c.isspace()]
+#: White space besides space and newline, and the zero byte; a text with any of it goes through the pattern whole.
+_RARE = [chr(c) for c in (*range(0x0A), *range(0x0B, 0x20)) if chr(c).isspace() or not c] + [c for c in map(chr, range(128, 0x3001)) if c.isspace()]
+_ODD = re.compile(b"|".join(re.escape(c.encode()) for c in _RARE))
 
 
 class Splitter:
-    """Cuts texts into parts that split alike alone and in their text."""
+    """Cuts texts by the pattern. A regular text is cut before each space and around each newline first: its parts split alike alone and in it."""
 
     def __init__(self, pattern: str):
         self.words = regex.compile(pattern).findall
 
-    def lines(self, text: str) -> list[list[str]] | None:
-        """The space-separated parts of each line, or None if the text needs the pattern as a whole."""
-        if "  " in text or any(c in text for c in _RARE_ASCII) or not text.isascii() and any(c in text for c in _RARE):
-            return None
-        lines = text.split("\n")
-        for line in lines:
-            if not line or line[0].isspace() or line[-1].isspace():
-                return None
-        return [line.split(" ") for line in lines]
+    def regular(self, raw: bytes) -> bool:
+        if not raw:
+            return True
+        spaced = raw[0] in b" \n" or raw[-1] in b" \n" or b"  " in raw or b"\n\n" in raw or b" \n" in raw or b"\n " in raw
+        return not spaced and _ODD.search(raw) is None
+
+    def counts(self, texts: list[bytes]) -> tuple[pa.StringArray, np.ndarray]:
+        """The distinct words of some texts, and how often each occurs."""
+        words, sizes, number, _ = self._parts(texts)
+        often = np.repeat(np.bincount(number, minlength=len(sizes)), sizes)
+        return words.dictionary, np.bincount(words.indices.to_numpy(zero_copy_only=False), often, len(words.dictionary)).astype(np.int64)
+
+    def cut(self, texts: list[bytes]) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+        """The distinct words of some texts, the numbers of all words in order, and where in these each text begins and the last ends."""
+        words, sizes, number, parts = self._parts(texts)
+        held = sizes[number]
+        flat = words.indices.to_numpy(zero_copy_only=False)[_ragged((np.cumsum(sizes) - sizes)[number], held)]
+        return words.dictionary, flat, np.concatenate([[0], np.cumsum(held)])[np.concatenate([[0], np.cumsum(parts)])]
+
+    def _parts(self, texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray, np.ndarray]:
+        """The words of all different parts and how many each part has; the numbers of the texts' parts in order, and how many each text has."""
+        regular = [self.regular(raw) for raw in texts]
+        blocks = [raw.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0") for raw, r in zip(texts, regular, strict=True) if r]
+        data = b"".join([x for block in blocks for x in (block, b"\0")])
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 0) + 1
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        lists = [self.words(part[:-1].decode("utf-8", "replace")) for part in coded.dictionary.to_pylist()]
+        parts = np.diff(np.searchsorted(ends, np.cumsum([0, *[len(block) + 1 for block in blocks]]), "right"))
+        number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        if not all(regular):  # a text that is not regular is one more part
+            counts = np.ones(len(texts), np.int64)
+            counts[regular] = parts
+            every, own = np.empty(int(counts.sum()), np.int64), np.repeat(regular, counts)
+            every[own] = number
+            every[~own] = len(lists) + np.arange(int((~own).sum()))
+            lists += [self.words(raw.decode("utf-8", "replace")) for raw, r in zip(texts, regular, strict=True) if not r]
+            parts, number = counts, every
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return pa.array(list(itertools.chain.from_iterable(lists)), pa.string()).dictionary_encode(), sizes, number, parts
+
+
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of many runs, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of up to ``CHUNK_BYTES`` of text, a longer text alone."""
+    for batch in lean(batches):
+        at, texts, held = 0, [], 0
+        for raw in text_bytes(batch):
+            if texts and held + len(raw) > CHUNK_BYTES:
+                yield batch.slice(at, len(texts)), texts
+                at, texts, held = at + len(texts), [], 0
+            texts.append(raw)
+            held += len(raw)
+        if texts:
+            yield batch.slice(at, len(texts)), texts
 
 
 _WORDS = pa.schema([("word", pa.string()), ("n", pa.int64())])
@@ -171,32 +224,10 @@ _WORDS = pa.schema([("word", pa.string()), ("n", pa.int64())])
 def _counter(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Splitter(pattern)
-        firsts, spaced, words = Counter(), Counter(), Counter()
-
-        def flush() -> pa.RecordBatch:
-            for parts, lead in ((firsts, ""), (spaced, " ")):
-                for part, n in parts.items():
-                    for word in split.words(lead + part):
-                        words[word] += n
-                parts.clear()
-            kept = [(w, n) for w, n in words.items() if len(w.encode()) <= HEAD_BYTES]
-            words.clear()
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], schema=_WORDS)
-
-        for batch in lean(batches):
-            for raw in text_bytes(batch):
-                text = raw.decode("utf-8", "replace")
-                lines = split.lines(text)
-                if lines is None:
-                    words.update(split.words(text))
-                else:
-                    words["\n"] += len(lines) - 1
-                    for parts in lines:
-                        firsts[parts[0]] += 1
-                        spaced.update(parts[1:])
-                if len(spaced) + len(firsts) + len(words) > COUNT_AT_ONCE:
-                    yield flush()
-        yield flush()
+        for _, texts in _chunks(batches):
+            words, often = split.counts(texts)
+            made = pa.RecordBatch.from_arrays([words, pa.array(often, pa.int64())], schema=_WORDS)
+            yield made.filter(pc.less_equal(pc.binary_length(words), HEAD_BYTES))
 
     return run
 
@@ -254,20 +285,25 @@ class HeadTable:
     def __init__(self, block: memoryview):
         self.mask, slots, n_words, n_ids, words, ids = np.frombuffer(block, np.int64, 6, len(_MAGIC)).tolist()
         at = len(_MAGIC) + 48
-        self.slots = block[at : (at := at + 4 * slots)].cast("i")
-        self.word_ends = block[at : (at := at + 4 * n_words)].cast("I")
-        self.id_ends = block[at : (at := at + 4 * n_ids)].cast("I")
-        self.words = block[at : (at := at + words)]
-        self.ids = block[at : at + ids]
-
-    def get(self, word: str) -> bytes | None:
-        raw = word.encode()
-        at = xxhash.xxh3_64_intdigest(raw) & self.mask
-        while (i := self.slots[at]) >= 0:
-            if self.words[self.word_ends[i] : self.word_ends[i + 1]] == raw:
-                return bytes(self.ids[self.id_ends[i] : self.id_ends[i + 1]])
-            at = (at + 1) & self.mask
-        return None
+        self.slots = np.frombuffer(block, np.int32, slots, at)
+        ends = np.frombuffer(block, np.int32, n_words, at := at + 4 * slots)
+        self.id_ends = np.frombuffer(block, np.int32, n_ids, at := at + 4 * n_words)
+        self.words = pa.Array.from_buffers(pa.binary(), n_words - 1, [None, pa.py_buffer(ends), pa.py_buffer(block[at + 4 * n_ids : at + 4 * n_ids + words])])
+        self.ids = np.frombuffer(block[at + 4 * n_ids + words : at + 4 * n_ids + words + ids], "<i4")
+
+    def find(self, words: pa.BinaryArray) -> np.ndarray:
+        """The number of each word, -1 if it is not here; hashes lead to a place, bytes decide."""
+        out = np.full(len(words), -1, np.int64)
+        digest = xxhash.xxh3_64_intdigest
+        place = (np.fromiter(map(digest, words.to_pylist()), np.uint64, len(words)) & np.uint64(self.mask)).astype(np.int64)
+        rest = np.arange(len(words))
+        while len(rest):
+            at = self.slots[place]
+            rest, place, at = rest[at >= 0], place[at >= 0], at[at >= 0]
+            same = pc.equal(self.words.take(pa.array(at)), words.take(pa.array(rest))).to_numpy(zero_copy_only=False).astype(bool)
+            out[rest[same]] = at[same]
+            rest, place = rest[~same], (place[~same] + 1) & self.mask
+        return out
 
 
 _TABLES: dict[str, HeadTable] = {}
@@ -292,72 +328,45 @@ def _mapped(shared) -> memoryview:
     return memoryview(shared.value)
 
 
-class _Lookup(dict):
-    """Part of a text to packed ids; a rare word is a negative number, the same for each of its parts."""
-
-    def __init__(self, lead: str, owner: _Encoder):
-        super().__init__()
-        self.lead, self.owner = lead, owner
-
-    def __missing__(self, part: str) -> bytes:
-        out = self[part] = b"".join(map(self.owner.of, self.owner.split.words(self.lead + part)))
-        return out
-
-
-class _Encoder:
-    def __init__(self, head: HeadTable, ranks: dict[bytes, int], pattern: str):
-        self.head, self.ranks, self.split = head, ranks, Splitter(pattern)
-        self.first, self.spaced = _Lookup("", self), _Lookup(" ", self)
-        self.rare: dict[str, bytes] = {}
-        self.rare_words: list[str] = []
-        self.newline = self.of("\n")
-
-    def of(self, word: str) -> bytes:
-        found = self.head.get(word) or self.rare.get(word)
-        if found is None:
-            raw = word.encode()
-            if len(raw) > FOLD_BYTES:
-                return np.array(merge_long(raw, self.ranks), "<i4").tobytes()
-            self.rare_words.append(word)
-            found = self.rare[word] = np.array([-len(self.rare_words)], "<i4").tobytes()
-        return found
-
-    def encode(self, text: str) -> np.ndarray:
-        if len(self.first) + len(self.spaced) + len(self.rare) > COUNT_AT_ONCE:
-            for memo in (self.first, self.spaced, self.rare, self.rare_words):
-                memo.clear()
-            self.newline = self.of("\n")
-        if not text:
-            return np.zeros(0, "<i4")
-        lines = self.split.lines(text)
-        if lines is None:
-            packed = b"".join(map(self.of, self.split.words(text)))
-        else:
-            packed = self.newline.join([b"".join([self.first[p[0]], *map(self.spaced.__getitem__, p[1:])]) for p in lines])
-        return np.frombuffer(packed, "<i4")
+def _encoded(words: pa.StringArray, head: HeadTable, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of distinct words: all ids, where each word's begin, how many they are; and which words are rare, one hole each (-1, -2 and so on)."""
+    raw = words.cast(pa.binary())
+    place = head.find(raw)
+    sizes = np.ones(len(words), np.int64)
+    known = place >= 0
+    sizes[known] = (head.id_ends[place[known] + 1] - head.id_ends[place[known]]) // 4
+    length = pc.binary_length(raw).to_numpy(zero_copy_only=False)
+    long = {i: merge_long(raw[i].as_py(), ranks) for i in np.flatnonzero(~known & (length > FOLD_BYTES)).tolist()}
+    for i, ids in long.items():
+        sizes[i] = len(ids)
+    starts = np.cumsum(sizes) - sizes
+    flat = np.empty(int(sizes.sum()), np.int32)
+    flat[_ragged(starts[known], sizes[known])] = head.ids[_ragged(head.id_ends[place[known]] // 4, sizes[known])]
+    for i, ids in long.items():
+        flat[starts[i] : starts[i] + len(ids)] = ids
+    rare = np.flatnonzero(~known & (length <= FOLD_BYTES))
+    flat[starts[rare]] = -1 - np.arange(len(rare))
+    return flat, starts, sizes, rare
 
 
 def _looker(token: str, shared, path: str | None, pattern: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(_head_table(token, shared), vocabulary(path), pattern)
-        for batch in lean(batches):
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
-                ids, rare = [], []
-                for raw in text_bytes(part):
-                    row = encoder.encode(raw.decode("utf-8", "replace"))
-                    holes = row < 0
-                    words: list[str] = []
-                    if holes.any():
-                        distinct, where = np.unique(row[holes], return_inverse=True)
-                        words = [encoder.rare_words[-d - 1] for d in distinct.tolist()]
-                        row = row.copy()
-                        row[holes] = -1 - where
-                    ids.append(row)
-                    rare.append(words)
-                columns = [part.column(part.schema.get_field_index(n)) for n in names]
-                columns += [pa.array([row.tobytes() for row in ids], pa.binary()), pa.array(rare, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "ids", "_rare"])
+        head, ranks, split = _head_table(token, shared), vocabulary(path), Splitter(pattern)
+        for part, texts in _chunks(batches):
+            words, seq, begin = split.cut(texts)
+            flat, starts, sizes, rare = _encoded(words, head, ranks)
+            held = sizes[seq]
+            ids = flat[_ragged(starts[seq], held)]
+            ends = np.concatenate([[0], np.cumsum(held)])[begin]
+            holes = np.flatnonzero(ids < 0)
+            # The rare words of each text, each once; a hole says which of them it is.
+            of_text = np.searchsorted(ends, holes, "right") - 1
+            pairs, which = np.unique(of_text * max(1, len(rare)) + (-1 - ids[holes]), return_inverse=True)
+            first = np.searchsorted(pairs, np.arange(len(texts) + 1) * max(1, len(rare)))
+            ids[holes] = -1 - (which - first[of_text])
+            lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), words.take(pa.array(rare[pairs % max(1, len(rare))])))
+            packed = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(ids.astype("<i4"))])
+            yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(n)) for n in names], packed, lists], names=[*names, "ids", "_rare"])
 
     return run
 
@@ -365,42 +374,45 @@ def _looker(token: str, shared, path: str | None, pattern: str, names: list[str]
 def _filler(names: list[str], finish):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
-            folded = batch.column(batch.schema.get_field_index("_folded")).to_pylist()
-            rows = []
-            for packed, words in zip(batch.column(batch.schema.get_field_index("ids")).to_pylist(), folded, strict=True):
-                row = np.frombuffer(packed, "<i4")
-                if words:
-                    holes = np.flatnonzero(row < 0)
-                    sizes = np.ones(len(row), np.int64)
-                    sizes[holes] = np.array([len(w) for w in words])[-1 - row[holes]]
-                    at = np.cumsum(sizes) - sizes
-                    full = np.empty(int(sizes.sum()), np.int32)
-                    full[at[row >= 0]] = row[row >= 0]
-                    for start, hole in zip(at[holes].tolist(), row[holes].tolist(), strict=True):
-                        full[start : start + len(words[-1 - hole])] = words[-1 - hole]
-                    row = full
-                rows.append(row)
-            yield finish([batch.column(batch.schema.get_field_index(n)) for n in names], names, rows)
+            folded = batch.column(batch.schema.get_field_index("_folded"))
+            words = folded.flatten()
+            sizes_of = np.diff(words.offsets.to_numpy()).astype(np.int64)
+            more = words.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+            packed = batch.column(batch.schema.get_field_index("ids"))
+            ids = np.frombuffer(b"".join(packed.to_pylist()), "<i4")
+            counts = pc.binary_length(packed).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            holes = np.flatnonzero(ids < 0)
+            first = np.concatenate([[0], np.cumsum(np.diff(folded.offsets.to_numpy()))])
+            word = first[np.searchsorted(ends, holes, "right") - 1] - 1 - ids[holes]
+            starts, sizes = np.arange(len(ids)), np.ones(len(ids), np.int64)
+            starts[holes], sizes[holes] = len(ids) + (np.cumsum(sizes_of) - sizes_of)[word], sizes_of[word]
+            full = np.concatenate([ids, more])[_ragged(starts, sizes)]
+            cuts = np.concatenate([[0], np.cumsum(sizes)])[ends]
+            yield finish([batch.column(batch.schema.get_field_index(n)) for n in names], names, full, cuts)
 
     return run
 
 
-def _as_lists(columns: list[pa.Array], names: list[str], rows: list[np.ndarray]) -> pa.RecordBatch:
-    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-    flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32), pa.int32())
-    return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends), flat)], names=[*names, "ids"])
+def _as_lists(columns: list[pa.Array], names: list[str], ids: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))], names=[*names, "ids"])
+
+
+def _joined(pieces: pa.BinaryArray, ids: np.ndarray, cuts: np.ndarray) -> Iterator[memoryview]:
+    """The pieces of each text's ids, side by side."""
+    taken = pieces.take(pa.array(ids, pa.int32()))
+    data = memoryview(taken.buffers()[2] or b"")
+    ends = np.frombuffer(taken.buffers()[1], np.int32)[taken.offset :][cuts].tolist() if len(ids) else [0] * len(cuts)
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        yield data[a:b]
 
 
 def _digests(path: str | None):
-    def run(columns: list[pa.Array], names: list[str], rows: list[np.ndarray]) -> pa.RecordBatch:
+    def run(columns: list[pa.Array], names: list[str], ids: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
         pieces, decimal = _pieces(path)
-        counts, coded, plain = [], [], []
-        for row in rows:
-            ids = row.tolist()
-            counts.append(len(ids))
-            coded.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-            plain.append(hashlib.sha256(b"".join(map(pieces.__getitem__, ids))).hexdigest())
-        return pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(plain, pa.string())], names=[*names, "n_tokens", "ids_sha256", "decoded_sha256"])
+        coded = [hashlib.sha256(text[:-1]).hexdigest() for text in _joined(decimal, ids, cuts)]
+        plain = [hashlib.sha256(text).hexdigest() for text in _joined(pieces, ids, cuts)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(cuts), pa.int64()), pa.array(coded, pa.string()), pa.array(plain, pa.string())], names=[*names, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
 
@@ -408,14 +420,14 @@ def _digests(path: str | None):
 _PIECES: dict = {}
 
 
-def _pieces(path: str | None) -> tuple[list[bytes], list[str]]:
-    """Binary piece and decimal form of every id."""
+def _pieces(path: str | None) -> tuple[pa.BinaryArray, pa.BinaryArray]:
+    """Binary piece, and decimal form with a comma, of every id."""
     if path not in _PIECES:
         ranks = vocabulary(path)
         pieces = [b""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             pieces[rank] = piece
-        _PIECES[path] = pieces, [str(i) for i in range(len(pieces))]
+        _PIECES[path] = pa.array(pieces, pa.binary()), pa.array([b"%d," % i for i in range(len(pieces))], pa.binary())
     return _PIECES[path]
 
 
@@ -442,8 +454,10 @@ def decode_documents(coded: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, _ = _pieces(path)
-        for batch in batches:
-            plain = [b"".join(map(pieces.__getitem__, row or ())) for row in batch.column(batch.schema.get_field_index("ids")).to_pylist()]
+        for batch in lean(batches):
+            ids = batch.column(batch.schema.get_field_index("ids"))
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+            plain = [bytes(x) for x in _joined(pieces, ids.flatten().to_numpy(zero_copy_only=False), ends)]
             yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(n)) for n in names], pa.array(plain, pa.binary())], names=[*names, "decoded"])
 
     ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in coded.schema.fields if f.name != "decoded")
