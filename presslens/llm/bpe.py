@@ -57,7 +57,7 @@ SHIFT = 0x100
 #: Stands before each pair in a bucket; above all pieces, so that a pair that is not there sorts last.
 MARK = "\ufffd"
 #: Bytes of text that are cut at once.
-CHUNK_BYTES = 1 << 24
+CHUNK_BYTES = 12 << 20
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -180,12 +180,13 @@ class Splitter:
         """The words of all different parts and how many each part has; the numbers of the texts' parts in order, and how many each text has."""
         regular = [self.regular(raw) for raw in texts]
         blocks = [raw.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0") for raw, r in zip(texts, regular, strict=True) if r]
-        data = b"".join([x for block in blocks for x in (block, b"\0")])
+        data, lengths = b"".join([x for block in blocks for x in (block, b"\0")]), [len(block) + 1 for block in blocks]
+        del blocks
         ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 0) + 1
         offsets = np.concatenate([[0], ends]).astype(np.int32)
         coded = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
         lists = [self.words(part[:-1].decode("utf-8", "replace")) for part in coded.dictionary.to_pylist()]
-        parts = np.diff(np.searchsorted(ends, np.cumsum([0, *[len(block) + 1 for block in blocks]]), "right"))
+        parts = np.diff(np.searchsorted(ends, np.cumsum([0, *lengths]), "right"))
         number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         if not all(regular):  # a text that is not regular is one more part
             counts = np.ones(len(texts), np.int64)
@@ -201,7 +202,9 @@ class Splitter:
 
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of many runs, one after the other."""
-    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    out = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    out += np.arange(len(out))
+    return out
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
