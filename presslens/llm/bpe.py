@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import documents, lean, let, materialise, text_bytes
+from presslens.llm.common import documents, lean, let, materialise, text_bytes, thrifty
 
 HEAD_WORDS = 1 << 20
 HEAD_BYTES = 64
@@ -238,7 +238,7 @@ def _counter(pattern: str):
 def count_words(docs: DataFrame, pattern: str | None = None) -> DataFrame:
     """word and n for the words of up to ``HEAD_BYTES`` bytes that the pattern cuts."""
     pattern = pattern or split_pattern()
-    return docs.select("text").mapInArrow(_counter(pattern), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(thrifty(_counter(pattern)), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> DataFrame:
@@ -446,9 +446,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     fields = [f for f in docs.schema.fields if f.name not in ("text", "ids", "_rare", "_folded")]
     names = [f.name for f in fields]
     ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
-    looked = docs.select("text", *[F.col(f"`{n}`") for n in names]).mapInArrow(_looker(uuid.uuid4().hex, shared, path, pattern, names), ddl + "ids binary, _rare array<string>")
+    looked = docs.select("text", *[F.col(f"`{n}`") for n in names]).mapInArrow(thrifty(_looker(uuid.uuid4().hex, shared, path, pattern, names)), ddl + "ids binary, _rare array<string>")
     folded = looked.withColumn("_folded", F.transform("_rare", lambda w: encode_word(w, ranks))).drop("_rare")
-    return folded.mapInArrow(_filler(names, finish or _as_lists), ddl + made)
+    return folded.mapInArrow(thrifty(_filler(names, finish or _as_lists)), ddl + made)
 
 
 def decode_documents(coded: DataFrame, path: str | None = None) -> DataFrame:

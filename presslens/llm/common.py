@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import gc
 import tempfile
@@ -89,13 +90,33 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def trim() -> None:
+    """Give free memory back to the system: a Python worker lives on from stage to stage, and what it does not return counts all along."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same batches; what Arrow holds of a batch that is done goes back to the system, as Python workers live on from stage to stage."""
-    pool = pa.default_memory_pool()
+    """The same batches; the memory of one that is done goes back to the system before the next."""
     for batch in batches:
         yield batch
         del batch
-        pool.release_unused()
+        trim()
+
+
+def thrifty(run):
+    """A function of batches that leaves no free memory behind when its task ends."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return wrapped
 
 
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:

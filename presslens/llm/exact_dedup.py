@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import SPACES, batch_of, discard, documents, lean, materialise, row_count, text_bytes
+from presslens.llm.common import SPACES, batch_of, discard, documents, lean, materialise, row_count, text_bytes, thrifty
 
 #: Documents in a block at most, and fingerprints that one owner decodes on average.
 BLOCK_DOCS = 1 << 18
@@ -155,7 +155,7 @@ def _verdicts(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     n = row_count(docs)
     owners = max(1, math.ceil(n / OWNER_HASHES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // 500))
-    blocks = materialise(docs.mapInArrow(_to_blocks, BLOCKS), "blocks")
+    blocks = materialise(docs.mapInArrow(thrifty(_to_blocks), BLOCKS), "blocks")
     codes = blocks.select("block", "hashes").mapInArrow(_encoder(owners), CODES)
     maps = codes.groupBy("owner").applyInArrow(_answer, MAPS)
     maps = maps.groupBy("block").agg(F.collect_list(F.struct("owner", "bits")).alias("maps"))

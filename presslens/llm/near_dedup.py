@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import discard, documents, lean, materialise, text_bytes
+from presslens.llm.common import discard, documents, lean, materialise, text_bytes, thrifty, trim
 from presslens.llm.components import components
 
 SHINGLE = 5
@@ -209,6 +209,7 @@ _FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
 
 def _match(table: pa.Table) -> pa.Table:
     """A bucket's shared cells as (cell, class) rows; or documents' rows."""
+    trim()
     number = table.column("bucket")[0].as_py()
     blobs = table.column("blob").to_pylist()
     if number < 0:
@@ -318,11 +319,11 @@ def _links_of(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     keys = wanted.select("key")
     if wanted.count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
-    texts = docs.join(keys, "key", "left_semi").mapInArrow(_words, "key long, words binary").join(wanted, "key")
+    texts = docs.join(keys, "key", "left_semi").mapInArrow(thrifty(_words), "key long, words binary").join(wanted, "key")
     texts = materialise(texts.groupBy("cid").agg(F.first("words").alias("words")), "words")
     right = pairs.join(texts.select(F.col("cid").alias("b"), F.col("words").alias("right")), "b")
     both = right.join(texts.select(F.col("cid").alias("a"), F.col("words").alias("left")), "a").select("a", "b", "left", "right")
-    links = materialise(both.mapInArrow(_similar, "a long, b long"), "links")
+    links = materialise(both.mapInArrow(thrifty(_similar), "a long, b long"), "links")
     discard(wanted, texts)
     return links
 
@@ -356,7 +357,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(shuffles if rows > 1000 else 1, math.ceil(chars * CELLS_PER_CHAR / BUCKET_CELLS))
     spread = max(shuffles, rows >> 20)
-    blobs = docs.mapInArrow(_packer(buckets, spread), "bucket int, blob binary")
+    blobs = docs.mapInArrow(thrifty(_packer(buckets, spread)), "bucket int, blob binary")
     found = materialise(blobs.groupBy("bucket").applyInArrow(_match, FOUND), "found")
     described = found.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc_id"), F.col("b").alias("cid"), "n", "spare0", "spare1", "key", "sketch")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("rep")

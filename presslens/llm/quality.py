@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslens.llm.common import SPACES, bytes_of, discard, documents, lean, materialise
+from presslens.llm.common import SPACES, bytes_of, discard, documents, lean, materialise, thrifty
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 10
@@ -82,7 +82,7 @@ def with_counts(docs: DataFrame, whole: bool = True) -> DataFrame:
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("lang").alias("_lang"), F.col("source").alias("_source"))
     schema = T.StructType([*packed.schema.fields] + [T.StructField(f"_{c}", T.LongType()) for c in COUNTS])
     if whole:
-        return packed.mapInArrow(_count, schema)
+        return packed.mapInArrow(thrifty(_count), schema)
     kept = [f for f in docs.schema.fields if f.name != "text"]
     schema = T.StructType([T.StructField("doc", T.StructType(kept)), *schema.fields[1:]])
 
@@ -92,7 +92,7 @@ def with_counts(docs: DataFrame, whole: bool = True) -> DataFrame:
             slim = pa.StructArray.from_arrays([doc.field(f.name) for f in kept], names=[f.name for f in kept])
             yield pa.RecordBatch.from_arrays([slim, *batch.columns[1:]], names=batch.schema.names)
 
-    return packed.mapInArrow(without_text, schema)
+    return packed.mapInArrow(thrifty(without_text), schema)
 
 
 def rate(name: str) -> Column:

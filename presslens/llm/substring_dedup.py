@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import discard, documents, lean, materialise, text_bytes
+from presslens.llm.common import discard, documents, lean, materialise, text_bytes, thrifty, trim
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
@@ -219,6 +219,7 @@ def _packer(owners: int):
 
 def _shared(table: pa.Table, owners: int) -> pa.Table:
     """By bucket of documents: the strings that a smaller document has too, and those that stand for a class and go to the owner."""
+    trim()
     blobs = table.column("blob").to_pylist()
     owner = table.column("owner")[0].as_py()
     if owner < 0:
@@ -335,6 +336,7 @@ def column_matches(flat: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, gro
 
 def _match(table: pa.Table, owners: int) -> pa.Table:
     """An owner's repeated windows, by bucket of documents: hash of the string and a bit for each of its windows."""
+    trim()
     table = table.sort_by("anchor").combine_chunks()
     anchor, ids = table.column("anchor").to_numpy(), table.column("doc_id").to_numpy()
     edge = np.append(np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])), len(anchor)).tolist()
@@ -407,15 +409,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     owners = max(shuffles if size > 1_000_000 else 1, math.ceil(size / OWNER_BYTES))
-    shared = materialise(docs.filter("doc_id is not null").mapInArrow(_packer(owners), "owner int, blob binary").groupBy("owner").applyInArrow(lambda t: _shared(t, owners), _BUNDLES), "shared")
+    shared = materialise(docs.filter("doc_id is not null").mapInArrow(thrifty(_packer(owners)), "owner int, blob binary").groupBy("owner").applyInArrow(lambda t: _shared(t, owners), _BUNDLES), "shared")
     build = shared.filter(F.col("kind") == BUILD).groupBy("bucket").applyInArrow(_per_document((BUILD, 1)), "doc_id long, build binary")
-    strings = docs.join(build, "doc_id").mapInArrow(_cutter(owners), "owner int, anchor long, doc_id long, hash long, offset int, bytes binary")
+    strings = docs.join(build, "doc_id").mapInArrow(thrifty(_cutter(owners)), "owner int, anchor long, doc_id long, hash long, offset int, bytes binary")
     found = materialise(strings.groupBy("owner").applyInArrow(lambda t: _match(t, owners), _BUNDLES), "found")
     both = shared.filter(F.col("kind") == GONE).unionByName(found)
     lists = materialise(both.groupBy("bucket").applyInArrow(_per_document((GONE, 1), (HITS, 2)), "doc_id long, gone binary, hits binary"), "lists")
     discard(shared, found)
     lists = lists.withColumnRenamed("doc_id", "_id")
-    return docs.join(lists, docs.doc_id == lists._id, "left").select("doc_id", "text", "gone", "hits").mapInArrow(_remover, _OUT)
+    return docs.join(lists, docs.doc_id == lists._id, "left").select("doc_id", "text", "gone", "hits").mapInArrow(thrifty(_remover), _OUT)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
