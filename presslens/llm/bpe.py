@@ -352,7 +352,19 @@ def _encoded(words: pa.StringArray, head: HeadTable, ranks: dict[bytes, int]) ->
     return flat, starts, sizes, rare
 
 
-def _looker(token: str, shared, path: str | None, pattern: str, names: list[str]):
+def _runs(ids: np.ndarray, ends: np.ndarray, holes: np.ndarray) -> pa.ListArray:
+    """Each text's ids cut at its holes: one run more than it has holes."""
+    kept = np.concatenate([[0], np.cumsum(ids >= 0)])
+    # Where a run ends: at a hole, or at a text's end, which comes before a hole at the same place.
+    bounds = np.sort(np.concatenate([2 * holes + 1, 2 * ends[1:]]))
+    offsets = np.concatenate([[0], kept[bounds // 2]])
+    per_text = np.searchsorted(holes, ends, "left") + np.arange(len(ends))
+    return pa.ListArray.from_arrays(pa.array(per_text, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[ids >= 0], pa.int32())))
+
+
+def _looker(token: str, shared, path: str | None, pattern: str, names: list[str], packed: bool):
+    """The texts' ids with holes for rare words: ``packed`` in one binary with negative numbers, else as runs and the hole's words' numbers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, ranks, split = _head_table(token, shared), vocabulary(path), Splitter(pattern)
         for part, texts in _chunks(batches):
@@ -366,10 +378,16 @@ def _looker(token: str, shared, path: str | None, pattern: str, names: list[str]
             of_text = np.searchsorted(ends, holes, "right") - 1
             pairs, which = np.unique(of_text * max(1, len(rare)) + (-1 - ids[holes]), return_inverse=True)
             first = np.searchsorted(pairs, np.arange(len(texts) + 1) * max(1, len(rare)))
-            ids[holes] = -1 - (which - first[of_text])
+            local = which - first[of_text]
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), words.take(pa.array(rare[pairs % max(1, len(rare))])))
-            packed = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(ids.astype("<i4"))])
-            yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(n)) for n in names], packed, lists], names=[*names, "ids", "_rare"])
+            columns = [part.column(part.schema.get_field_index(n)) for n in names]
+            if packed:
+                ids[holes] = -1 - local
+                block = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(ids.astype("<i4"))])
+                yield pa.RecordBatch.from_arrays([*columns, block, lists], names=[*names, "ids", "_rare"])
+            else:
+                at = pa.array(np.searchsorted(holes, ends, "left"), pa.int32())
+                yield pa.RecordBatch.from_arrays([*columns, _runs(ids, ends, holes), pa.ListArray.from_arrays(at, pa.array(local, pa.int32())), lists], names=[*names, "_runs", "_which", "_rare"])
 
     return run
 
@@ -397,10 +415,6 @@ def _filler(names: list[str], finish):
     return run
 
 
-def _as_lists(columns: list[pa.Array], names: list[str], ids: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))], names=[*names, "ids"])
-
-
 def _joined(pieces: pa.BinaryArray, ids: np.ndarray, cuts: np.ndarray) -> Iterator[memoryview]:
     """The pieces of each text's ids, side by side."""
     taken = pieces.take(pa.array(ids, pa.int32()))
@@ -434,8 +448,8 @@ def _pieces(path: str | None) -> tuple[pa.BinaryArray, pa.BinaryArray]:
     return _PIECES[path]
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None, head: int = HEAD_WORDS, finish=None, made: str = "ids array<int>") -> DataFrame:
-    """``docs`` without its text, plus ``ids array<int>``; ``finish`` may make other columns of the ids in the same step."""
+def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None, head: int = HEAD_WORDS, finish=None, made: str = "") -> DataFrame:
+    """``docs`` without its text, plus ``ids array<int>``; ``finish`` makes the columns ``made`` of packed ids instead, in Python."""
     pattern = pattern or split_pattern()
     ranks = RankMap(vocabulary(path))
     words = head_words(count_words(docs, pattern), head)
@@ -443,12 +457,19 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     table = pa.table([table.column(0).cast(pa.string()), table.column(1).cast(pa.list_(pa.int32()))], names=["word", "ids"])
     shared = docs.sparkSession.sparkContext.broadcast(pack_head(table))
     del table
-    fields = [f for f in docs.schema.fields if f.name not in ("text", "ids", "_rare", "_folded")]
+    fields = [f for f in docs.schema.fields if f.name not in ("text", "ids", "_rare", "_folded", "_runs", "_which")]
     names = [f.name for f in fields]
     ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
-    looked = docs.select("text", *[F.col(f"`{n}`") for n in names]).mapInArrow(thrifty(_looker(uuid.uuid4().hex, shared, path, pattern, names)), ddl + "ids binary, _rare array<string>")
+    kinds = "ids binary, _rare array<string>" if finish else "_runs array<array<int>>, _which array<int>, _rare array<string>"
+    looker = thrifty(_looker(uuid.uuid4().hex, shared, path, pattern, names, finish is not None))
+    looked = docs.select("text", *[F.col(f"`{n}`") for n in names]).mapInArrow(looker, ddl + kinds)
     folded = looked.withColumn("_folded", F.transform("_rare", lambda w: encode_word(w, ranks))).drop("_rare")
-    return folded.mapInArrow(thrifty(_filler(names, finish or _as_lists)), ddl + made)
+    if finish:
+        return folded.mapInArrow(thrifty(_filler(names, finish)), ddl + made)
+    none = F.array().cast("array<int>")
+    words = F.transform("_which", lambda w: F.get("_folded", w))
+    ids = F.flatten(F.zip_with("_runs", words, lambda run, word: F.concat(run, F.coalesce(word, none))))
+    return folded.select(*[F.col(f"`{n}`") for n in names], ids.alias("ids"))
 
 
 def decode_documents(coded: DataFrame, path: str | None = None) -> DataFrame:
