@@ -463,13 +463,14 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     kinds = "ids binary, _rare array<string>" if finish else "_runs array<array<int>>, _which array<int>, _rare array<string>"
     looker = thrifty(_looker(uuid.uuid4().hex, shared, path, pattern, names, finish is not None))
     looked = docs.select("text", *[F.col(f"`{n}`") for n in names]).mapInArrow(looker, ddl + kinds)
-    folded = looked.withColumn("_folded", F.transform("_rare", lambda w: encode_word(w, ranks))).drop("_rare")
+    folded = F.transform("_rare", lambda w: encode_word(w, ranks))
     if finish:
-        return folded.mapInArrow(thrifty(_filler(names, finish)), ddl + made)
+        return looked.withColumn("_folded", folded).drop("_rare").mapInArrow(thrifty(_filler(names, finish)), ddl + made)
     none = F.array().cast("array<int>")
-    words = F.transform("_which", lambda w: F.get("_folded", w))
+    # The rare words are encoded once a row, then put where the holes are.
+    words = let(folded, lambda made_of: F.transform("_which", lambda w: F.get(made_of, w)))
     ids = F.flatten(F.zip_with("_runs", words, lambda run, word: F.concat(run, F.coalesce(word, none))))
-    return folded.select(*[F.col(f"`{n}`") for n in names], ids.alias("ids"))
+    return looked.select(*[F.col(f"`{n}`") for n in names], ids.alias("ids"))
 
 
 def decode_documents(coded: DataFrame, path: str | None = None) -> DataFrame:
