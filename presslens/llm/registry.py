@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import bpe, chat, exact_dedup, mixing, near_dedup, oracles, pii, quality, secrets, sharding, substring_dedup
+from presslens.llm import alignment, bpe, chat, exact_dedup, intervals, mixing, near_dedup, oracles, pii, quality, secrets, sharding, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -19,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.op8_quality,
     "op9_pii": pii.op9_pii,
     "op10_chat": chat.op10_chat,
+    "op11_alignment": alignment.op11_alignment,
+    "op13_intervals": intervals.op13_intervals,
 }
 
-ORACLE_SQL: dict[str, str] = oracles.SQL
+ORACLE_SQL: dict[str, str] = oracles.SQL | {"op13_intervals": intervals.SQL}
