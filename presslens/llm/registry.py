@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presslens.llm import alignment, bpe, chat, exact_dedup, intervals, mixing, near_dedup, oracles, pii, quality, secrets, sharding, substring_dedup
+from presslens.llm import alignment, bpe, chat, exact_dedup, intervals, lattice, mixing, near_dedup, oracles, pii, quality, secrets, sharding, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": pii.op9_pii,
     "op10_chat": chat.op10_chat,
     "op11_alignment": alignment.op11_alignment,
+    "op12_likelihood": lattice.op12_likelihood,
     "op13_intervals": intervals.op13_intervals,
 }
 
