@@ -22,7 +22,7 @@ Splitting: ``PATTERN`` looks ahead only at white space, so a text whose white sp
 side by side, splits alike when cut before each space and around each newline; other texts go through the pattern whole.
 
 Cases: a null or empty text has no ids; special tokens in a text are ordinary text; repeated rows are encoded each; an
-empty table gives an empty result; other columns pass through ``encode_documents`` (its two own names win).
+empty table gives an empty result; other columns pass through ``encode_documents``, whatever they are called, but for ``text`` and ``ids``.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import documents, lean, let, materialise, text_bytes, thrifty
+from presslens.llm.common import documents, lean, let, materialise, text_bytes, thrifty, trim
 
 HEAD_WORDS = 1 << 20
 HEAD_BYTES = 64
@@ -255,6 +255,8 @@ def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> DataFrame:
 
 
 _MAGIC = b"presslens words\n"
+#: Words that are hashed at once on the driver.
+PACKED = 1 << 15
 
 
 def pack_head(table: pa.Table) -> bytes:
@@ -270,8 +272,10 @@ def pack_head(table: pa.Table) -> bytes:
         ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + size + 1]
         words, word_ends = column.buffers()[2].to_pybytes()[int(ends[0]) : int(ends[-1])], (ends - ends[0]).astype(np.uint32)
         ids, id_ends = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4").tobytes(), ((lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()) * 4).astype(np.uint32)
-        at, digest = word_ends.tolist(), xxhash.xxh3_64_intdigest
-        keys = np.fromiter((digest(words[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)), np.uint64, size)
+        digest, keys = xxhash.xxh3_64_intdigest, np.empty(size, np.uint64)
+        for begin in range(0, size, PACKED):  # a list of all ends at once would be most of the driver's memory here
+            at = word_ends[begin : begin + PACKED + 1].tolist()
+            keys[begin : begin + len(at) - 1] = [digest(words[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
         rest, place = np.arange(size, dtype=np.int32), (keys & np.uint64(mask)).astype(np.int64)
         while len(rest):  # one word of each free place settles, the others move on by one
             free = slots[place] < 0
@@ -362,8 +366,8 @@ def _runs(ids: np.ndarray, ends: np.ndarray, holes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(per_text, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[ids >= 0], pa.int32())))
 
 
-def _looker(token: str, shared, path: str | None, pattern: str, names: list[str], packed: bool):
-    """The texts' ids with holes for rare words: ``packed`` in one binary with negative numbers, else as runs and the hole's words' numbers."""
+def _looker(token: str, shared, path: str | None, pattern: str, names: list[str], own: list[str], packed: bool):
+    """The texts' ids with holes for rare words, in columns called ``own``: ``packed`` in one binary with negative numbers, else as runs and the hole's words' numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, ranks, split = _head_table(token, shared), vocabulary(path), Splitter(pattern)
@@ -384,22 +388,22 @@ def _looker(token: str, shared, path: str | None, pattern: str, names: list[str]
             if packed:
                 ids[holes] = -1 - local
                 block = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(ids.astype("<i4"))])
-                yield pa.RecordBatch.from_arrays([*columns, block, lists], names=[*names, "ids", "_rare"])
+                yield pa.RecordBatch.from_arrays([*columns, block, lists], names=[*names, *own])
             else:
                 at = pa.array(np.searchsorted(holes, ends, "left"), pa.int32())
-                yield pa.RecordBatch.from_arrays([*columns, _runs(ids, ends, holes), pa.ListArray.from_arrays(at, pa.array(local, pa.int32())), lists], names=[*names, "_runs", "_which", "_rare"])
+                yield pa.RecordBatch.from_arrays([*columns, _runs(ids, ends, holes), pa.ListArray.from_arrays(at, pa.array(local, pa.int32())), lists], names=[*names, *own])
 
     return run
 
 
-def _filler(names: list[str], finish):
+def _filler(names: list[str], own: list[str], finish):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
-            folded = batch.column(batch.schema.get_field_index("_folded"))
+            folded = batch.column(batch.schema.get_field_index(own[1]))
             words = folded.flatten()
             sizes_of = np.diff(words.offsets.to_numpy()).astype(np.int64)
             more = words.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-            packed = batch.column(batch.schema.get_field_index("ids"))
+            packed = batch.column(batch.schema.get_field_index(own[0]))
             ids = np.frombuffer(b"".join(packed.to_pylist()), "<i4")
             counts = pc.binary_length(packed).to_numpy(zero_copy_only=False).astype(np.int64) // 4
             ends = np.concatenate([[0], np.cumsum(counts)])
@@ -457,22 +461,32 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     table = pa.table([table.column(0).cast(pa.string()), table.column(1).cast(pa.list_(pa.int32()))], names=["word", "ids"])
     shared = docs.sparkSession.sparkContext.broadcast(pack_head(table))
     del table
-    fields = [f for f in docs.schema.fields if f.name not in ("text", "ids", "_rare", "_folded", "_runs", "_which")]
+    trim()
+    fields = [f for f in docs.schema.fields if f.name not in ("text", "ids")]
     names = [f.name for f in fields]
+    packed, runs, which, rare, filled = (_unused(name, docs.columns) for name in ("_packed", "_runs", "_which", "_rare", "_folded"))
     ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
-    kinds = "ids binary, _rare array<string>" if finish else "_runs array<array<int>>, _which array<int>, _rare array<string>"
-    looker = thrifty(_looker(uuid.uuid4().hex, shared, path, pattern, names, finish is not None))
+    own = [packed, rare] if finish else [runs, which, rare]
+    kinds = f"{packed} binary, {rare} array<string>" if finish else f"{runs} array<array<int>>, {which} array<int>, {rare} array<string>"
+    looker = thrifty(_looker(uuid.uuid4().hex, shared, path, pattern, names, own, finish is not None))
     looked = docs.select("text", *[F.col(f"`{n}`") for n in names]).mapInArrow(looker, ddl + kinds)
-    folded = F.transform("_rare", lambda w: encode_word(w, ranks))
+    folded = F.transform(rare, lambda w: encode_word(w, ranks))
     if finish:
-        return looked.withColumn("_folded", folded).drop("_rare").mapInArrow(thrifty(_filler(names, finish)), ddl + made)
+        return looked.withColumn(filled, folded).drop(rare).mapInArrow(thrifty(_filler(names, [packed, filled], finish)), ddl + made)
     none = F.array().cast("array<int>")
     # The rare words are encoded once a row, then put where the holes are.
-    words = let(folded, lambda made_of: F.transform("_which", lambda w: F.get(made_of, w)))
-    ids = F.flatten(F.zip_with("_runs", words, lambda run, word: F.concat(run, F.coalesce(word, none))))
+    words = let(folded, lambda made_of: F.transform(which, lambda w: F.get(made_of, w)))
+    ids = F.flatten(F.zip_with(runs, words, lambda run, word: F.concat(run, F.coalesce(word, none))))
     return looked.select(*[F.col(f"`{n}`") for n in names], ids.alias("ids"))
 
 
+def _unused(name: str, taken: list[str]) -> str:
+    """``name``, or with as many more underscores before it as make it no other column's."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
 def decode_documents(coded: DataFrame, path: str | None = None) -> DataFrame:
     """``coded`` plus ``decoded``, the joined binary pieces of its ids."""
     names = [n for n in coded.columns if n != "decoded"]

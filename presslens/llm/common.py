@@ -68,6 +68,7 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     if tables:
         gc.collect()
+        trim()
         spark._jvm.System.gc()
 
 

@@ -104,3 +104,13 @@ def test_pipeline_on_odd_tables(spark, tmp_path):
         spark.createDataFrame(rows, kinds).write.parquet(f"{tmp_path}/{name}/documents.parquet")
         got = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
         assert "ids" in got.columns and {r.doc_id for r in got.collect()} == ({1, None} if rows else set())
+
+
+def test_encoding_keeps_columns_of_any_name(spark):
+    """Also those that are called like the operator's own; text goes, ids are made."""
+    from presslens.llm.bpe import encode_documents
+
+    rows = spark.createDataFrame([(1, "a cat sat", 5, "r", "w", "x", 9), (2, None, 6, "s", None, "y", 8)], "doc_id long, text string, ids int, _rare string, _Which string, _folded string, _runs int")
+    got = sorted(encode_documents(rows).collect(), key=lambda r: r.doc_id)
+    assert got[0].__fields__ == ["doc_id", "_rare", "_Which", "_folded", "_runs", "ids"]
+    assert [tuple(r)[:5] for r in got] == [(1, "r", "w", "x", 9), (2, "s", None, "y", 8)] and len(got[0].ids) >= 3 and got[1].ids == []
