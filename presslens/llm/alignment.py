@@ -9,8 +9,9 @@ A and B tokens both end, a group ends; the two tokens that end there are a link.
 How often an id pair is linked in the whole corpus is counted from the links that the sweep wrote. The ``FREQUENT`` most frequent
 pairs go to every task (their number is the bound of what is broadcast); links of all other pairs meet their counts in a join.
 
-Encoding works on chunks: a word with the spaces before it. Neither pattern of A nor a piece of B reaches from a character that is
-not white space over a following space, so chunks are encoded independently, and those of frequent words once a task.
+Encoding works on chunks: a word with the spaces before it. Neither A's pattern nor a piece of B reaches from a character that is
+not white space over a following space, so chunks are encoded independently: known ones are looked up, the others of a text go
+through the tokenizer together.
 
 Cases: a null or empty text, and one whose tokens' bytes are not the space and the text again, has no tokens: zeros and an empty
 digest. A document is a row: rows that repeat are swept once and returned as often as they come, and their links count each
@@ -54,7 +55,7 @@ SWEPT_DDL = "doc_id long, digest binary, part int, copies long, n_a long, n_b lo
 
 @dataclass
 class Coder:
-    """A tokenizer: a function from chunks to ids, and the bytes of each id (empty for those that no text has)."""
+    """A tokenizer: a function from texts that begin with a space to ids, and the bytes of each id (empty for those that no text has)."""
 
     encode: Callable[[str], list[int]]
     pieces: list[bytes]
@@ -63,45 +64,42 @@ class Coder:
         self.lengths = np.array([len(p) for p in self.pieces], np.int64)
         self.known: dict[str, bytes] = {}
 
-    def ids_of(self, word: str) -> bytes | None:
-        """The ids, two bytes each, of a space and ``word``; None if their bytes are not the space and the word."""
-        ids = self.encode(word)
-        if b"".join([self.pieces[i] for i in ids]) != b" " + word.encode():
-            return None
-        packed = np.array(ids, np.uint16).tobytes()
-        if len(word) <= SHORT and len(self.known) < REMEMBERED:
-            self.known[word] = packed
-        return packed
-
     def ids(self, text: str) -> bytes | None:
-        """The ids of a space and ``text``, None if they do not give the text back."""
-        words = text.split(" ")
-        found = list(map(self.known.get, words))
-        at = 0
-        while at < len(words):
+        """The ids of a space and ``text``, two bytes each; None if their bytes are not the space and the text."""
+        parts = text.split(" ")
+        found = list(map(self.known.get, parts))
+        chunks, places, at = [], [], 0
+        while at < len(parts):
             if found[at] is not None:
                 at += 1
                 continue
             end = at + 1
-            while end < len(words) and (not words[end - 1] or words[end - 1][-1].isspace()):  # the next space belongs to the same white space
+            while end < len(parts) and (not parts[end - 1] or parts[end - 1][-1].isspace()):  # the next space belongs to the same white space
                 end += 1
-            last = words[end - 1]
-            if end - at > 1 or not last or last[-1].isspace():
-                packed = self._once(" ".join(words[at:end]))
-            else:
-                packed = self.known.get(last) or self.ids_of(last)
-            if packed is None:
-                return None
-            found[at:end] = [packed] + [b""] * (end - at - 1)
+            found[at:end] = [b""] * (end - at)
+            chunks.append(parts[at] if end == at + 1 else " ".join(parts[at:end]))
+            places.append(at)
             at = end
+        if chunks and not self._encode_chunks(chunks, places, found):
+            return None
         return b"".join(found)
 
-    def _once(self, word: str) -> bytes | None:
-        known, self.known = self.known, {}
-        try:
-            return self.ids_of(word)
-        finally:
-            self.known = known
+    def _encode_chunks(self, chunks: list[str], places: list[int], found: list[bytes]) -> bool:
+        """All chunks that are not known go through the tokenizer side by side; where each ends follows from its bytes."""
+        said = " " + " ".join(chunks)
+        ids = self.encode(said)
+        if b"".join([self.pieces[i] for i in ids]) != said.encode():
+            return False
+        packed = np.array(ids, np.uint16)
+        sizes = [len(c) + 1 for c in chunks] if said.isascii() else [len(c.encode()) + 1 for c in chunks]
+        cuts = np.searchsorted(np.cumsum(self.lengths[packed]), np.cumsum(sizes)) + 1
+        raw, since = packed.tobytes(), 0
+        for place, chunk, cut in zip(places, chunks, cuts.tolist(), strict=True):
+            own = found[place] = raw[2 * since : 2 * cut]
+            since = cut
+            if len(chunk) <= SHORT and len(self.known) < REMEMBERED and chunk and not chunk[-1].isspace() and " " not in chunk:
+                self.known[chunk] = own
+        return True
 
 
 def _byte_letters() -> dict[str, int]:
@@ -125,7 +123,7 @@ def coder_a(path: str | None = None) -> Coder:
     pieces = [b""] * (max(ranks.values()) + 1)
     for piece, i in ranks.items():
         pieces[i] = piece
-    return Coder(lambda word: made.encode_ordinary(" " + word), pieces)
+    return Coder(made.encode_ordinary, pieces)
 
 
 @functools.cache
@@ -140,7 +138,7 @@ def coder_b(path: str | None = None) -> Coder:
         piece = made.id_to_piece(i)
         pieces.append(bytes([int(piece[3:-1], 16)]) if made.is_byte(i) else b"" if made.is_control(i) or made.is_unknown(i) else piece.replace("▁", " ").encode())
     space = [made.piece_to_id("▁")]
-    return Coder(lambda word: made.encode(word) if word else space, pieces)
+    return Coder(lambda said: made.encode(said[1:]) if len(said) > 1 else space, pieces)
 
 
 CODERS = (coder_a, coder_b)
@@ -330,12 +328,14 @@ def aligned_groups(docs: DataFrame, path_a: str | None = None, path_b: str | Non
 
 def _pair_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        copies = np.array(batch.column(0).to_pylist(), np.int64)
-        packed = [np.frombuffer(v.as_py(), np.uint32) for v in batch.column(1)]
-        pairs, where = np.unique(np.concatenate(packed) if packed else np.zeros(0, np.uint32), return_inverse=True)
-        weights, n = np.repeat(copies, [len(p) for p in packed]), np.zeros(len(pairs), np.int64)
-        np.add.at(n, where, weights)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int64)), pa.array(n)], names=["pair", "n"])
+        by_copies: dict[int, list[np.ndarray]] = {}
+        for copies, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            by_copies.setdefault(copies, []).append(np.frombuffer(packed.as_py(), np.uint32))
+        for copies, held in by_copies.items():
+            every = np.sort(np.concatenate(held))
+            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(every))) * copies
+            yield pa.RecordBatch.from_arrays([pa.array(every[first].astype(np.int64)), pa.array(n, pa.int64())], names=["pair", "n"])
 
 
 def pair_counts(swept: DataFrame) -> DataFrame:
