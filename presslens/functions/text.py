@@ -77,16 +77,15 @@ SQL_BODIES = {
     "is_broken_translation": (
         "made STRING, source STRING",
         "BOOLEAN",
-        rf"""{_MADE} = '' OR {_MADE} RLIKE '(?d)(.{{2,20}}?)\\1{{4,}}' OR array_max(transform(split({_MADE}, '\\s+'), w -> length(w))) > 45
-  OR length({_MADE}) > 200 AND length({_MADE}) > 3 * length({_SOURCE}) + 40
-  OR length({_MADE}) > 60 AND size(array_distinct(split({_MADE}, ''))) / length({_MADE}) < 0.15""",
+        rf"""{_MADE} = '' OR {_MADE} RLIKE '\\S{{46}}' OR length({_MADE}) > 200 AND length({_MADE}) > 3 * length({_SOURCE}) + 40 OR coalesce(degenerate_text({_MADE}), false)""",
     ),
 }
 
 
-def sql_functions(spark: SparkSession) -> None:
-    """Register ``norm_text`` and the functions of ``SQL_BODIES`` for SQL."""
+def sql_function(spark: SparkSession, name: str, parameters: str, kind: str, body: str) -> None:
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {kind} RETURN {body}")
+
+
+def nfkd_function(spark: SparkSession) -> None:
     spark.udf.register("norm_nfkd", F.arrow_udf(_nfkd, "string"))
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION norm_text(t STRING) RETURNS STRING RETURN lower(norm_nfkd(t))")
-    for name, (parameters, kind, body) in SQL_BODIES.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS {kind} RETURN {body}")
+    sql_function(spark, "norm_text", "t STRING", "STRING", "lower(norm_nfkd(t))")

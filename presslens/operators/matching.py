@@ -1,30 +1,38 @@
-"""Keyword matching by head tokens, scores over it, and context rules.
+"""Keyword matching in one pass over each text, scores over it, and context rules.
 
-A keyword that starts with a word character can only match where its leading token is a whole token of the text. So only
-keywords whose head is among a text's tokens are tested with their pattern.
+A keyword is found where it stands in the text and neither a word character nor an apostrophe comes right before it, nor a word character
+right after it. All keywords of all dictionaries are one automaton (Aho-Corasick), made once in a worker; a text goes through it
+once, whatever the number of keywords, and only the characters around what it finds are looked at. Texts go to it in Arrow batches and only
+numbers come back. (Tokens looked up in hash sets by higher-order functions, all inside the JVM, took three times as long.)
 
-A dictionary is made on the driver, so its size is known. Up to ``LITERAL_BYTES`` it goes into the plan as a literal and every
-text is matched in its own row, without a join or shuffle. A larger one is a table joined by head with the texts' tokens, which
-carry the text's key only; the planner broadcasts whichever side is small, and texts meet their candidates by key.
+A dictionary is made on the driver, so its size is known. Up to ``LITERAL_BYTES`` it goes along with the plan. A larger one is broadcast in
+parts of ``BROADCAST_BYTES`` at most, one automaton each; what they find, numbers again, meets the entries in a join. Either way every text is
+matched where it lies.
 """
 
 from __future__ import annotations
 
-import json
+import functools
 from dataclasses import dataclass
 
+import ahocorasick
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.functions.text import head_token, keyword_pattern, norm_word, tokens
+from presslens.functions.text import head_token, norm_word, once
+from presslens.operators.lookup import BROADCAST_BYTES, LITERAL_BYTES, literal, sized
 
-LITERAL_BYTES = 1 << 20
 ENTRY = "kw_id int, class string, ord int, kw string, weight int"
+FIELDS = tuple(c.split()[0] for c in ENTRY.split(", "))
+#: No keyword begins after one of these.
+APOSTROPHES = ("'", "’")
 
 
 @dataclass(frozen=True)
 class Dictionary:
-    """Entries (kw_id, class, ord, kw, weight, head, pattern)."""
+    """Entries (kw_id, class, ord, kw, weight)."""
 
     rows: tuple[tuple, ...]
 
@@ -43,45 +51,106 @@ def dictionary(entries: list[tuple[str, list[tuple[str, int]]]], normalise: bool
     for order, (name, words) in enumerate(entries):
         for word, weight in words:
             word = norm_word(word) if normalise else word
-            head = head_token(word)
-            if head is None:
+            if head_token(word) is None:
                 raise ValueError(f"a keyword must start with a word character: {word!r}")
-            rows.append((len(rows), name, order, word, weight, head, keyword_pattern(word)))
+            rows.append((len(rows), name, order, word, weight))
     return Dictionary(tuple(rows))
 
 
-def _literal(value: object, kind: str) -> Column:
-    return F.from_json(F.lit(json.dumps(value)), kind)
+def together(books: dict[str, Dictionary]) -> tuple[Dictionary, dict[str, tuple[int, int]]]:
+    """Several dictionaries as one, and the range of numbers that each one's entries have in it."""
+    rows, spans = [], {}
+    for name, book in books.items():
+        spans[name] = (len(rows), len(rows) + len(book.rows))
+        rows += [(len(rows) + i, *row[1:]) for i, row in enumerate(book.rows)]
+    return Dictionary(tuple(rows)), spans
 
 
-def _found(text: Column, candidates: Column) -> Column:
-    """Of candidate entries those whose pattern is in the text, with the place of the first hit."""
-    hits = F.filter(candidates, lambda e: F.rlike(text, e["pattern"]))
-    names = [c.split()[0] for c in ENTRY.split(", ")]
-    return F.transform(hits, lambda e: F.struct(*[e[n].alias(n) for n in names], F.regexp_instr(text, e["pattern"]).alias("pos")))
+@functools.lru_cache(maxsize=16)
+def _automaton(words: tuple[str, ...]) -> ahocorasick.Automaton:
+    """Of each word, its numbers (more where it is listed again) and its length."""
+    numbers: dict[str, list[int]] = {}
+    for i, word in enumerate(words):
+        numbers.setdefault(word, []).append(i)
+    made = ahocorasick.Automaton()
+    for word, own in numbers.items():
+        made.add_word(word, (own, len(word)))
+    made.make_automaton()
+    return made
 
 
-def hits_in(text: Column, words: Dictionary, held: Column | None = None) -> Column:
-    """The entries found in a text: array of kw_id, class, ord, kw, weight, pos (1-based, of the first hit). ``held``: its tokens, if cut before."""
-    by_head: dict[str, list[dict]] = {}
-    for kw_id, name, order, word, weight, head, pattern in words.rows:
-        by_head.setdefault(head, []).append({"kw_id": kw_id, "class": name, "ord": order, "kw": word, "weight": weight, "pattern": pattern})
-    heads = _literal(list(by_head), "array<string>")
-    groups = _literal(list(by_head.values()), f"array<array<struct<{ENTRY.replace(' ', ':').replace(',:', ',')},pattern:string>>>")
-    present = F.array_intersect(tokens(text) if held is None else held, heads)
-    return _found(text, F.flatten(F.transform(present, lambda t: F.get(groups, (F.array_position(heads, t) - 1).cast("int")))))
+def _word(letter: str) -> bool:
+    return letter.isalnum() or letter == "_"
 
 
-def keyword_hits(texts: DataFrame, words: Dictionary, key: str = "id", text: str = "norm_text", literal_bytes: int = LITERAL_BYTES) -> DataFrame:
-    """One row per text and entry found: key, kw_id, class, ord, kw, weight, pos. Beyond ``literal_bytes`` keys must be unique."""
+def places_in(text: str, words: tuple[str, ...]) -> dict[int, int]:
+    """The number of each word found, and where it begins first, from 1."""
+    found: dict[int, int] = {}
+    for end, (numbers, length) in _automaton(words).iter(text):
+        at = end - length
+        if numbers[0] in found or (at >= 0 and (_word(text[at]) or text[at] in APOSTROPHES)) or (end + 1 < len(text) and _word(text[end + 1])):
+            continue
+        found.update(dict.fromkeys(numbers, at + 2))
+    return found
+
+
+def _places(words: tuple[str, ...] | Broadcast):
+    """(n, pos) of the words found in each text; ``words`` themselves or a broadcast of them."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        offsets, numbers, places = [0], [], []
+        held = words if isinstance(words, tuple) else words.value
+        for text in texts.to_pylist():
+            found = places_in(text, held) if text else {}
+            numbers += found.keys()
+            places += found.values()
+            offsets.append(len(numbers))
+        pairs = pa.StructArray.from_arrays([pa.array(numbers, pa.int32()), pa.array(places, pa.int32())], names=["n", "pos"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
+
+    return F.arrow_udf(run, "array<struct<n:int,pos:int>>")
+
+
+def hits_in(text: Column, words: Dictionary) -> Column:
+    """The entries found in a text: array of kw_id, class, ord, kw, weight, pos (1-based, of the first hit)."""
+    kind = f"struct<{ENTRY.replace(' ', ':').replace(',:', ',')}>"
+    if not words.rows:
+        return F.array().cast(f"array<{kind[:-1]},pos:int>>")
+    entries = literal([dict(zip(FIELDS, row, strict=False)) for row in words.rows], f"array<{kind}>")
+
+    def entry(hit: Column) -> Column:
+        e = F.get(entries, hit["n"])
+        return F.struct(*[e[n].alias(n) for n in FIELDS], hit["pos"].alias("pos"))
+
+    return F.transform(_places(tuple(row[3] for row in words.rows))(text), entry)
+
+
+def hits_by(text: Column, books: dict[str, Dictionary]) -> Column:
+    """A struct with the hits of each dictionary; the text is searched once for all."""
+    every, spans = together(books)
+
+    def of(span: tuple[int, int]):
+        return lambda h: (h["kw_id"] >= span[0]) & (h["kw_id"] < span[1])
+
+    return once(hits_in(text, every), lambda hits: F.struct(*[F.filter(hits, of(span)).alias(name) for name, span in spans.items()]))
+
+
+def keyword_hits(texts: DataFrame, words: Dictionary, key: str = "id", text: str = "norm_text", literal_bytes: int = LITERAL_BYTES, part_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """One row per text and entry found: key, kw_id, class, ord, kw, weight, pos."""
     if words.size <= literal_bytes:
         return texts.select(key, F.explode(hits_in(F.col(text), words)).alias("_h")).select(key, "_h.*")
-    table = texts.sparkSession.createDataFrame(list(words.rows), f"{ENTRY}, head string, pattern string")
-    held = texts.select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("head"))
-    entry = F.struct(*[c.split()[0] for c in ENTRY.split(", ")], "pattern")
-    candidates = held.join(table, "head").groupBy(key).agg(F.collect_list(entry).alias("_candidates"))
-    both = texts.select(key, text).join(candidates, key)
-    return both.select(key, F.explode(_found(F.col(text), F.col("_candidates"))).alias("_h")).select(key, "_h.*")
+    spark, found, at = texts.sparkSession, [], 0
+    while at < len(words.rows):
+        size, end = 0, at
+        while end < len(words.rows) and (end == at or size + len(words.rows[end][3].encode()) <= part_bytes):
+            size += len(words.rows[end][3].encode())
+            end += 1
+        held = spark.sparkContext.broadcast(tuple(row[3] for row in words.rows[at:end]))
+        places = texts.select(key, F.explode(_places(held)(F.col(text))).alias("_h"))
+        found.append(places.select(key, (F.col("_h.n") + at).alias("kw_id"), F.col("_h.pos").alias("pos")))
+        at = end
+    every = functools.reduce(DataFrame.unionByName, found)
+    return every.join(sized(spark.createDataFrame(list(words.rows), ENTRY)), "kw_id").select(key, *FIELDS, "pos")
 
 
 def class_scores(hits: DataFrame, key: str = "id") -> DataFrame:
@@ -180,28 +249,35 @@ def parse_rule(line: str) -> Rule | None:
     return Rule(name.strip(), tuple(parts), tuple(negatives))
 
 
-def _has(text: Column, words: list[str]) -> Column:
-    return text.rlike("|".join(keyword_pattern(w) for w in words)) if words else F.lit(False)
+def rule_words(rules: list[Rule]) -> Dictionary:
+    """The words of rules, each once, to be found with the keywords of the dictionaries."""
+    every = dict.fromkeys(w for rule in rules for part in (*rule.parts, rule.negatives) for w in part if w != "@pays")
+    return Dictionary(tuple((i, "", 0, word, 0) for i, word in enumerate(every)))
+
 
+def first_rule(text: Column, countries: Column, rules: list[Rule], found: Column | None = None) -> Column:
+    """The first rule that holds, as a class; ``countries`` is the number of distinct countries with a strong word. ``found``: the hits of ``rule_words``, if at hand."""
 
-def first_rule(text: Column, countries: Column, rules: list[Rule]) -> Column:
-    """The first rule that holds, as a class; ``countries`` is the number of distinct countries with a strong word."""
+    said = F.transform(hits_in(text, rule_words(rules)) if found is None else found, lambda h: h["kw"])
     out = F.lit(None).cast("string")
     for rule in reversed(rules):
         needed = sum(part == ("@pays",) for part in rule.parts)
         holds = countries >= needed
         for part in rule.parts:
-            words = [w for w in part if w != "@pays"]
             if part == ("@pays",):
                 continue
-            test = _has(text, words)
+            test = _any_said(said, [w for w in part if w != "@pays"])
             holds = holds & ((test | (countries >= needed + 1)) if "@pays" in part else test)
         if rule.negatives:
-            holds = holds & ~_has(text, list(rule.negatives))
+            holds = holds & ~_any_said(said, list(rule.negatives))
         out = F.when(holds, F.lit(rule.name)).otherwise(out)
     return out
 
 
+def _any_said(said: Column, words: list[str]) -> Column:
+    return F.coalesce(F.arrays_overlap(said, F.array(*map(F.lit, words))), F.lit(False)) if words else F.lit(False)
+
+
 #: Themes of an outlet whose seat stands for the country of its articles, and what an article without one gets.
 SEAT_THEMES, NO_COUNTRY = ("Local/Régional", "Politique"), "Undetermined"
 

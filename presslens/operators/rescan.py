@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens.functions import dates, scores
-from presslens.functions.text import norm, tokens
+from presslens.functions.text import norm
 from presslens.operators import matching, media
 from presslens.operators.classify import Dictionaries, classify_rows, with_cards
 
@@ -25,12 +25,11 @@ def marked(rows: DataFrame, words: Dictionaries, cards: DataFrame, aliases: Data
     indice_interet_naval and the four scores.
     """
     columns = [c for c in rows.columns if c not in ("notation", "region_maritime")]
-    kept = media.without_banned(rows.select("nom_du_media").distinct(), bans, "nom_du_media").select(F.col("nom_du_media").alias("_allowed"), F.lit(False).alias("_no"))
-    found = rows.join(kept, F.col("nom_du_media").eqNullSafe(F.col("_allowed")), "left").withColumn("_banned", F.coalesce("_no", F.lit(True)) & F.col("nom_du_media").isNotNull()).drop("_allowed", "_no")
+    found = media.flag_banned(rows, bans, "nom_du_media", "_banned")
     found = media.canonical_names(found, aliases, "nom_du_media")
     found = found.withColumn("_merged", F.col("canonical") != F.col("nom_du_media")).withColumn("nom_du_media", F.coalesce("canonical", "nom_du_media"))
-    found = with_cards(found, cards, "nom_du_media").withColumn("_text", norm(F.coalesce("titre", F.lit("")))).withColumn("_tokens", F.array_distinct(tokens(F.col("_text"))))
-    found = found.withColumns({"_hits": matching.hits_in(F.col("_text"), words.naval, F.col("_tokens")), "_zones": matching.hits_in(F.col("_text"), words.zones, F.col("_tokens"))})
+    found = with_cards(found, cards, "nom_du_media").withColumn("_text", norm(F.coalesce("titre", F.lit(""))))
+    found = found.withColumn("_hits", matching.hits_by(F.col("_text"), {"naval": words.naval, "zones": words.zones}))
 
     def of_card(name: str):
         return F.nullif(F.col(f"_card.{name}"), F.lit(""))
@@ -42,7 +41,7 @@ def marked(rows: DataFrame, words: Dictionaries, cards: DataFrame, aliases: Data
     found = found.withColumn("country_headquarters", merged_seat)
     seated = of_card("pays_siege").isNotNull() & text_of("country_headquarters").isin(*NO_SEAT)
     date = dates.norm_date(F.col("time_stamp"))
-    index, interest = scores.reliability_index(F.col("_card.indice_fiabilite")), matching.total_in(F.col("_hits")).cast("double")
+    index, interest = scores.reliability_index(F.col("_card.indice_fiabilite")), matching.total_in(F.col("_hits.naval")).cast("double")
     marine = F.round(interest * 0.4 / 40, 4)
     stale = ~F.col("indice_fiabilite").eqNullSafe(index) | ~F.round("`intérêt marine calcul`", 4).eqNullSafe(marine)
     scored = scores.score_columns(index, interest)
@@ -54,7 +53,7 @@ def marked(rows: DataFrame, words: Dictionaries, cards: DataFrame, aliases: Data
         "_dated": ~date.eqNullSafe(F.col("time_stamp")),
         "time_stamp": date,
         "notation": scores.rating(F.col("_card.notation")),
-        "region_maritime": matching.zone_in(F.col("_zones")),
+        "region_maritime": matching.zone_in(F.col("_hits.zones")),
         "_naval": ~F.col("indice_interet_naval").eqNullSafe(interest),
         "_rescored": stale,
         "fiabilité_calcul": F.when(stale, scored["reliability_score"]).otherwise(F.col("fiabilité_calcul")),

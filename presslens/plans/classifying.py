@@ -141,7 +141,7 @@ def declared_language(spark, d):
 @query("lang_declared", """SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'fr' WHEN 1 THEN 'de' WHEN 2 THEN 'hr' WHEN 3 THEN 'en' WHEN 4 THEN 'xx' ELSE 'sv' END AS lang FROM pages""")
 def lang_declared(spark, d):
     k = F.col("page_id") % 6
-    title = F.when(k == 0, "dans la rue").when(k == 1, "the Berliner").when(k == 2, "koji kako što").when(k == 3, "the end of it").when(k == 4, "Łódź").otherwise("och att the")
+    title = F.when(k == 0, "dans la rue").when(k == 1, "the Berliner").when(k == 2, "kao ali što").when(k == 3, "the end of it").when(k == 4, "Łódź").otherwise("hade mycket the")
     said = F.when(k == 1, "de").when(k == 3, "it").when(k == 0, "de")
     return table(spark, d, "pages").select("page_id", language.detect(title, said).alias("lang"))
 

@@ -82,7 +82,7 @@ def key_union(spark, d):
     return merge.key_union(days.filter("event_id % 3 = 0").select("day"), days.filter("user_id % 7 = 0").select("day"))
 
 
-@query("key_difference", "SELECT DISTINCT user_id, event_type FROM events WHERE (user_id, event_type) NOT IN (SELECT user_id, event_type FROM events WHERE value > 20)")
+@query("key_difference", "SELECT DISTINCT user_id, event_type FROM events WHERE (user_id, event_type) NOT IN (SELECT user_id, event_type FROM events WHERE value > 100)")
 def key_difference(spark, d):
     events = table(spark, d, "events")
-    return merge.key_difference(events.select("user_id", "event_type"), events.filter("value > 20").select("user_id", "event_type").distinct())
+    return merge.key_difference(events.select("user_id", "event_type"), events.filter("value > 100").select("user_id", "event_type").distinct())

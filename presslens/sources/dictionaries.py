@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.operators.classify import CARD, last_cards
+from presslens.operators.lookup import sized
 
 
 def whole_text(spark: SparkSession, path: str) -> str:
@@ -80,7 +81,7 @@ def declared(spark: SparkSession, spoken: dict[str, str]) -> DataFrame:
 def with_declared(rows: DataFrame, spoken: DataFrame, media: str) -> DataFrame:
     """``rows`` plus ``declared``, the language that the outlet is listed with; null if it is not."""
     listed = spoken.withColumnRenamed("media", "_media")
-    return rows.join(listed, F.lower(F.trim(F.col(media))) == F.col("_media"), "left").drop("_media")
+    return rows.join(sized(listed), F.lower(F.trim(F.col(media))) == F.col("_media"), "left").drop("_media")
 
 
 def json_map(text: str) -> dict[str, str]:

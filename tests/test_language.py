@@ -11,7 +11,7 @@ def test_script_after_the_first_characters(spark, tmp_path):
 
 
 def test_languages_of_the_survey(spark):
-    said = {"id": "berita yang akan dibaca oleh", "tr": "haber ve bir için", "hu": "hogy nem volt", "ro": "pentru că sunt", "cs": "nebo jsou také", "sv": "och att inte", "da": "og ikke til", "fi": "mutta myös ovat", "hr": "koji kako što čuje", "pl": "nie jest oraz", "de": "der die das und", "en": "koji kako nakon", "el": "aa ἀ"}
+    said = {"id": "berita itu adalah karena", "tr": "haber çok ama göre", "hu": "az amely pedig", "ro": "este foarte între", "cs": "že když bylo", "sv": "jag hade mycket", "da": "og ikke til", "fi": "hän niin kuin", "hr": "kao ali gdje čuje", "pl": "nie jest oraz", "de": "auch sich werden", "en": "kao ali gdje", "el": "aa ἀ"}
     frame = spark.createDataFrame(list(said.items()), "want string, text string")
     from pyspark.sql import functions as F
 

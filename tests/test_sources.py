@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from presslens import cli
-from presslens.functions import dates, scores, text
+from presslens.functions import dates, scores, sql
 from presslens.operators import media, merge
 from presslens.sources import archive, feeds, files, gold, manifest
 from presslens.streaming import ingest
@@ -125,7 +125,7 @@ def test_security_on_exact_ties(spark):
 
 
 def test_sql_functions(spark):
-    text.sql_functions(spark)
+    sql.register(spark)
     got = one(spark.sql("SELECT norm_text('PERÚ') AS a, partition_day('2026-07-08 10:30') AS b, naval_bucket(11) AS c, is_broken_translation('ababababab', 'x') AS d, is_broken_translation('fine words', 'x') AS e, link_hash('x') AS f"))
     assert tuple(got) == ("perú", "2026-07-08", 2, True, False, "11f6ad8ec52a2984abaafd7c3b516503785c2072")
 
