@@ -37,6 +37,25 @@ class Selection:
         return rows
 
 
+#: What can be counted per value of a dimension: names of columns to an aggregate. ``media`` names the outlet, ``interest`` the naval interest.
+MEASURES = {
+    "count": lambda media, interest: F.count(F.lit(1)),
+    "sources": lambda media, interest: F.count_distinct(media),
+    "naval": lambda media, interest: F.sum(F.coalesce(interest, F.lit(0.0))) / F.count(F.lit(1)),
+    "navcount": lambda media, interest: F.count_if(interest > 0),
+}
+MISSING = "—"
+
+
+def measured(rows: DataFrame, dim: str, measures: list[str], media: str, interest: str) -> DataFrame:
+    """dim and the measures asked for, all in one aggregation; rows without a value of the dimension are one value of their own."""
+    unknown = [m for m in measures if m not in MEASURES]
+    if unknown:
+        raise ValueError(f"no such measure: {', '.join(unknown)}; there are {', '.join(MEASURES)}")
+    value = F.coalesce(F.nullif(F.col(dim).cast("string"), F.lit("")), F.lit(MISSING))
+    return rows.groupBy(value.alias("value")).agg(*[MEASURES[m](F.col(media), F.col(interest)).alias(m) for m in measures])
+
+
 def sort_table(rows: DataFrame, column: str, descending: bool, unique: str) -> DataFrame:
     """Nulls count as empty: first upwards, last downwards."""
     order = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_first()

@@ -177,12 +177,15 @@ def best_zone(hits: DataFrame, key: str = "id") -> DataFrame:
 def ranked(hits: Column) -> Column:
     """The classes of a row's hits: array of (score, early, first, n, class), best last when sorted."""
 
-    def of_class(order: Column) -> Column:
-        mine = F.filter(hits, lambda h: h["ord"] == order)
-        score = F.aggregate(mine, F.lit(0), lambda a, h: a + h["weight"])
-        return F.struct(score.alias("score"), (-F.array_min(F.transform(mine, lambda h: h["pos"]))).alias("early"), (-order).alias("first"), F.size(mine).alias("n"), F.get(mine, 0)["class"].alias("class"))
+    def classes(held: Column) -> Column:
+        def of_class(order: Column) -> Column:
+            mine = F.filter(held, lambda h: h["ord"] == order)
+            score = F.aggregate(mine, F.lit(0), lambda a, h: a + h["weight"])
+            return F.struct(score.alias("score"), (-F.array_min(F.transform(mine, lambda h: h["pos"]))).alias("early"), (-order).alias("first"), F.size(mine).alias("n"), F.get(mine, 0)["class"].alias("class"))
 
-    return F.transform(F.array_distinct(F.transform(hits, lambda h: h["ord"])), of_class)
+        return F.transform(F.array_distinct(F.transform(held, lambda h: h["ord"])), of_class)
+
+    return once(hits, classes)
 
 
 def top_in(hits: Column) -> Column:

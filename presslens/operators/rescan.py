@@ -5,7 +5,7 @@ Themes, countries, regions and confidences stay as they are, unless ``everything
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from presslens.functions import dates, scores
@@ -68,11 +68,26 @@ def marked(rows: DataFrame, words: Dictionaries, cards: DataFrame, aliases: Data
 
 def rescan(rows: DataFrame, words: Dictionaries, cards: DataFrame, aliases: DataFrame, bans: DataFrame, everything: bool = False) -> DataFrame:
     """The archive after a rescan, without banned rows. ``everything`` classifies titles anew as well."""
-    kept = marked(rows, words, cards, aliases, bans).filter(~F.col("_banned")).drop(*FLAGS)
+    kept = settled(marked(rows, words, cards, aliases, bans))
     return classify_rows(kept, words, cards) if everything else kept
 
 
+def _counts() -> list:
+    kept = ~F.col("_banned")
+    return [F.count_if(F.col(f) if f == "_banned" else kept & F.col(f)).alias(n) for f, n in FLAGS.items()]
+
+
 def counters(found: DataFrame) -> DataFrame:
     """One row: how many rows each kind of change concerns; all but the bans without banned rows. ``found``: from ``marked``."""
-    kept = ~F.col("_banned")
-    return found.agg(*[F.count_if(F.col(f) if f == "_banned" else kept & F.col(f)).alias(n) for f, n in FLAGS.items()])
+    return found.agg(*_counts())
+
+
+def observed(found: DataFrame) -> tuple[DataFrame, Observation]:
+    """``found`` and its counters, which are there once what is made of it has been written: one pass for both."""
+    seen = Observation()
+    return found.observe(seen, *_counts()), seen
+
+
+def settled(found: DataFrame) -> DataFrame:
+    """Without banned rows and flags."""
+    return found.filter(~F.col("_banned")).drop(*FLAGS)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from presslens.functions import dates, language, scores, text
 from presslens.operators import classify, explore, matching, media, rescan, translation
-from presslens.plans.base import norm_sql, query, table
+from presslens.plans.base import ORACLE_SQL, norm_sql, query, table  # noqa: F401
 from presslens.sources import dictionaries, gold
 
 THEMES = [("Sport", [("the", 1), ("heat", 2), ("ties", 1)]), ("Tech", [("la", 1), ("les", 2), ("la", 1)]), ("Guerre/violence", [("die", 2), ("ist", 1)])]

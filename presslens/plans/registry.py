@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from presslens.functions import dates, language, scores, text
 from presslens.operators import explore, matching, media, merge
-from presslens.plans import archiving, classifying, exploring  # noqa: F401  they register their queries
+from presslens.plans import archiving, classifying, exploring, streaming  # noqa: F401  they register their queries
 from presslens.plans.base import ORACLE_SQL, QUERIES, norm_sql, query, table  # noqa: F401
 
+
 @query("facet_count_top20", "SELECT source AS facet, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, facet LIMIT 20")
 def facet_count_top20(spark, d):
     return table(spark, d, "documents").groupBy(F.col("source").alias("facet")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "facet").limit(20)

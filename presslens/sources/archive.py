@@ -28,7 +28,7 @@ FILE_ROWS = 1_000_000
 def to_stored(rows: DataFrame) -> DataFrame:
     """Text columns as the archive stores them: times and numbers parsed, columns that are missing empty.
 
-    A time or number that looks like a date but cannot be parsed raises; another unreadable number is null.
+    What cannot be read, dates that do not exist included, is null.
     """
     made: list[Column] = []
     for name in COLUMNS:
@@ -40,8 +40,7 @@ def to_stored(rows: DataFrame) -> DataFrame:
         else:
             made.append(raw.alias(name))
             continue
-        lost = value.isNull() & raw.rlike(r"^\d{4}-\d{2}-\d{2}")
-        made.append(F.when(lost, F.raise_error(F.concat(F.lit(f"{name} cannot be read: "), raw)).cast(value_type(name))).otherwise(value).alias(name))
+        made.append(value.alias(name))
     return rows.select(*made)
 
 
@@ -122,9 +121,20 @@ def read_days(spark: SparkSession, path: str, schema: str = ARCHIVE, start: str
         rows = rows.filter(F.col(day) >= F.lit(start).cast("date"))
     if end:
         rows = rows.filter(F.col(day) <= F.lit(end).cast("date"))
+    return filled(rows)
+
+
+def filled(rows: DataFrame) -> DataFrame:
+    """Missing texts as empty ones."""
     return rows.select(*[F.coalesce(f"`{f.name}`", F.lit("")).alias(f.name) if f.dataType.typeName() == "string" else F.col(f"`{f.name}`") for f in rows.schema.fields])
 
 
+def stored_bytes(spark: SparkSession, path: str, day: str = "day") -> DataFrame:
+    """Bytes of the Parquet files of each day under ``path``; the files are listed, not read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    return found.groupBy(F.regexp_extract("path", rf"/{day}=([^/]+)/", 1).alias(day)).agg(F.sum("length").alias("bytes"))
+
+
 def migrate(rows: DataFrame, path: str, order: list, link: str = "lien", stamp: str = "time_stamp") -> DataFrame:
     """Split one table of texts into days, the first row of each link (an empty one counts too) kept; rows read back are counted.
 
@@ -145,17 +155,25 @@ def migration_summary(days: DataFrame, day: str = "day") -> DataFrame:
 
 
 def export_csv(rows: DataFrame, path: str) -> None:
-    rows.coalesce(1).write.mode("overwrite").csv(path, sep=";", header=True, nullValue="", emptyValue="", escape='"')
+    """One file; only its writing is one task's, not what ``rows`` are made from."""
+    rows.repartition(1).write.mode("overwrite").csv(path, sep=";", header=True, nullValue="", emptyValue="", escape='"')
 
 
 def export_parquet(rows: DataFrame, path: str) -> None:
     """One file, cast to the archive's columns where ``rows`` has them."""
     kinds = {c: value_type(c) for c in COLUMNS}
-    rows.select(*[F.col(f"`{c}`").cast(kinds.get(c, t)).alias(c) for c, t in rows.dtypes]).coalesce(1).write.mode("overwrite").option("compression", "zstd").parquet(path)
-
-
-def export_json_days(rows: DataFrame, path: str, day: str) -> None:
-    rows.repartitionByRange(F.col(day)).write.mode("overwrite").partitionBy(day).json(path)
+    rows.select(*[F.col(f"`{c}`").cast(kinds.get(c, t)).alias(c) for c, t in rows.dtypes]).repartition(1).write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def export_selection(rows: DataFrame, selection, path: str, kind: str = "csv") -> None:
+    """What a selection (``explore.Selection``) leaves, as CSV or as the archive's Parquet."""
+    chosen = selection.apply(rows)
+    if kind == "csv":
+        export_csv(chosen, path)
+    elif kind == "parquet":
+        export_parquet(chosen, path)
+    else:
+        raise ValueError(f"csv or parquet, not {kind}")
 
 
 def export_sqlite(rows: DataFrame, path: str, table: str = "articles", indexes: tuple[str, ...] = (), batch: int = 20_000) -> int:

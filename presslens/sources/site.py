@@ -50,8 +50,15 @@ def write_site(rows: DataFrame, path: str, reference: str, days: int = 7) -> Non
     shown.repartitionByRange(F.col("day"), *order).sortWithinPartitions("day", *order).write.mode("overwrite").option("ignoreNullFields", "false").partitionBy("day").json(path)
 
 
-def metadata(shown: DataFrame, added: int = 0, days: int = 7) -> DataFrame:
-    """One row: count, added (never below 0), jours_site and the days with their file and count, newest first."""
+def metadata(shown: DataFrame, added: int = 0, days: int = 7, generated: str | None = None, repo: str | None = None) -> DataFrame:
+    """One row: count, added (never below 0), jours_site and the days with their file and count, newest first; when and where from, if given."""
     per = shown.groupBy("day").agg(F.count(F.lit(1)).alias("count"))
     listed = F.sort_array(F.collect_list(F.struct(F.col("day").cast("string").alias("jour"), F.concat(F.lit("data/"), F.col("day").cast("string"), F.lit(".json")).alias("fichier"), "count")), False)
-    return per.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("count"), listed.alias("jours")).select("count", F.lit(max(added, 0)).alias("added"), F.lit(days).alias("jours_site"), "jours")
+    made = per.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("count"), listed.alias("jours")).select("count", F.lit(max(added, 0)).alias("added"), F.lit(days).alias("jours_site"), "jours")
+    for name, value in (("generated", generated), ("repo", repo)):
+        made = made.withColumn(name, F.lit(value)) if value is not None else made
+    return made
+
+
+def write_metadata(made: DataFrame, path: str) -> None:
+    made.repartition(1).write.mode("overwrite").json(path)

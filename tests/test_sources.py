@@ -10,6 +10,7 @@ from presslens import cli
 from presslens.functions import dates, scores, sql
 from presslens.operators import media, merge
 from presslens.sources import archive, feeds, files, gold, manifest
+from presslens.sources.store import DayStore
 from presslens.streaming import ingest
 
 RSS = b"<rss><channel><item><title>One</title><link>http://a/1</link><pubDate>Wed, 08 Jul 2026 10:30:00 GMT</pubDate></item><item><title/><link>http://a/2</link></item></channel></rss>"
@@ -66,10 +67,9 @@ def test_local_files_and_freshness(spark, tmp_path):
     assert manifest.stale(assets, local).count() == 3
 
 
-def test_unreadable_dates_raise(spark):
+def test_unreadable_dates_are_null(spark):
     assert one(archive.to_stored(spark.createDataFrame([("soon", "x")], "time_stamp string, official_rating string"))).time_stamp is None
-    with pytest.raises(Exception, match="cannot be read"):
-        archive.to_stored(spark.createDataFrame([("2026-13-45 10:00",)], "time_stamp string")).collect()
+    assert one(archive.to_stored(spark.createDataFrame([("2026-13-45 10:00", "2026-13-45")], "time_stamp string, official_rating string")))[:10] == (None,) * 10
 
 
 def test_archive_schema_has_the_names_that_are_stored(spark, tmp_path):
@@ -143,15 +143,32 @@ def test_command_line(spark, tmp_path):
         "media.csv": "media;pays_siege;theme_media;note;indice_fiabilite;notation\nA;Peru;Tech;1;2;b\n", "bans.txt": "Spam *\n", "aliases.csv": "alias;canonique\nOld *;A\n", "languages.csv": "media;langue\n",
     }.items():
         (d / name).write_text(said)
-    (tmp_path / "log.csv").write_text('media;titre;lien;date\nOld A;"The cup; Perú and the strait";http://1;2026-07-08 10:30\nSpam Daily;The cup;http://2;2026-07-08 10:30\nB;;http://3;\n')
-    cli.main(["classify", f"{tmp_path}/log.csv", str(d), f"{tmp_path}/archive"])
-    cli.main(["classify", f"{tmp_path}/log.csv", str(d), f"{tmp_path}/archive"])
-    row = one(archive.read_days(spark, f"{tmp_path}/archive"))
+    (tmp_path / "log.csv").write_text('media;titre;lien;date\nOld A;"The cup; Perú and the strait";http://1;2026-07-08 10:30\nSpam Daily;The cup;http://2;2026-07-08 10:30\nB;;http://3;\nB;dans la rue pour une coupe;http://4;2026-07-09 10:30\n')
+    for _ in range(2):
+        cli.main(["classify", f"{tmp_path}/log.csv", str(d), f"{tmp_path}/archive"])
+    store = DayStore(spark, f"{tmp_path}/archive")
+    assert store.state().number == 1 and sorted(store.state().pending) == ["2026-07-08", "2026-07-09"]
+    row = one(store.read(end="2026-07-08"))
     assert (row.nom_du_media, row.sujet_article, row.country_article, row.region, row.confiance_pays_article, row.indice_interet_naval, row.region_maritime) == ("A", "Sport", "Peru", "Latin America", "medium", 5.0, "Gulf")
-    cli.main(["rescan", f"{tmp_path}/archive", str(d), f"{tmp_path}/again"])
-    assert spark.read.parquet(f"{tmp_path}/again").count() == 1
-    cli.main(["csv", f"{tmp_path}/archive", f"{tmp_path}/csv"])
+    cli.main(["publish", f"{tmp_path}/archive", f"{tmp_path}/remote", "--until", "2026-07-08"])
+    assert store.state().pending == ("2026-07-09",) and spark.read.parquet(f"{tmp_path}/remote/data-2026/2026-07-08.parquet").count() == 1
+    cli.main(["retry", f"{tmp_path}/archive", str(d), "--model", "tests.test_sources:model"])
+    told = {r.lien: (r.titre, r.titre_vo, r.sujet_article) for r in store.read().collect()}
+    assert told["http://4"] == ("the cup match", "dans la rue pour une coupe", "Sport") and told["http://1"][1] == ""
+    for more in ([], ["--everything"]):
+        cli.main(["rescan", f"{tmp_path}/archive", str(d), f"{tmp_path}/again", *more])
+    assert DayStore(spark, f"{tmp_path}/again").read().count() == 2
+    cli.main(["csv", f"{tmp_path}/archive", f"{tmp_path}/csv", "--country", "Peru", "--search", "CUP"])
+    assert [r.lien for r in spark.read.csv(f"{tmp_path}/csv", sep=";", header=True).collect()] == ["http://1"]
+    cli.main(["migrate", f"{tmp_path}/csv", f"{tmp_path}/moved"])
+    assert one(DayStore(spark, f"{tmp_path}/moved").read()).titre == row.titre
     cli.main(["sqlite", f"{tmp_path}/archive", f"{tmp_path}/a.db"])
-    cli.main(["site", f"{tmp_path}/archive", f"{tmp_path}/site", "--date-ref", "2026-07-08"])
-    assert spark.read.json(f"{tmp_path}/site").count() == 1
+    cli.main(["site", f"{tmp_path}/archive", f"{tmp_path}/site", "--date-ref", "2026-07-08", "--repo", "x/y"])
+    assert spark.read.json(f"{tmp_path}/site/data").count() == 2 and one(spark.read.json(f"{tmp_path}/site/meta")).repo == "x/y"
+    cli.main(["vacuum", f"{tmp_path}/archive"])
+    assert store.read().count() == 2
     assert files.delete(spark, f"{tmp_path}/site") and not files.exists(spark, f"{tmp_path}/site")
+
+
+def model():
+    return lambda titles, code: ["the cup match" for _ in titles]
