@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from presslens.functions import dates
-from presslens.operators import merge
+from presslens.operators import classify, merge
 from presslens.plans.base import query, scratch, table
 from presslens.sources import archive, dictionaries, feeds, manifest, site
 from presslens.sources.files import load_or_empty
@@ -204,25 +204,68 @@ def feed_items(spark, d):
     return feeds.read_feeds(pages).select(F.substring("media", 2, 20).cast("long").alias("page_id"), "media", "titre", "date")
 
 
-@query("feed_catalogue", "SELECT 'n' || (page_id % 10) AS name, arg_min('http://f/' || page_id, page_id) AS url FROM pages GROUP BY 1")
+_URL = "replace(url, chr(39), '')"
+
+
+def _catalogues(spark, d):
+    """A catalogue a page: its own feed, and one that others list as well; double quotes and addresses outside a call do not count."""
+    k = F.col("page_id").cast("string")
+    url = F.replace("url", F.lit("'"), F.lit(""))
+    entry = F.concat(F.lit("{ name: 'p"), k, F.lit("',\n  url: rss('"), url, F.lit("') },\n{ name: 'n"), (F.col("page_id") % 10).cast("string"), F.lit("', url: rss( '"), url, F.lit("?n') }, { name: \"d"), k, F.lit("\", url: rss(\"x\") }, { name: 'q"), k, F.lit("', url: 'y' }"))
+    return table(spark, d, "pages").select("page_id", entry.alias("value"))
+
+
+@query("feed_catalogue", f"SELECT 'p' || page_id AS name, {_URL} AS url FROM pages UNION ALL SELECT 'n' || (page_id % 10), arg_min({_URL} || '?n', page_id) FROM pages GROUP BY 1")
 def feed_catalogue(spark, d):
-    entry = F.concat(F.lit("{ name: 'n"), (F.col("page_id") % 10).cast("string"), F.lit("', url: rss('http://f/"), F.col("page_id").cast("string"), F.lit("') }"))
-    whole = table(spark, d, "pages").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", entry.alias("e")))), lambda x: x["e"]), ",\n").alias("value"))
-    return feeds.feed_catalogue(whole)
+    return feeds.feed_catalogue(_catalogues(spark, d), order="page_id")
 
 
-@query("prefix_limit", "SELECT 'n' || page_id AS name, 'http://f/' || page_id AS url FROM pages ORDER BY page_id LIMIT 5")
+@query("prefix_limit", f"SELECT name, url FROM (SELECT 'p' || page_id AS name, {_URL} AS url, 2 * page_id AS place FROM pages UNION ALL SELECT 'n' || (page_id % 10), arg_min({_URL} || '?n', page_id), 2 * min(page_id) + 1 FROM pages GROUP BY 1) ORDER BY place LIMIT 5")
 def prefix_limit(spark, d):
-    entry = F.concat(F.lit("{ name: 'n"), F.col("page_id").cast("string"), F.lit("', url: rss('http://f/"), F.col("page_id").cast("string"), F.lit("') }"))
-    whole = table(spark, d, "pages").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", entry.alias("e")))), lambda x: x["e"]), ",\n").alias("value"))
-    return feeds.feed_catalogue(whole, 5)
+    return feeds.feed_catalogue(_catalogues(spark, d), 5, order="page_id")
+
+
+def _dictionary_text(spark, d, line) -> str:
+    """A dictionary file written from the tables and read back, a line per region."""
+    path = scratch(spark, "dictionary")
+    nation, region = table(spark, d, "nation"), table(spark, d, "region")
+    named = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    word = F.concat(F.when(F.col("n_nationkey") % 3 == 0, "*").otherwise(""), "n_name")
+    lines = named.groupBy("r_regionkey", "r_name").agg(F.array_join(F.sort_array(F.collect_list(word)), ", ").alias("words")).select(line.alias("value"))  # 25 nations
+    lines.unionByName(spark.createDataFrame([("# a remark",), ("no colon",)], "value string")).repartition(1).write.text(path)
+    return dictionaries.whole_text(spark, f"{path}/*.txt")
+
+
+_NATIONS = "nation JOIN region ON n_regionkey = r_regionkey"
+
+
+@query("dictionary_classes", f"SELECT r_name AS class, lower(n_name) AS kw, CASE WHEN n_nationkey % 3 = 0 THEN 2 ELSE 1 END AS weight FROM {_NATIONS}")
+def dictionary_classes(spark, d):
+    said = _dictionary_text(spark, d, F.concat("r_name", F.lit(": "), "words"))
+    return spark.createDataFrame([(name, word, weight) for name, words in dictionaries.classes(said) for word, weight in words], "class string, kw string, weight int")
+
+
+@query("dictionary_scale", f"SELECT lower(CASE WHEN n_nationkey % 3 = 0 THEN '*' ELSE '' END || n_name) AS kw, r_regionkey * 5 AS weight FROM {_NATIONS} WHERE r_regionkey > 0")
+def dictionary_scale(spark, d):
+    said = _dictionary_text(spark, d, F.concat(F.when(F.col("r_regionkey") > 0, (F.col("r_regionkey") * 5).cast("string")).otherwise("much"), F.lit(": "), "words"))
+    return spark.createDataFrame([(word, weight) for _, words in dictionaries.scale(said) for word, weight in words], "kw string, weight int")
+
+
+@query("dictionary_zones", f"SELECT r_name AS zone, lower(CASE WHEN n_nationkey % 3 = 0 THEN '*' ELSE '' END || n_name) AS kw FROM {_NATIONS} WHERE r_regionkey <> 2")
+def dictionary_zones(spark, d):
+    said = _dictionary_text(spark, d, F.concat("r_name", F.lit(" :"), F.when(F.col("r_regionkey") == 2, " , ").otherwise(F.col("words"))))
+    return spark.createDataFrame([(zone, word) for zone, words in dictionaries.zones(said) for word, _ in words], "zone string, kw string")
 
 
-@query("json_map", "SELECT n_name, CASE n_name WHEN 'FRANCE' THEN 'Europe' WHEN 'JAPAN' THEN 'Asia' END AS region FROM nation")
+@query("json_map", f"SELECT n_name, r_name AS region FROM {_NATIONS}")
 def json_map(spark, d):
-    regions = dictionaries.json_map('{"FRANCE": "Europe", "JAPAN": "Asia"}')
-    listed = spark.createDataFrame(list(regions.items()), "n_name string, region string")
-    return table(spark, d, "nation").select("n_name").join(listed, "n_name", "left")
+    """Regions by country from a JSON file that the tables made."""
+    path = scratch(spark, "regions")
+    nation, region = table(spark, d, "nation"), table(spark, d, "region")
+    named = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    named.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("n_name", "r_name")))).alias("value")).write.text(path)  # 25 nations
+    regions = dictionaries.json_map(dictionaries.whole_text(spark, f"{path}/*.txt"))
+    return classify.with_region(nation.select("n_name"), regions, "n_name")
 
 
 @query("stream_ingest", "SELECT page_id, sha1(url) AS hash FROM pages QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id % 2, page_id) = 1")

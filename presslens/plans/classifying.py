@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from presslens.functions import dates, language, scores, text
+from presslens.functions.text import strip
 from presslens.operators import classify, explore, matching, media, rescan, translation
 from presslens.plans.base import ORACLE_SQL, norm_sql, query, table  # noqa: F401
 from presslens.sources import dictionaries, gold
@@ -202,11 +203,27 @@ def translation_retry(spark, d):
     return translation.retry(rows, translation.translator(_upper), lambda r: r.withColumn("again", F.lit(True)))
 
 
-@query("ensure_english", """SELECT doc_id, CASE doc_id % 4 WHEN 2 THEN 'Good' ELSE 'Titre' END AS title, CASE doc_id % 4 WHEN 2 THEN 'Titre' WHEN 3 THEN 'Titre' ELSE '' END AS original, CASE doc_id % 4 WHEN 0 THEN 'en' ELSE 'fr' END AS language FROM documents""")
+@query("ensure_english", """SELECT doc_id, CASE lang WHEN 'fr' THEN 'EN ' || text ELSE text END AS title, CASE WHEN lang IN ('fr', 'de') THEN text ELSE '' END AS original, lang AS language FROM (SELECT * FROM documents WHERE text IS NOT NULL AND lang <> 'fr'
+  UNION ALL SELECT d.* FROM documents d JOIN ({0}) b USING (doc_id) WHERE d.lang = 'fr' AND NOT broken) UNION ALL SELECT doc_id, text, text, lang FROM documents d JOIN ({0}) b USING (doc_id) WHERE d.lang = 'fr' AND broken""")
 def ensure_english(spark, d):
-    k = F.col("doc_id") % 4
-    made = language.ensure_english(F.lit("Titre"), F.when(k == 2, "Good").when(k == 3, F.repeat(F.lit("ab"), 9)), F.when(k == 0, "en").otherwise("fr"))
-    return table(spark, d, "documents").select("doc_id", made.alias("m")).select("doc_id", "m.*")
+    """Whole texts as titles: English stays, French is translated (some of it broken), German gets a stuck translation, Spanish waits."""
+    docs = table(spark, d, "documents").filter("text IS NOT NULL")
+    said = F.when(F.col("lang") == "fr", F.concat(F.lit("EN "), "text")).when(F.col("lang") == "de", F.concat(F.repeat(F.lit("ab"), 9), "text"))
+    return docs.select("doc_id", language.ensure_english(F.col("text"), said, F.col("lang")).alias("m")).select("doc_id", "m.*")
+
+
+def _counted():
+    """A model that says how many titles its batch has, and turns them about."""
+    return lambda titles, code: [f"{len(titles)} {t[::-1]}" for t in titles]
+
+
+@query("translate_batches", "SELECT lang, count(*) AS n, true AS small, true AS turned FROM documents WHERE lang IN ('fr', 'de') AND text <> '' GROUP BY lang")
+def translate_batches(spark, d):
+    """No batch has more than 16 titles, and every title comes back to its own row."""
+    docs = table(spark, d, "documents").filter("lang IN ('fr', 'de') AND text <> ''").select("doc_id", "lang", "text")
+    made = translation.translator(_counted, ("fr", "de"), 16)(docs, "text", "lang").withColumn("size", F.split("_made", " ")[0].cast("int"))
+    turned = strip(F.concat(F.col("size").cast("string"), F.lit(" "), F.reverse("text"))) == F.col("_made")
+    return made.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), ((F.max("size") <= 16) & (F.min("size") >= 1)).alias("small"), F.every(turned).alias("turned"))
 
 
 @query("batch_counters", f"""SELECT count(*) AS n_read, count(*) FILTER (WHERE nom_du_media IN ('src1', 'src7')) AS n_banned, count(*) FILTER (WHERE nom_du_media NOT IN ('src1', 'src7') AND doc_id % 3 = 0) AS n_translated,
@@ -302,17 +319,15 @@ def composite_whole(spark, d):
     return table(spark, d, "customer").select("c_custkey", scores.whole_composite((1 + (k % 9) / 2.0).cast("double"), (k % 60).cast("double")).alias("composite"))
 
 
-@query("rating_default", "SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'B' ELSE upper(c_mktsegment) END AS rating FROM customer")
+@query("rating_default", "SELECT client_id, CASE WHEN coalesce(segment, '') = '' THEN 'F' ELSE upper(trim(segment)) END AS rating FROM clients")
 def rating_default(spark, d):
-    k = F.col("c_custkey") % 3
-    return table(spark, d, "customer").select("c_custkey", scores.rating(F.when(k == 1, " b ").when(k == 2, F.lower("c_mktsegment")).otherwise(F.when(F.col("c_custkey") % 2 == 0, ""))).alias("rating"))
+    return table(spark, d, "clients").select("client_id", scores.rating(F.col("segment")).alias("rating"))
 
 
-@query("site_number", "SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN c_custkey + 0.25 ELSE c_custkey END::DOUBLE AS n FROM customer")
+@query("site_number", "SELECT client_id, balance AS n FROM clients")
 def site_number(spark, d):
-    k = F.col("c_custkey")
-    written = F.when(k % 3 == 0, "none").when(k % 3 == 1, F.concat(k.cast("string"), F.lit(",25"))).otherwise(k.cast("string"))
-    return table(spark, d, "customer").select("c_custkey", scores.site_number(written).alias("n"))
+    written = F.replace(F.col("balance").cast("decimal(20,4)").cast("string"), F.lit("."), F.lit(","))
+    return table(spark, d, "clients").select("client_id", scores.site_number(written).alias("n"))
 
 
 @query("percent_of_max", "SELECT source, n, round(100.0::DOUBLE * n / max(n) OVER ()) AS percent FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")

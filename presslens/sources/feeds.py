@@ -42,16 +42,20 @@ def read_seen(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "hash")
 
 
-def feed_catalogue(text: DataFrame, most: int = 0) -> DataFrame:
-    """name and url from catalogues written as code (column ``value``, whole files); the first URL of a name wins.
+#: How a catalogue lists a feed, both texts in single quotes, the address as the argument of a call.
+LISTED = r"name:\s*'([^']+)'\s*,\s*url:\s*\w+\(\s*'([^']+)'"
 
-    In the order of the catalogue; ``most`` over 0 takes that many feeds only, for trials.
+
+def feed_catalogue(text: DataFrame, most: int = 0, order: str | None = None) -> DataFrame:
+    """name and url from catalogues written as code (column ``value``, one catalogue a row); the first URL of a name wins.
+
+    In the order of the catalogues (column ``order``) and their entries; ``most`` over 0 takes that many feeds only, for trials.
     """
-    pattern = r"""name:\s*['"]([^'"]+)['"]\s*,\s*url:\s*(?:\w+\()?\s*['"]([^'"]+)['"]"""
-    found = F.arrays_zip(F.regexp_extract_all("value", F.lit(pattern), F.lit(1)).alias("name"), F.regexp_extract_all("value", F.lit(pattern), F.lit(2)).alias("url"))
-    rows = text.select(F.posexplode(found).alias("pos", "f")).select("pos", F.col("f.name").alias("name"), F.col("f.url").alias("url"))
-    first = rows.groupBy("name").agg(F.min(F.struct("pos", "url")).alias("first")).select(F.col("first.pos").alias("pos"), "name", F.col("first.url").alias("url"))
-    return (first.orderBy("pos").limit(most) if most else first).select("name", "url")
+    found = F.arrays_zip(F.regexp_extract_all("value", F.lit(LISTED), F.lit(1)).alias("name"), F.regexp_extract_all("value", F.lit(LISTED), F.lit(2)).alias("url"))
+    place = F.col(order) if order else F.lit(0)
+    rows = text.select(place.alias("file"), F.posexplode(found).alias("pos", "f")).select("file", "pos", F.col("f.name").alias("name"), F.col("f.url").alias("url"))
+    first = rows.groupBy("name").agg(F.min(F.struct("file", "pos", "url")).alias("first")).select("first.*", "name")
+    return (first.orderBy("file", "pos").limit(most) if most else first).select("name", "url")
 
 
 def fetch(url: str, timeout: float = TIMEOUT) -> bytes:

@@ -2,6 +2,7 @@
 
 import http.server
 import threading
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,6 +136,15 @@ def test_gold_as_csv(spark, tmp_path):
     assert [r.titre for r in gold.read_gold(spark, f"{tmp_path}/g.csv").orderBy("line").collect()] == ["t1", "t2"]
 
 
+def test_gold_as_workbook(spark, tmp_path):
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    with zipfile.ZipFile(tmp_path / "g.xlsx", "w") as book:
+        book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>nom_du_media</t></si><si><r><t>ti</t></r><r><t>tre</t></r></si><si><t>A</t></si></sst>')
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{main}"><sheetData><row><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c></row><row><c r="A2" t="s"><v>2</v></c><c r="B2" t="inlineStr"><is><t>t1</t></is></c></row><row><c r="B3"><v>7</v></c></row></sheetData></worksheet>')
+        book.writestr("xl/worksheets/sheet2.xml", f'<worksheet xmlns="{main}"><sheetData/></worksheet>')
+    assert [(r.line, r.nom_du_media, r.titre) for r in gold.read_gold(spark, f"{tmp_path}/g.xlsx").orderBy("line").collect()] == [(0, "A", "t1"), (1, None, "7")]
+
+
 def test_command_line(spark, tmp_path):
     d = tmp_path / "dict"
     d.mkdir()
