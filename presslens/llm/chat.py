@@ -139,9 +139,7 @@ def _formatter(path: str | None):
 def format_conversations(conversations: DataFrame, path: str | None = None) -> DataFrame:
     """One row per conversation: rendered text, token ids, loss mask of the tokens and loss spans in bytes."""
     rows = conversations.select("conv_id", "turn", "role", "text")
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartition(parts, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
     return ordered.mapInArrow(_formatter(path), SCHEMA)
 
 
