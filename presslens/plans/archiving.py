@@ -177,10 +177,12 @@ def publish_filter(spark, d):
     return now.withColumn("published", F.lit(True)).unionByName(later.withColumn("published", F.lit(False)))
 
 
-@query("inventory_year", "SELECT o_orderkey FROM orders WHERE o_orderkey % 4 <> 1 AND year(o_orderdate) = 1997 AND o_orderkey % 5 <> 0")
+@query("inventory_year", "SELECT o_orderkey FROM orders WHERE o_orderpriority NOT LIKE '1%' AND year(o_orderdate) = 1997 AND o_orderstatus <> 'O'")
 def inventory_year(spark, d):
-    k = F.col("o_orderkey")
-    listed = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("data-"), F.year("o_orderdate").cast("string")).alias("release"), F.concat(k.cast("string"), F.when(k % 4 == 1, ".txt").otherwise(".parquet")).alias("file"), F.when(k % 5 == 0, "starter").when(k % 5 == 1, "uploaded").alias("state"))
+    """Orders as a listing: the year is the release, the first priority has no data file, open ones are unfinished uploads."""
+    status = F.col("o_orderstatus")
+    suffix = F.when(F.col("o_orderpriority").startswith("1"), ".txt").otherwise(".parquet")
+    listed = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("data-"), F.year("o_orderdate").cast("string")).alias("release"), F.concat(F.col("o_orderkey").cast("string"), suffix).alias("file"), F.when(status == "O", "starter").when(status == "F", "uploaded").alias("state"))
     return manifest.inventory(listed, 1997).select("o_orderkey")
 
 

@@ -399,5 +399,6 @@ def sql_top_by_country(spark, d):
     return spark.sql("SELECT n_name, count(*) AS n FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey GROUP BY 1 ORDER BY n DESC, n_name LIMIT 20", **names)
 
 
-#: The French translations that are broken need the SQL of that test.
-ORACLE_SQL["ensure_english"] = ORACLE_SQL["ensure_english"].replace("{0}", _BROKEN.replace("regexp_replace(text,", "regexp_replace('EN ' || text,").replace("regexp_replace(source,", "regexp_replace(text,"))
+#: Translations of texts that are broken need the SQL of that test.
+for _name in ("ensure_english", "translation_counts"):
+    ORACLE_SQL[_name] = ORACLE_SQL[_name].replace("{0}", _BROKEN.replace("regexp_replace(text,", "regexp_replace('EN ' || text,").replace("regexp_replace(source,", "regexp_replace(text,"))
