@@ -12,7 +12,7 @@ verified. All entries of a granule between them lie inside the span, so the sale
 the work of one client is dealt out over its granules, and no pair inside a span is ever made.
 
 What one client can bring to one task is bounded by the calendar, not by its rows: its pieces, six an hour, in the
-sessions' window; its distinct sale spans in the join with its classes, which Spark may split.
+sessions' window. Its distinct sale spans are dealt out in parts.
 
 Cases: rows with a null client or time are ignored, and lines without a sale; a sale without lines ends where it starts. Sales that
 repeat count each time, under one sale_id; a null sale_id has no lines. Other columns are not read. An empty table gives an
@@ -32,6 +32,8 @@ FINE = 6
 LEVELS, WIDER = 3, 4
 MEMBERS = -1
 ENDLESS = -1
+#: Parts in which the spans of one key are dealt out.
+PARTS = 8
 
 
 def micros(at: Column) -> Column:
@@ -100,7 +102,11 @@ def probes(spans: DataFrame, rows: DataFrame) -> DataFrame:
     """The granules that each distinct span (key, low, high) may share with entries of its key, per class that the key has."""
     classes = rows.groupBy("key", "k", "width").agg(F.min("g").alias("least"), F.max("g").alias("most"))
     per_key = classes.groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("k", "width", "least", "most")).alias("_classes"))
-    asked = spans.select("key", "low", "high").distinct().join(per_key, F.col("key") == F.col("_key")).select("key", "low", "high", F.explode("_classes").alias("_c")).select("key", "low", "high", "_c.*")
+    # One key's spans meet its classes, a row that comes once a part, in several parts.
+    parted = spans.select("key", "low", "high").distinct().withColumn("_part", F.pmod(F.xxhash64("low", "high"), F.lit(PARTS)))
+    per_part = per_key.withColumn("_of", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    met = parted.join(per_part, (F.col("key") == F.col("_key")) & (F.col("_part") == F.col("_of")))
+    asked = met.select("key", "low", "high", F.explode("_classes").alias("_c")).select("key", "low", "high", "_c.*")
     reach = F.when(F.col("k") == ENDLESS, 0).otherwise(F.expr("shiftleft(2L, greatest(k, 0)) - 2"))
     asked = asked.withColumn("_reach", reach).withColumns({
         "_l0": F.expr("greatest(least, shiftright(low - _reach, width))"),
