@@ -193,7 +193,3 @@ def first_seen(rows: DataFrame, media: str, headquarters: str, theme: str, order
 def confusions(rows: DataFrame, gold: str, predicted: str, most: int = 8) -> DataFrame:
     made = rows.filter(F.col(gold) != F.col(predicted)).groupBy(gold, predicted).agg(F.count(F.lit(1)).alias("n"))
     return made.orderBy(F.desc("n"), gold, predicted).limit(most)
-
-
-def latest(rows: DataFrame, key: str, order: list) -> DataFrame:
-    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_rn = 1").drop("_rn")
