@@ -57,7 +57,9 @@ SHIFT = 0x100
 #: Stands before each pair in a bucket; above all pieces, so that a pair that is not there sorts last.
 MARK = "\ufffd"
 #: Bytes of text that are cut at once.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
+#: Bytes of packed ids that are filled and digested at once.
+FILLED_BYTES = 4 << 20
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -396,9 +398,19 @@ def _looker(token: str, shared, path: str | None, pattern: str, names: list[str]
     return run
 
 
+def _slices(batch: pa.RecordBatch, name: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of up to ``most`` bytes of a binary column, a longer row alone."""
+    ends = np.cumsum(pc.binary_length(batch.column(batch.schema.get_field_index(name))).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _filler(names: list[str], own: list[str], finish):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in lean(batches):
+        for batch in (part for whole in lean(batches) for part in _slices(whole, own[0], FILLED_BYTES)):
             folded = batch.column(batch.schema.get_field_index(own[1]))
             words = folded.flatten()
             sizes_of = np.diff(words.offsets.to_numpy()).astype(np.int64)
