@@ -328,10 +328,18 @@ def rating_default(spark, d):
     return table(spark, d, "clients").select("client_id", scores.rating(F.col("segment")).alias("rating"))
 
 
-@query("site_number", "SELECT client_id, balance AS n FROM clients")
+@query("site_number", """SELECT 'client' AS held, client_id AS id, balance AS n FROM clients UNION ALL SELECT 'customer', c_custkey, CASE c_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN c_custkey + 0.25 ELSE c_custkey END::DOUBLE FROM customer
+  UNION ALL SELECT 'account', c_custkey, c_acctbal FROM customer""")
 def site_number(spark, d):
-    written = F.replace(F.col("balance").cast("decimal(20,4)").cast("string"), F.lit("."), F.lit(","))
-    return table(spark, d, "clients").select("client_id", scores.site_number(written).alias("n"))
+    """Balances of all clients and customers, and of each customer a word, a number with a comma, or a whole number."""
+    def comma(value: str):
+        return F.replace(F.col(value).cast("decimal(20,4)").cast("string"), F.lit("."), F.lit(","))
+
+    k, customers = F.col("c_custkey"), table(spark, d, "customer")
+    written = F.when(k % 3 == 0, "none").when(k % 3 == 1, F.concat(k.cast("string"), F.lit(",25"))).otherwise(k.cast("string"))
+    rows = table(spark, d, "clients").select(F.lit("client").alias("held"), F.col("client_id").alias("id"), comma("balance").alias("written"))
+    rows = rows.unionAll(customers.select(F.lit("customer"), k, written)).unionAll(customers.select(F.lit("account"), k, comma("c_acctbal")))
+    return rows.select("held", "id", scores.site_number(F.col("written")).alias("n"))
 
 
 @query("percent_of_max", "SELECT source, n, round(100.0::DOUBLE * n / max(n) OVER ()) AS percent FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")
