@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import unicodedata
 
@@ -15,7 +16,17 @@ TOKEN = r"[\p{L}\p{N}_]+"
 BEFORE, AFTER = r"(?<![\p{L}\p{N}_'’])", r"(?![\p{L}\p{N}_])"
 
 
+def trim() -> None:
+    """Give free memory back to the system, so that a Python worker does not keep what its last batch took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def _nfkd(text: pa.Array) -> pa.Array:
+    trim()
     return pc.utf8_normalize(text, form="NFKD")
 
 

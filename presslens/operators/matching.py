@@ -13,15 +13,17 @@ matched where it lies.
 from __future__ import annotations
 
 import functools
+from array import array
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.functions.text import head_token, norm_word, once
+from presslens.functions.text import head_token, norm_word, once, trim
 from presslens.operators.lookup import BROADCAST_BYTES, LITERAL_BYTES, literal, sized
 
 ENTRY = "kw_id int, class string, ord int, kw string, weight int"
@@ -94,19 +96,25 @@ def places_in(text: str, words: tuple[str, ...]) -> dict[int, int]:
     return found
 
 
+def _ints(numbers: array) -> pa.Array:
+    return pa.array(np.frombuffer(numbers, np.int32), pa.int32())
+
+
 def _places(words: tuple[str, ...] | Broadcast):
     """(n, pos) of the words found in each text; ``words`` themselves or a broadcast of them."""
 
     def run(texts: pa.Array) -> pa.Array:
-        offsets, numbers, places = [0], [], []
+        trim()
+        offsets, numbers, places = array("i", [0]), array("i"), array("i")
         held = words if isinstance(words, tuple) else words.value
-        for text in texts.to_pylist():
+        for one in texts:  # a batch may be 64 MB, so its texts are strings one at a time
+            text = one.as_py()
             found = places_in(text, held) if text else {}
-            numbers += found.keys()
-            places += found.values()
+            numbers.extend(found.keys())
+            places.extend(found.values())
             offsets.append(len(numbers))
-        pairs = pa.StructArray.from_arrays([pa.array(numbers, pa.int32()), pa.array(places, pa.int32())], names=["n", "pos"])
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
+        pairs = pa.StructArray.from_arrays([_ints(numbers), _ints(places)], names=["n", "pos"])
+        return pa.ListArray.from_arrays(_ints(offsets), pairs)
 
     return F.arrow_udf(run, "array<struct<n:int,pos:int>>")
 
