@@ -274,6 +274,6 @@ def json_map(spark, d):
 def stream_ingest(spark, d):
     base, pages = scratch(spark, "stream"), table(spark, d, "pages").select("page_id", "url")
     for part in (0, 1):
-        pages.filter(f"page_id % 2 = {part}").coalesce(1).write.mode("append").parquet(f"{base}/in")
+        pages.filter(f"page_id % 2 = {part}").write.mode("append").parquet(f"{base}/in")
         ingest.ingest(spark, f"{base}/in", "page_id long, url string", f"{base}/out", f"{base}/seen", f"{base}/state", "url", ["page_id"], lambda r: r.drop("url"))
     return spark.read.parquet(f"{base}/out").select("page_id", "hash")

@@ -35,8 +35,8 @@ def stream_days(spark, d):
     batch = ingest.day_batch(store, SeenState(spark, f"{base}/seen"), "lien", ["doc_id"], lambda r: classify.classify_rows(r, words, cards))
     late = rows.filter("doc_id % 3 = 0 OR doc_id % 4 = 0")
     for part in (rows.filter("doc_id % 3 <> 0"), late):
-        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
-        ingest.ingest_days(spark, f"{base}/in", ARTICLE, f"{base}/state", batch)
+        part.write.mode("append").parquet(f"{base}/in")
+        ingest.ingest_days(spark, f"{base}/in", ARTICLE, f"{base}/state", batch, files_per_batch=None)
     batch(late, 1)
     marked = store.pending().select(F.substring("file", 1, 10).cast("date").alias("day"), F.lit(True).alias("pending"))
     return store.read().join(F.broadcast(marked), "day", "left").select("doc_id", "day", "sujet_article", "country_article", F.coalesce("pending", F.lit(False)).alias("pending"))
@@ -48,8 +48,8 @@ def stream_bounded(spark, d):
     base, events = scratch(spark, "bounded"), table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     beat = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit("2024-06-01").cast("timestamp").alias("ts"))
     for part in (events, events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 MINUTES")), beat, events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 200 DAYS"))):
-        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
-        ingest.ingest_bounded(spark, f"{base}/in", "event_id long, ts timestamp", f"{base}/out", f"{base}/state", "ts", "event_id")
+        part.write.mode("append").parquet(f"{base}/in")
+        ingest.ingest_bounded(spark, f"{base}/in", "event_id long, ts timestamp", f"{base}/out", f"{base}/state", "ts", "event_id", files_per_batch=None)
     return spark.read.parquet(f"{base}/out").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 

@@ -52,9 +52,15 @@ def day_batch(store: DayStore, state: SeenState, link: str, order: list[str], cl
     return batch
 
 
-def ingest_days(spark: SparkSession, source: str, schema: str, checkpoint: str, batch: Callable[[DataFrame, int], None], fmt: str = "parquet", files_per_batch: int = 1000) -> None:
+def _files(spark: SparkSession, source: str, schema: str, fmt: str, files_per_batch: int | None) -> DataFrame:
+    """A stream of the files at ``source``; without a number all that are new make one batch."""
+    found = spark.readStream.schema(schema).format(fmt)
+    return (found.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else found).load(source)
+
+
+def ingest_days(spark: SparkSession, source: str, schema: str, checkpoint: str, batch: Callable[[DataFrame, int], None], fmt: str = "parquet", files_per_batch: int | None = 1000) -> None:
     """Run ``day_batch`` on the files that are new at ``source``."""
-    _run(spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch).load(source), checkpoint, batch)
+    _run(_files(spark, source, schema, fmt, files_per_batch), checkpoint, batch)
 
 
 def first_of_links(rows: DataFrame, stamp: str, link: str, late: str = "7 days") -> DataFrame:
@@ -63,7 +69,7 @@ def first_of_links(rows: DataFrame, stamp: str, link: str, late: str = "7 days")
     return rows.withWatermark(stamp, late).dropDuplicatesWithinWatermark([link])
 
 
-def ingest_bounded(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, stamp: str, link: str, late: str = "7 days", fmt: str = "parquet") -> None:
-    """Append what ``first_of_links`` lets through, a file a batch, in the order of the files' times."""
-    rows = first_of_links(spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 1).load(source), stamp, link, late)
+def ingest_bounded(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, stamp: str, link: str, late: str = "7 days", fmt: str = "parquet", files_per_batch: int | None = 1) -> None:
+    """Append what ``first_of_links`` lets through, in batches of so many files, in the order of the files' times."""
+    rows = first_of_links(_files(spark, source, schema, fmt, files_per_batch), stamp, link, late)
     rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).format("parquet").option("path", target).start().awaitTermination()
