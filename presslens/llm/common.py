@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import gc
@@ -108,6 +109,19 @@ def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Whatever runs inside hands Python at most so many rows at once: long texts by the 10,000 are tens of MB in the JVM and in the worker, for each task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    most = int(before)
+    spark.conf.set(key, str(min(rows, most) if most > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def thrifty(run):
     """A function of batches that leaves no free memory behind when its task ends."""
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import discard, documents, lean, materialise, text_bytes, thrifty, trim
+from presslens.llm.common import batches_of, discard, documents, lean, materialise, text_bytes, thrifty, trim
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
@@ -44,6 +44,8 @@ BLOCK_BYTES = 1 << 23
 OWNER_BYTES = 1 << 22
 AT_ONCE = 1 << 17
 TABLE_ROWS = 1 << 14
+#: Texts that a task hands to Python at once.
+TEXTS = 1000
 _BASE = 0x9E3779B97F4A7C15
 _PLACE = np.uint64((1 << 24) - 1)
 _KEY = np.uint64((1 << 48) - 1)
@@ -409,10 +411,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     owners = max(shuffles if size > 1_000_000 else 1, math.ceil(size / OWNER_BYTES))
-    shared = materialise(docs.filter("doc_id is not null").mapInArrow(thrifty(_packer(owners)), "owner int, blob binary").groupBy("owner").applyInArrow(lambda t: _shared(t, owners), _BUNDLES), "shared")
+    with batches_of(spark, TEXTS):
+        shared = materialise(docs.filter("doc_id is not null").mapInArrow(thrifty(_packer(owners)), "owner int, blob binary").groupBy("owner").applyInArrow(lambda t: _shared(t, owners), _BUNDLES), "shared")
     build = shared.filter(F.col("kind") == BUILD).groupBy("bucket").applyInArrow(_per_document((BUILD, 1)), "doc_id long, build binary")
     strings = docs.join(build, "doc_id").mapInArrow(thrifty(_cutter(owners)), "owner int, anchor long, doc_id long, hash long, offset int, bytes binary")
-    found = materialise(strings.groupBy("owner").applyInArrow(lambda t: _match(t, owners), _BUNDLES), "found")
+    with batches_of(spark, TEXTS):
+        found = materialise(strings.groupBy("owner").applyInArrow(lambda t: _match(t, owners), _BUNDLES), "found")
     both = shared.filter(F.col("kind") == GONE).unionByName(found)
     lists = materialise(both.groupBy("bucket").applyInArrow(_per_document((GONE, 1), (HITS, 2)), "doc_id long, gone binary, hits binary"), "lists")
     discard(shared, found)
