@@ -261,31 +261,45 @@ _MAGIC = b"presslens words\n"
 PACKED = 1 << 15
 
 
-def pack_head(table: pa.Table) -> bytes:
-    """Word to packed ids as one block of flat arrays: an open-addressing table of hashes, the words' and ids' ends, their bytes."""
+def pack_head(table: pa.Table) -> bytearray:
+    """Word to packed ids as one block of flat arrays: an open-addressing table of hashes, the words' and ids' ends, their bytes.
+
+    The block is filled chunk by chunk where it lies: it is most of what the driver holds here, so there is no second copy.
+    """
     size = table.num_rows
-    words, ids = b"", b""
-    word_ends = id_ends = np.zeros(1, np.uint32)
     mask = (1 << max(4, (2 * size - 1).bit_length())) - 1
-    slots = np.full(mask + 1, -1, np.int32)
-    if size:
-        table = table.combine_chunks()
-        column, lists = table.column(0).chunk(0).cast(pa.large_binary()), table.column(1).chunk(0)
-        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + size + 1]
-        words, word_ends = column.buffers()[2].to_pybytes()[int(ends[0]) : int(ends[-1])], (ends - ends[0]).astype(np.uint32)
-        ids, id_ends = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4").tobytes(), ((lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()) * 4).astype(np.uint32)
-        digest, keys = xxhash.xxh3_64_intdigest, np.empty(size, np.uint64)
-        for begin in range(0, size, PACKED):  # a list of all ends at once would be most of the driver's memory here
-            at = word_ends[begin : begin + PACKED + 1].tolist()
-            keys[begin : begin + len(at) - 1] = [digest(words[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
-        rest, place = np.arange(size, dtype=np.int32), (keys & np.uint64(mask)).astype(np.int64)
-        while len(rest):  # one word of each free place settles, the others move on by one
-            free = slots[place] < 0
-            slots[place[free]] = rest[free]
-            left = slots[place] != rest
-            rest, place = rest[left], (place[left] + 1) & mask
-    sizes = np.array([mask, len(slots), len(word_ends), len(id_ends), len(words), len(ids)], np.int64)
-    return b"".join([_MAGIC, sizes.tobytes(), slots.tobytes(), word_ends.tobytes(), id_ends.tobytes(), words, ids])
+    n_words = pc.sum(pc.binary_length(table.column(0))).as_py() or 0
+    n_ids = 4 * (pc.sum(pc.list_value_length(table.column(1))).as_py() or 0)
+    sizes = np.array([mask, mask + 1, size + 1, size + 1, n_words, n_ids], np.int64)
+    at = np.cumsum([len(_MAGIC) + sizes.nbytes, 4 * (mask + 1), 4 * (size + 1), 4 * (size + 1), n_words]).tolist()
+    block = bytearray(at[4] + n_ids)
+    block[: at[0]] = _MAGIC + sizes.tobytes()
+    slots, word_ends, id_ends = np.frombuffer(block, np.int32, mask + 1, at[0]), np.frombuffer(block, np.uint32, size + 1, at[1]), np.frombuffer(block, np.uint32, size + 1, at[2])
+    words, ids = np.frombuffer(block, np.uint8, n_words, at[3]), np.frombuffer(block, "<i4", n_ids // 4, at[4])
+    row = 0
+    for column, lists in ((c, i) for part in table.to_batches() for c, i in [part.columns]):
+        column, end = column.cast(pa.large_binary()), row + len(column)
+        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        word_ends[row + 1 : end + 1] = ends[1:] - ends[0] + word_ends[row]
+        if word_ends[end] > word_ends[row]:
+            words[word_ends[row] : word_ends[end]] = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+        places = lists.offsets.to_numpy().astype(np.int64)
+        id_ends[row + 1 : end + 1] = (places[1:] - places[0]) * 4 + id_ends[row]
+        ids[id_ends[row] // 4 : id_ends[end] // 4] = lists.flatten().to_numpy(zero_copy_only=False)
+        row = end
+    slots[:] = -1
+    digest, keys, held = xxhash.xxh3_64_intdigest, np.empty(size, np.uint64), memoryview(block)[at[3] : at[4]]
+    for begin in range(0, size, PACKED):  # a list of all ends at once would be most of the driver's memory here
+        cuts = word_ends[begin : begin + PACKED + 1].tolist()
+        keys[begin : begin + len(cuts) - 1] = [digest(held[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    rest, place = np.arange(size, dtype=np.int32), (keys & np.uint64(mask)).astype(np.int64)
+    del keys
+    while len(rest):  # one word of each free place settles, the others move on by one
+        free = slots[place] < 0
+        slots[place[free]] = rest[free]
+        left = slots[place] != rest
+        rest, place = rest[left], (place[left] + 1) & mask
+    return block
 
 
 class HeadTable:
