@@ -1,9 +1,10 @@
 """Byte-level BPE: ranked merges of distinct words as a fold of Spark higher-order functions.
 
 A word's state in the fold is a string with one character per piece (the piece's id, shifted). A step looks up every
-neighbouring pair in a literal rank map and merges the first pair of the least rank; the fold runs over one step less than the word
-has bytes, and the characters that remain are the ids. The literal holds the pairs of pieces whose bytes joined are a piece, dealt
-into small buckets by a CRC.
+neighbouring pair in a constant rank map and merges the first pair of the least rank; the fold runs over one step less than the word
+has bytes, and the characters that remain are the ids. The map holds the pairs of pieces whose bytes joined are a piece, dealt
+into small buckets by a CRC. It enters a plan as a scalar subquery: a literal of a million characters would be printed with each
+form of each plan, and Spark's driver keeps what it prints.
 
 Encoding a corpus:
 
@@ -46,12 +47,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm.common import documents, lean, let, materialise, text_bytes, thrifty, trim
+from presslens.llm.common import discard, documents, lean, let, materialise, text_bytes, thrifty, trim
 
 HEAD_WORDS = 1 << 20
 HEAD_BYTES = 64
 FOLD_BYTES = 256
-#: Buckets of the literal.
+#: Buckets of the rank map.
 BUCKETS = 1 << 16
 SHIFT = 0x100
 #: Stands before each pair in a bucket; above all pieces, so that a pair that is not there sorts last.
@@ -83,9 +84,9 @@ def split_pattern() -> str:
 
 
 class RankMap:
-    """The literal rank map: buckets of ``MARK``, two pieces, the piece they make."""
+    """The constant rank map: buckets of ``MARK``, two pieces, the piece they make."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
         buckets: list[list[str]] = [[] for _ in range(BUCKETS)]
         for piece, rank in ranks.items():
             for i in range(1, len(piece)):
@@ -93,28 +94,38 @@ class RankMap:
                 if a is not None and b is not None:
                     pair = chr(a + SHIFT) + chr(b + SHIFT)
                     buckets[zlib.crc32(pair.encode()) % BUCKETS].append(f"{MARK}{pair}{chr(rank + SHIFT)}")
-        self.literal = F.split(F.lit("\x02".join("".join(b) or MARK for b in buckets)), "\x02")
+        held = pa.array([["".join(b) or MARK for b in buckets]], pa.list_(pa.string()))
+        self.buckets = spark.createDataFrame(pa.table({"buckets": held})).scalar()
         self.bytes_in = "".join(map(chr, range(1, 256)))
         self.bytes_out = "".join(chr(ranks[bytes([b])] + SHIFT) for b in range(1, 256))
         self.zero = chr(ranks[b"\0"] + SHIFT)
 
-    def after(self, pair: Column) -> Column:
+    def beside(self, rows: DataFrame, made: str, body) -> DataFrame:
+        """``rows`` and a column ``made`` of what ``body`` makes of the buckets.
+
+        Spark takes no subquery in a function of a lambda, so it stands in a column of its own first. That is read once, and Spark puts the
+        subquery back in its place: no row holds the buckets.
+        """
+        name = _unused("_buckets", [*rows.columns, made])
+        return rows.withColumn(name, self.buckets).withColumn(made, let(F.col(name), body)).drop(name)
+
+    def after(self, buckets: Column, pair: Column) -> Column:
         """A string that starts with the piece the pair makes, or with ``MARK``."""
-        bucket = F.get(self.literal, F.crc32(pair.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int"))
+        bucket = F.get(buckets, F.crc32(pair.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int"))
         return F.call_function("substring_index", bucket, F.concat(F.lit(MARK), pair), F.lit(-1))
 
 
-def encode_word(word: Column, ranks: RankMap) -> Column:
+def encode_word(word: Column, ranks: RankMap, buckets: Column) -> Column:
     """The ids of one word of 1 to ``FOLD_BYTES`` bytes, as a fold of ranked merges; a mark at the end says that no pair is left."""
     raw = F.decode(word.cast("binary"), "ISO-8859-1")
     start = F.replace(F.translate(raw, ranks.bytes_in, ranks.bytes_out), F.lit("\0"), F.lit(ranks.zero))
     mark, one = F.lit(MARK), F.lit(1)
 
     def step(pieces: Column, _: Column) -> Column:
-        codes = F.transform(F.sequence(one, F.length(pieces) - 1), lambda i: F.ascii(ranks.after(F.substring(pieces, i, F.lit(2)))))
+        codes = F.transform(F.sequence(one, F.length(pieces) - 1), lambda i: F.ascii(ranks.after(buckets, F.substring(pieces, i, F.lit(2)))))
 
         def merge(at: Column) -> Column:
-            made = F.substring(ranks.after(F.substring(pieces, at, F.lit(2))), one, one)
+            made = F.substring(ranks.after(buckets, F.substring(pieces, at, F.lit(2))), one, one)
             return F.concat(F.substring(pieces, one, at - 1), made, F.substring(pieces, at + 2, F.length(pieces)))
 
         def least(codes: Column) -> Column:
@@ -253,7 +264,9 @@ def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> DataFrame:
         if held > most:
             break
         least = s["least"]
-    return counts.filter(F.col("n") >= least) if least is not None else counts.filter("false")
+    found = counts.filter(F.col("n") >= least) if least is not None else counts.filter("false")
+    found.stored_at = counts.stored_at
+    return found
 
 
 _MAGIC = b"presslens words\n"
@@ -481,13 +494,13 @@ def _pieces(path: str | None) -> tuple[pa.BinaryArray, pa.BinaryArray]:
 def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None, head: int = HEAD_WORDS, finish=None, made: str = "") -> DataFrame:
     """``docs`` without its text, plus ``ids array<int>``; ``finish`` makes the columns ``made`` of packed ids instead, in Python."""
     pattern = pattern or split_pattern()
-    ranks = RankMap(vocabulary(path))
+    ranks = RankMap(docs.sparkSession, vocabulary(path))
     words = head_words(count_words(docs, pattern), head)
-    table = words.select("word", encode_word(F.col("word"), ranks).alias("ids")).toArrow()
+    table = ranks.beside(words, "ids", lambda buckets: encode_word(F.col("word"), ranks, buckets)).select("word", "ids").toArrow()
     table = pa.table([table.column(0).cast(pa.string()), table.column(1).cast(pa.list_(pa.int32()))], names=["word", "ids"])
     shared = docs.sparkSession.sparkContext.broadcast(pack_head(table))
     del table
-    trim()
+    discard(words)
     fields = [f for f in docs.schema.fields if f.name not in ("text", "ids")]
     names = [f.name for f in fields]
     packed, runs, which, rare, filled = (_unused(name, docs.columns) for name in ("_packed", "_runs", "_which", "_rare", "_folded"))
@@ -496,14 +509,14 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
     kinds = f"{packed} binary, {rare} array<string>" if finish else f"{runs} array<array<int>>, {which} array<int>, {rare} array<string>"
     looker = thrifty(_looker(uuid.uuid4().hex, shared, path, pattern, names, own, finish is not None))
     looked = docs.select("text", *[F.col(f"`{n}`") for n in names]).mapInArrow(looker, ddl + kinds)
-    folded = F.transform(rare, lambda w: encode_word(w, ranks))
+    folded = ranks.beside(looked, filled, lambda buckets: F.transform(rare, lambda w: encode_word(w, ranks, buckets))).drop(rare)
     if finish:
-        return looked.withColumn(filled, folded).drop(rare).mapInArrow(thrifty(_filler(names, [packed, filled], finish)), ddl + made)
+        return folded.mapInArrow(thrifty(_filler(names, [packed, filled], finish)), ddl + made)
     none = F.array().cast("array<int>")
     # The rare words are encoded once a row, then put where the holes are.
-    words = let(folded, lambda made_of: F.transform(which, lambda w: F.get(made_of, w)))
+    words = let(F.col(filled), lambda made_of: F.transform(which, lambda w: F.get(made_of, w)))
     ids = F.flatten(F.zip_with(runs, words, lambda run, word: F.concat(run, F.coalesce(word, none))))
-    return looked.select(*[F.col(f"`{n}`") for n in names], ids.alias("ids"))
+    return folded.select(*[F.col(f"`{n}`") for n in names], ids.alias("ids"))
 
 
 def _unused(name: str, taken: list[str]) -> str:
